@@ -6,7 +6,8 @@ ends with the round that fills the last bin: every coordinate is filled, after a
 
 Equal sets are one class first; only class representatives are banded. A link must be confirmed on the full sets.
 Within a bucket no pairs are listed at first: members are compared with a centre, components are formed, and only
-members that are still in different components are then compared with each other, all of them.
+members that are still in different components are then compared with each other: all of them that a bound through a
+common reference set does not rule out.
 """
 
 from __future__ import annotations
@@ -22,9 +23,8 @@ from pyspark.sql import functions as F
 from terracat.llm.common import Ranges, WordHashes, mix, signed, staged, with_uid
 from terracat.llm.graph import components
 
-#: A pair of similarity 0.8 shares no band with probability 3e-6, and fewer than two with 5e-5.
+#: A pair of similarity 0.8 shares no band with probability 3e-6.
 BANDS, ROWS = 42, 6
-SHARED = 2
 T = BANDS * ROWS
 _SEED = np.array([(0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64) for i in range(2 * T)], dtype=np.uint64)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -106,6 +106,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
+def _across(apart: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) in a common bucket but in different components that can still be close, for whatever data.
+
+    apart: key, rep, n, comp, major (the largest component of the bucket). With any reference set c,
+    |x & y| <= min(|x & c|, |y & c|) + |(x - c) & (y - c)|. The reference of a component is what half of its members
+    hold. So a pair either has enough in common with the reference on both sides, which few pairs of a centre's
+    strangers have, or shares an element outside it: an equality join on such elements.
+    """
+    size = label.groupBy("component").agg(F.count("*").alias("members"))
+    majors = apart.select("major").distinct()
+    voters = majors.join(size, majors.major == size.component, "left").select("major", F.coalesce("members", F.lit(1)).alias("members"))
+    many = voters.where("members >= 8").join(label, F.col("major") == F.col("component")).select("major", F.col("node").alias("uid"), F.col("members").alias("k"))
+    few = voters.where("members < 8").select("major", F.col("major").alias("uid"), F.lit(1).cast("long").alias("k"))
+    votes = many.unionByName(few).join(sets, "uid").select("major", "k", F.explode("set").alias("s")).groupBy("major", "s").agg(F.count("*").alias("c"), F.first("k").alias("k"))
+    reference = votes.where("2 * c >= k").groupBy("major").agg(F.collect_list("s").alias("ref"))
+    member = apart.select("rep", "n", "comp", "major").distinct()
+    seen = member.join(sets.withColumnRenamed("uid", "rep"), "rep").join(reference, "major", "left")
+    ref = F.coalesce("ref", F.array().cast("array<long>"))
+    seen = staged(seen.select("rep", "n", "comp", "major", F.size(F.array_intersect("set", ref)).alias("common"), F.array_except("set", ref).alias("extra")), "references")
+
+    def sides(rows: DataFrame, *on: str) -> DataFrame:
+        x = rows.where("comp <> major").select(*on, F.col("rep").alias("a"), F.col("comp").alias("of_a"), "n", F.col("common").alias("common_a"))
+        y = rows.select(*on, F.col("rep").alias("b"), F.col("comp").alias("of_b"), F.col("n").alias("m"), F.col("common").alias("common_b"), (F.col("comp") == F.col("major")).alias("top"))
+        same = [x[c] == y[c] for c in on]
+        close = (F.col("of_a") != F.col("of_b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("top") | (F.col("a") < F.col("b")))
+        enough = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n") + F.col("m"))
+        close = close & (enough if "key" in on else ~enough)
+        return x.join(y, [*same, close]).select("a", "b")
+
+    by_key = sides(apart.join(seen.select("rep", "major", "common"), ["rep", "major"]), "key")
+    by_extra = sides(seen.select("rep", "n", "comp", "major", "common", F.explode("extra").alias("s")), "major", "s")
+    return by_key.unionByName(by_extra).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, stars: int = 2) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles long, component_id long, kept boolean.
 
@@ -139,10 +173,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, stars:
                 pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
         else:
             apart = staged(apart.select("key", "rep", "n", "comp", "major"), "apart")
-            x = apart.where("comp <> major").select("key", F.col("rep").alias("a"), F.col("comp").alias("of_a"), "n")
-            y = apart.select("key", F.col("rep").alias("b"), F.col("comp").alias("of_b"), F.col("n").alias("m"), (F.col("comp") == F.col("major")).alias("top"))
-            met = x.join(y, (x.key == y.key) & (F.col("of_a") != F.col("of_b")) & close & (F.col("top") | (F.col("a") < F.col("b"))))
-            pairs = met.groupBy("a", "b").agg(F.count("*").alias("c")).where(F.col("c") >= SHARED)
+            pairs = _across(apart, label, sets, percent)
         found = _confirmed(pairs.select("a", "b"), sets, percent)
         links = staged(found if links is None else links.unionByName(found), "links")
         label = components(links)
