@@ -17,6 +17,8 @@ BASE_INV = np.uint64(pow(int(BASE), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Words whose hashes a task remembers; beyond it the memory is emptied, results stay the same.
 WORD_CACHE = 400_000
+#: Spark's setting that removes a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +40,29 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends here and lost executors cost nothing."""
+    """Write df as a table in the shared folder and read it back: lineage ends here and lost executors cost nothing.
+
+    The shuffle files behind the table are given back as soon as it is written.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

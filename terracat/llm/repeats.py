@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, mix, signed, sliding
+from terracat.llm.common import Ranges, discard, mix, signed, sliding, staged
 
-SEEDS = "seed long, ctx long, uid long, pos int, lo int, hi int"
-SEED_FIELDS = pa.schema([("seed", pa.int64()), ("ctx", pa.int64()), ("uid", pa.int64()), ("pos", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+SEEDS = "seed long, ctx long, uid long, lo int, hi int"
+SEED_FIELDS = pa.schema([("seed", pa.int64()), ("ctx", pa.int64()), ("uid", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
 def seed_places(ranges: Ranges, n: int, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +44,7 @@ def contexts(ranges: Ranges, n: int, places: np.ndarray, window: int, seed: int)
 
 def seed_rows(uid: int, ranges: Ranges, n: int, places: np.ndarray, every: np.ndarray, window: int, seed: int) -> list[np.ndarray]:
     ctx, lo, hi = contexts(ranges, n, places, window, seed)
-    return [signed(every[places]), signed(ctx), np.full(len(places), uid, dtype=np.int64), places.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)]
+    return [signed(every[places]), signed(ctx), np.full(len(places), uid, dtype=np.int64), lo.astype(np.int32), hi.astype(np.int32)]
 
 
 def batch_of(rows: list[list[np.ndarray]], fields: pa.Schema) -> pa.RecordBatch:
@@ -58,15 +58,17 @@ def repeated_seeds(seeds: DataFrame, bits: int) -> DataFrame:
     return seeds.join(twice, "seed")
 
 
-def split_contexts(seeds: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """(uid, lo, hi) covered as a whole by a smaller document's context; and seed rows of first documents whose seed has other contexts."""
+def split_contexts(seeds: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(uid, lo, hi) covered as a whole by a smaller document's context; seed rows of first documents whose seed has
+    other contexts; and the staged table behind both."""
     doc = F.shiftright("uid", bits)
-    first = seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"))
+    first = staged(seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"), F.max(doc).alias("last")), "firsts")
     several = first.groupBy("seed").agg(F.count("*").alias("n_ctx"))
-    marked = seeds.join(first, ["seed", "ctx"])
-    covered = marked.where(doc > F.col("first")).select("uid", "lo", "hi")
-    apart = marked.where(doc == F.col("first")).join(several.where("n_ctx > 1"), "seed")
-    return covered, apart.select("seed", "uid", "pos", "lo", "hi", "n_ctx")
+    # A context that one document alone has, and whose seed has no other, says nothing.
+    telling = first.join(several, "seed").where("first < last or n_ctx > 1").select("seed", "ctx", "first", "n_ctx")
+    marked = staged(seeds.join(telling, ["seed", "ctx"]).withColumn("covered", doc > F.col("first")).where("covered or n_ctx > 1").select("uid", "lo", "hi", "covered", "seed", "n_ctx"), "marked")
+    discard(first)
+    return marked.where("covered").select("uid", "lo", "hi"), marked.where("not covered").select("seed", "uid", "lo", "hi", "n_ctx"), marked
 
 
 def repeated_windows(windows: DataFrame, bits: int, window: int) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, WordHashes, staged, with_uid
+from terracat.llm.common import Ranges, WordHashes, discard, staged, with_uid
 from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, mask_of, removal, repeated_seeds, repeated_windows, seed_places, seed_rows, sha, split_contexts, windows_of_places
 
 
@@ -54,10 +54,13 @@ def repeated_word_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     """(uid, lo, hi) word ranges of rows (uid, body) that also stand in a document of a smaller id."""
     seeds = staged(rows.select("uid", "body").mapInArrow(_level_one(window), SEEDS), "seeds")
     survivors = staged(repeated_seeds(seeds, bits), "survivors")
-    covered, apart = split_contexts(survivors, bits)
+    discard(seeds)
+    covered, apart, marked = split_contexts(survivors, bits)
     near = apart.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("at")).select("uid", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"))
     windows = staged(rows.select("uid", "body").join(near, "uid").mapInArrow(_level_two(window), "w long, uid long, p int"), "windows")
-    return staged(covered.unionByName(repeated_windows(windows, bits, window)), "spans")
+    spans = staged(covered.unionByName(repeated_windows(windows, bits, window)), "spans")
+    discard(survivors, marked, windows)
+    return spans
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:

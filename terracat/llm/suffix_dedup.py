@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, mix, signed, staged, with_uid
+from terracat.llm.common import Ranges, discard, mix, signed, staged, with_uid
 from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, contexts, mask_of, removal, repeated_windows, seed_places, sha, split_contexts, windows_of_places
 
 #: Contexts of one seed that may meet in one bucket, and bytes of text per bucket of seeds.
@@ -147,7 +147,7 @@ def _seeds_at(window: int):
                 uid, raw, at = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), np.unique(batch.column(2)[k].values.to_numpy()).astype(np.int64)
                 ranges = Ranges(units(raw))
                 ctx, lo, hi = contexts(ranges, len(raw), at, window, seed)
-                rows.append([signed(ranges.of(at, at + seed)), signed(ctx), np.full(len(at), uid, dtype=np.int64), at.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)])
+                rows.append([signed(ranges.of(at, at + seed) & np.uint64(0xFFFFFFFF)), signed(ctx), np.full(len(at), uid, dtype=np.int64), lo.astype(np.int32), hi.astype(np.int32)])
                 if len(rows) >= 500:
                     yield batch_of(rows, SEED_FIELDS)
                     rows = []
@@ -286,13 +286,17 @@ def repeated_byte_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     at = staged(dealt.mapInArrow(_repeated(bits), "uid long, at array<int>"), "repeated")
     by_doc = at.groupBy("uid").agg(F.flatten(F.collect_list("at")).alias("at"))
     seeds = staged(rows.select("uid", "body").join(by_doc, "uid").mapInArrow(_seeds_at(window), SEEDS), "seeds")
-    covered, apart = split_contexts(seeds, bits)
+    discard(at)
+    covered, apart, marked = split_contexts(seeds, bits)
+    discard(seeds)
     near = apart.groupBy("uid").agg(F.collect_list(F.struct("seed", "lo", "hi", "n_ctx")).alias("at"))
     cut = staged(rows.select("uid", "body").join(near, "uid").mapInArrow(_cut(window), "seed long, uid long, lo int, part binary, w long"), "contexts")
     light = cut.where("w is null").select("seed", "uid", "lo", "part").repartition("seed").sortWithinPartitions("seed")
     expanded = light.mapInArrow(_expand(window, bits), "uid long, lo int, hi int")
     heavy = repeated_windows(cut.where("w is not null").select("w", "uid", F.col("lo").alias("p")), bits, window)
-    return staged(covered.unionByName(expanded).unionByName(heavy), "spans")
+    spans = staged(covered.unionByName(expanded).unionByName(heavy), "spans")
+    discard(marked, cut)
+    return spans
 
 
 def dedup_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
