@@ -11,6 +11,7 @@ first. A side table holds (rank, id).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,9 @@ from terracat.llm.common import fresh_path, staged
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Tokenizers that drop white space: a chunk is a run without any. Others: a run with the one blank before it, or blanks.
 CHUNKS = {"dropped": rf"[^{BLANK}]+", "kept": rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"}
+SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 #: Chunks a task remembers, and the longest one worth remembering.
-CACHE, CACHED_CHARS = 300_000, 64
+CACHE, CACHED_CHARS = 900_000, 64
 #: Ids in a block of a token file, about.
 BLOCK_IDS = 1 << 18
 
@@ -36,9 +38,11 @@ class Encoder:
     """Whole texts to token ids. blanks: "dropped" or "kept" by the tokenizer. One instance per task."""
 
     def __init__(self, path: str, blanks: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        self.plain = blanks == "dropped"
         self.split = regex.compile(CHUNKS[blanks]).findall
         # A special token's string in a text cuts it for the tokenizer: such texts are encoded in one go.
         self.specials = regex.compile("|".join(map(regex.escape, (t.content for t in self.model.get_added_tokens_decoder().values()))) or r"(?!)")
@@ -46,20 +50,40 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         special = {k: self._whole(t) for k, t in enumerate(texts) if self.specials.search(t)}
-        chunks = [() if k in special else self.split(t) for k, t in enumerate(texts)]
+        chunks = [() if k in special else self._chunks(t) for k, t in enumerate(texts)]
         if len(self.known) > CACHE:
             self.known.clear()
         known = self.known
         new = list({c for cs in chunks for c in cs if c not in known})
-        if new:
-            for c, e in zip(new, self.model.encode_batch(new, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, dtype="<u4").tobytes()
+        blank = [c for c in new if c.isspace()]
+        for c, e in zip(blank, self.model.encode_batch(blank, add_special_tokens=False), strict=True):
+            known[c] = np.array(e.ids, dtype="<u4").tobytes()
+        solid = [c for c in new if not c.isspace()]
+        for at in range(0, len(solid), 2000):
+            self._learn(solid[at : at + 2000])
         out = [np.frombuffer(b"".join([known[c] for c in cs]), dtype="<u4") for cs in chunks]
         for c in new:
             if len(c) > CACHED_CHARS:
                 del known[c]
         return [special.get(k, x) for k, x in enumerate(out)]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode chunks in one go, a line each: no tokenizer here joins across the line break, and offsets tell chunks apart."""
+        made = self.model.encode("\n".join(chunks), add_special_tokens=False)
+        ids, start = np.array(made.ids, dtype="<u4"), np.fromiter((o[0] for o in made.offsets), dtype=np.int64, count=len(made))
+        size = np.array([len(c) for c in chunks])
+        first = np.cumsum(size + 1) - size - 1
+        of = np.searchsorted(first, start, side="right") - 1
+        own = start < first[of] + size[of]  # else the line break
+        raw = ids[own].tobytes()
+        ends = (np.cumsum(np.bincount(of[own], minlength=len(chunks))) * 4).tolist()
+        for c, a, b in zip(chunks, [0, *ends], ends, strict=False):
+            self.known[c] = raw[a:b]
+
+    def _chunks(self, text: str) -> list[str]:
+        # str.split knows the same blanks, and four control characters besides.
+        return text.split() if self.plain and not SEPARATORS.search(text) else self.split(text)
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
