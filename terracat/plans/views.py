@@ -20,3 +20,14 @@ CELLS_SPARK = "select label as item, cast(vec_id as int) as row, pos as col, cas
 CELLS_DUCK = "select label as item, cast(vec_id as int) as row, cast(unnest(range(len(embedding))) as int) as col, cast(unnest(embedding) as double) as value, unnest(embedding) > 0 as valid from embeddings"
 PATHS_SPARK = "select regexp_replace(url, '^https?://', '') as path, cast(octet_length(html) as bigint) as size from pages"
 PATHS_DUCK = "select regexp_replace(url, '^https?://', '') as path, cast(strlen(html) as bigint) as size from pages"
+BANDS = """select concat('r', cast(cast(floor(p_partkey / 3) as bigint) as string)) as item, p_partkey % 3 + 1 as band, case when p_size % 4 = 0 then null else p_name end as description,
+  case p_size % 5 when 0 then 'undefined' when 1 then 'gray' when 2 then 'red' when 3 then 'green' else 'nir' end as color, case p_size % 6 when 0 then 'uint8' when 1 then 'int16' when 2 then 'float32' when 3 then 'complex64' else 'uint16' end as data_type,
+  case when p_size % 3 = 0 then 1.0e0 else 0.5e0 end as scale, case when p_size % 2 = 0 then 0.0e0 else 2.0e0 end as off, case p_size % 7 when 0 then cast('NaN' as double) when 1 then cast('Infinity' as double) when 2 then cast('-Infinity' as double) else p_retailprice end as nodata
+  from part"""
+_SPANS = """select o_orderkey as item, d as campaign, case when o_orderkey % 3 = 0 then {near} end as anchor,
+  case o_orderkey % 5 when 0 then o_totalprice when 1 then o_totalprice % 80000 when 2 then {days} * 86400.0e0 - 1315964800 + o_orderkey % 2000000 when 3 then -1.0e0 end as gps_min,
+  case o_orderkey % 5 when 0 then case when o_orderkey % 2 = 0 then o_totalprice % 1000 else o_totalprice + 60 end when 1 then o_totalprice % 80000 + 100 when 2 then {days} * 86400.0e0 - 1315964800 + o_orderkey % 2000000 + 3600 when 3 then 5.0e0 end as gps_max
+  from (select o_orderkey, o_totalprice, {date} as d from orders)"""
+SPANS_SPARK = _SPANS.format(near="date_add(d, 9)", days="unix_date(d)", date="date_add(cast(o_orderdate as date), 7305)")
+SPANS_DUCK = _SPANS.format(near="d + 9", days="(d - date '1970-01-01')", date="(cast(o_orderdate as date) + 7305)")
+ARRIVALS = "select event_type as campaign, cast(user_id as string) as item, value from events"
