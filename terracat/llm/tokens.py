@@ -1,6 +1,6 @@
 """Tokenised corpora: encoding with a public tokenizer, and token-id files in a byte-aligned code.
 
-Encoding works on chunks that the tokenizer itself never merges across, each encoded once per task.
+Encoding works on chunks that the tokenizer itself never merges across, each encoded once per worker while it remembers them.
 
 File format: Parquet as the container, one row per block of documents in ascending doc_id order:
 `part int, block int, base long (ids before the block in its part), doc_ids array<long>, lengths array<int>,
@@ -11,12 +11,14 @@ first. A side table holds (rank, id).
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,62 +29,73 @@ from terracat.llm.common import fresh_path, staged
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Tokenizers that drop white space: a chunk is a run without any. Others: a run with the one blank before it, or blanks.
 CHUNKS = {"dropped": rf"[^{BLANK}]+", "kept": rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"}
-SEPARATORS = regex.compile(r"[\x1c-\x1f]")
-#: Chunks a task remembers, and the longest one worth remembering.
-CACHE, CACHED_CHARS = 900_000, 64
+#: Blanks that plain string functions would cut in another way than CHUNKS does.
+CONTROL, UNEVEN = re.compile(r"[\x1c-\x1f]"), ("  ", "\n\n", " \n", "\n ")
+#: Chunks a worker remembers, how many of the first learned (the commonest, mostly) it keeps when full, and the longest one worth it.
+CACHE, STAYING, CACHED_CHARS = 900_000, 450_000, 64
+#: A mark that the tokenizer turns into one id of its own; chunks that hold it are encoded apart.
+MARK = "~"
 #: Ids in a block of a token file, about.
 BLOCK_IDS = 1 << 18
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, blanks: str) -> Encoder:
+    """The worker's encoder, which later tasks of the same worker find with what it has learned."""
+    return Encoder(path, blanks)
+
+
 class Encoder:
-    """Whole texts to token ids. blanks: "dropped" or "kept" by the tokenizer. One instance per task."""
+    """Whole texts to token ids. blanks: "dropped" or "kept" by the tokenizer."""
 
     def __init__(self, path: str, blanks: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.plain = blanks == "dropped"
-        self.split = regex.compile(CHUNKS[blanks]).findall
+        self.dropped = blanks == "dropped"
+        self.split = re.compile(CHUNKS[blanks]).findall
         # A special token's string in a text cuts it for the tokenizer: such texts are encoded in one go.
-        self.specials = regex.compile("|".join(map(regex.escape, (t.content for t in self.model.get_added_tokens_decoder().values()))) or r"(?!)")
+        self.specials = re.compile("|".join(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()) or r"(?!)")
+        self.mark = self.model.encode(MARK, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         special = {k: self._whole(t) for k, t in enumerate(texts) if self.specials.search(t)}
         chunks = [() if k in special else self._chunks(t) for k, t in enumerate(texts)]
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.known = dict(itertools.islice(self.known.items(), STAYING))
         known = self.known
-        new = list({c for cs in chunks for c in cs if c not in known})
-        blank = [c for c in new if c.isspace()]
-        for c, e in zip(blank, self.model.encode_batch(blank, add_special_tokens=False), strict=True):
-            known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        solid = [c for c in new if not c.isspace()]
-        for at in range(0, len(solid), 2000):
-            self._learn(solid[at : at + 2000])
-        out = [np.frombuffer(b"".join([known[c] for c in cs]), dtype="<u4") for cs in chunks]
+        new = list(dict.fromkeys(c for c in itertools.chain.from_iterable(chunks) if c not in known))
+        plain = [c for c in new if MARK not in c] if self.dropped and len(self.mark) == 1 else []
+        for at in range(0, len(plain), 2000):
+            self._learn(plain[at : at + 2000])
+        alone = [c for c in new if c not in known]
+        for at in range(0, len(alone), 10_000):
+            part = alone[at : at + 10_000]
+            for c, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[c] = np.array(e.ids, dtype="<u4").tobytes()
+        out = [np.frombuffer(b"".join(map(known.__getitem__, cs)), dtype="<u4") for cs in chunks]
         for c in new:
             if len(c) > CACHED_CHARS:
                 del known[c]
         return [special.get(k, x) for k, x in enumerate(out)]
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks in one go, a line each: no tokenizer here joins across the line break, and offsets tell chunks apart."""
-        made = self.model.encode("\n".join(chunks), add_special_tokens=False)
-        ids, start = np.array(made.ids, dtype="<u4"), np.fromiter((o[0] for o in made.offsets), dtype=np.int64, count=len(made))
-        size = np.array([len(c) for c in chunks])
-        first = np.cumsum(size + 1) - size - 1
-        of = np.searchsorted(first, start, side="right") - 1
-        own = start < first[of] + size[of]  # else the line break
-        raw = ids[own].tobytes()
-        ends = (np.cumsum(np.bincount(of[own], minlength=len(chunks))) * 4).tolist()
-        for c, a, b in zip(chunks, [0, *ends], ends, strict=False):
+        """Encode chunks in one go, a marked line between them: a tokenizer that drops white space joins nothing across it."""
+        made = self.model.encode_batch_fast([f"\n{MARK}\n".join([*chunks, ""])], add_special_tokens=False)[0]
+        ids = np.array(made.ids, dtype="<u4")
+        ends = np.flatnonzero(ids == self.mark[0])
+        raw = ids.tobytes()
+        for c, a, b in zip(chunks, [0, *(4 * ends + 4).tolist()], (4 * ends).tolist(), strict=False):
             self.known[c] = raw[a:b]
 
     def _chunks(self, text: str) -> list[str]:
-        # str.split knows the same blanks, and four control characters besides.
-        return text.split() if self.plain and not SEPARATORS.search(text) else self.split(text)
+        if self.dropped:  # str.split knows the same blanks, and four control characters besides
+            return self.split(text) if CONTROL.search(text) else text.split()
+        if not text.replace("\n", "").isprintable() or any(x in text for x in UNEVEN):  # printable: the blank is the only white space
+            return self.split(text)
+        return text.replace("\n", "\x1f\n\x1f").replace(" ", "\x1f ").split("\x1f")
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -97,11 +110,11 @@ def encoded(docs: DataFrame, tokenizer: str, blanks: str, end_id: int, narrow: b
     fields = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, blanks)
+        own = encoder(tokenizer, blanks)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(part.column(1).to_pylist())]
+                ids = [np.append(x, np.uint32(end_id)) for x in own.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in ids], pa.int32()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], schema=fields)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
