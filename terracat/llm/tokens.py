@@ -15,6 +15,7 @@ import functools
 import itertools
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +40,9 @@ MARK = "~"
 BLOCK_IDS = 1 << 18
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str, blanks: str) -> Encoder:
-    """The worker's encoder, which later tasks of the same worker find with what it has learned."""
+@functools.lru_cache(maxsize=1)
+def encoder(path: str, blanks: str, run: str) -> Encoder:
+    """A worker's encoder for one run, which later tasks of that run find with what it has learned; other runs start anew."""
     return Encoder(path, blanks)
 
 
@@ -106,11 +107,11 @@ def encoded(docs: DataFrame, tokenizer: str, blanks: str, end_id: int, narrow: b
 
     Null text counts as empty and yields the end id alone. tokenizer: path of its file on every machine.
     """
-    kind = "<u2" if narrow else "<u4"
+    kind, this_run = "<u2" if narrow else "<u4", uuid.uuid4().hex
     fields = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer, blanks)
+        own = encoder(tokenizer, blanks, this_run)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
