@@ -1,14 +1,16 @@
 """Main text of web pages by tree scoring.
 
 Each paragraph gives points (one, one for each comma, one for each 100 characters up to three) to its parent and half
-of them to its grandparent; a container's points are discounted by its link density. The best container is kept with
-those siblings that score or read like it. What is never text (scripts, styles, menus, headers and footers of the
+of them to its grandparent; a container's points are discounted by its link density. An article element (main, where a
+page has none) has the points of all paragraphs within, or one for each 100 characters if that is more, and passes none
+on. The best of all containers is kept with those siblings that score or read like it. What is never text (scripts, styles, menus, headers and footers of the
 page, sidebars, forms, notices, adverts, reader comments) is taken out of the tree before scoring.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -31,19 +33,22 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "score")
+    __slots__ = ("tag", "parent", "children", "noise", "score", "holder", "total", "linked")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool = False):
         self.tag, self.parent, self.children, self.noise, self.score = tag, parent, [], noise, 0.0
+        self.holder, self.total, self.linked = self, 0, 0
 
 
 class Tree(HTMLParser):
-    """A forgiving tree: unclosed elements end with their parent, stray end tags are ignored."""
+    """A forgiving tree of any depth: unclosed elements end with their parent, stray end tags are ignored."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
-        self.depth = 0
+        self.path = [self.root]
+        self.open: dict[str, list[int]] = defaultdict(list)  # where open elements of a tag stand in the path
+        self.blocks = [0]  # where those stand that are not inline
         self.feed(html)
         self.close()
 
@@ -66,8 +71,11 @@ class Tree(HTMLParser):
             noise = True
         node = Node(tag, self.at, noise)
         self.at.children.append(node)
-        if self.depth < 400:
-            self.at, self.depth = node, self.depth + 1
+        self.open[tag].append(len(self.path))
+        if tag not in INLINE:
+            self.blocks.append(len(self.path))
+        self.path.append(node)
+        self.at = node
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -75,34 +83,30 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def inside(self, tag: str) -> bool:
-        node = self.at
-        while node and node.tag != tag:
-            node = node.parent
-        return node is not None
+        return bool(self.open[tag])
 
     def end(self, tag: str, stop: set[str]) -> None:
-        node = self.at
-        while node and node.tag != tag:
-            if node.tag in stop:
-                return
-            node = node.parent
-        if node and node.parent:
-            self.rise(node.parent)
-
-    def rise(self, to: Node) -> None:
-        while self.at is not to:
-            self.at, self.depth = self.at.parent, self.depth - 1
+        if self.open[tag]:
+            last = self.open[tag][-1]
+            if all(not self.open[t] or self.open[t][-1] <= last for t in stop):
+                self.rise(last)
+
+    def rise(self, to: int) -> None:
+        """Close the element that stands there in the path and all within it."""
+        while len(self.path) > to:
+            tag = self.path.pop().tag
+            self.open[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+        self.at = self.path[-1]
 
     def handle_endtag(self, tag):
-        if tag in VOID or tag in ("html", "body"):
+        if tag in VOID or tag in ("html", "body") or not self.open[tag]:
             return
-        node, inline = self.at, tag in INLINE
-        while node and node.tag != tag:
-            if inline and node.tag not in INLINE:
-                return  # an inline end tag does not close blocks
-            node = node.parent
-        if node and node.parent:
-            self.rise(node.parent)
+        last = self.open[tag][-1]
+        if tag in INLINE and self.blocks[-1] > last:
+            return  # an inline end tag does not close blocks
+        self.rise(last)
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -126,20 +130,15 @@ def blocks_of(node: Node) -> list[str]:
     return [t for b in out if (t := SPACE.sub(" ", "".join(b)).strip())]
 
 
-def sizes(node: Node) -> tuple[int, int]:
-    """Characters of text and of linked text below a node."""
-    total = linked = 0
-    todo: list = [(node, node.tag == "a")]
-    while todo:
-        x, link = todo.pop()
-        for c in x.children:
-            if isinstance(c, str):
-                n = len(c.strip())
-                total += n
-                linked += n * link
-            elif not c.noise:
-                todo.append((c, link or c.tag == "a"))
-    return total, linked
+def measure(nodes: list[Node]) -> None:
+    """Characters of text and of linked text below each node; nodes stand after their parents."""
+    for x in reversed(nodes):
+        x.total += sum(len(c.strip()) for c in x.children if isinstance(c, str))
+        if x.tag == "a":
+            x.linked = x.total
+        if x.parent:
+            x.parent.total += x.total
+            x.parent.linked += x.linked
 
 
 def main_text(html: str | None) -> str:
@@ -152,34 +151,42 @@ def main_text(html: str | None) -> str:
         x = todo.pop()
         nodes.append(x)
         todo += [c for c in x.children if isinstance(c, Node) and not c.noise]
+    measure(nodes)
     marked = [x for x in nodes if x.tag == "article"] or [x for x in nodes if x.tag == "main"]
+    special = {id(x) for x in marked}
+    within: dict[int, float] = defaultdict(float)  # points of the paragraphs below a node
     for x in nodes:
+        if x.parent and (x.tag in PARAGRAPHS or x.tag in INLINE or x.tag in ("ul", "ol", "table", "tr", "tbody", "dl")):
+            x.holder = x.parent.holder
         if x.tag in PARAGRAPHS and x.parent:
             text = " ".join(c for c in x.children if isinstance(c, str)).strip()
             points = 1 + text.count(",") + min(3, len(text) // 100) if text else 0
-            up = x.parent
-            while up.parent and (up.tag in PARAGRAPHS or up.tag in INLINE or up.tag in ("ul", "ol", "table", "tr", "tbody", "dl")):
-                up = up.parent
+            up = x.parent.holder
+            within[id(up)] += points
             up.score += points
-            if up.parent:
+            if up.parent and id(up) not in special:
                 up.parent.score += points / 2
+    for x in reversed(nodes):
+        if id(x) in special:
+            x.score = max(within[id(x)], x.total / 100)
+        if x.parent:
+            within[id(x.parent)] += within[id(x)]
     for x in nodes:
         if x.score:
-            total, linked = sizes(x)
-            x.score *= 1 - linked / total if total else 0.0
-    best = max(marked or nodes, key=lambda x: x.score)
+            x.score *= 1 - x.linked / x.total if x.total else 0.0
+    best = max(marked + nodes, key=lambda x: x.score)
     if not marked and best.score <= 0:
         return " ".join(blocks_of(root))
     if not best.parent:
         return " ".join(blocks_of(best))
     kept: list[str] = []
+    bare = id(best) not in special
     for sibling in best.parent.children:
         if isinstance(sibling, str) or sibling.noise:
             continue
-        total, linked = sizes(sibling)
-        dense = linked / total if total else 0.0
-        reads = sibling.tag in PARAGRAPHS and not marked and total > 80 and dense < 0.25
-        if sibling is best or (sibling.tag == best.tag and sibling.score >= 0.2 * best.score and dense < 0.5) or reads or (not marked and sibling.tag == "h1"):
+        dense = sibling.linked / sibling.total if sibling.total else 0.0
+        reads = sibling.tag in PARAGRAPHS and bare and sibling.total > 80 and dense < 0.25
+        if sibling is best or (sibling.tag == best.tag and sibling.score >= 0.2 * best.score and dense < 0.5) or reads or (bare and sibling.tag == "h1"):
             kept += blocks_of(sibling)
     return " ".join(kept)
 
