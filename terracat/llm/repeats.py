@@ -60,15 +60,15 @@ def repeated_seeds(seeds: DataFrame, bits: int) -> DataFrame:
 
 def split_contexts(seeds: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(uid, lo, hi) covered as a whole by a smaller document's context; seed rows of first documents whose seed has
-    other contexts; and the staged table behind both."""
+    other contexts, with the rows (n_rows) of that seed in all documents; and the staged table behind both."""
     doc = F.shiftright("uid", bits)
-    first = staged(seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"), F.max(doc).alias("last")), "firsts")
-    several = first.groupBy("seed").agg(F.count("*").alias("n_ctx"))
+    first = staged(seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"), F.max(doc).alias("last"), F.count("*").alias("n")), "firsts")
+    several = first.groupBy("seed").agg(F.count("*").alias("n_ctx"), F.sum("n").alias("n_rows"))
     # A context that one document alone has, and whose seed has no other, says nothing.
-    telling = first.join(several, "seed").where("first < last or n_ctx > 1").select("seed", "ctx", "first", "n_ctx")
-    marked = staged(seeds.join(telling, ["seed", "ctx"]).withColumn("covered", doc > F.col("first")).where("covered or n_ctx > 1").select("uid", "lo", "hi", "covered", "seed", "n_ctx"), "marked")
+    telling = first.join(several, "seed").where("first < last or n_ctx > 1").select("seed", "ctx", "first", "n_ctx", "n_rows")
+    marked = staged(seeds.join(telling, ["seed", "ctx"]).withColumn("covered", doc > F.col("first")).where("covered or n_ctx > 1").select("uid", "lo", "hi", "covered", "seed", "n_rows"), "marked")
     discard(first)
-    return marked.where("covered").select("uid", "lo", "hi"), marked.where("not covered").select("seed", "uid", "lo", "hi", "n_ctx"), marked
+    return marked.where("covered").select("uid", "lo", "hi"), marked.where("not covered").select("seed", "uid", "lo", "hi", "n_rows"), marked
 
 
 def repeated_windows(windows: DataFrame, bits: int, window: int) -> DataFrame:

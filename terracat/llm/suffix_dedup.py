@@ -4,8 +4,9 @@ Seeds of half the length (see repeats.py) are sent in packed blocks to buckets o
 stand in two documents. Where a repeated seed has several contexts, the contexts of a bucket become one text: its
 suffixes are sorted, its Burrows-Wheeler transform is taken, and intervals of equal prefixes are extended backwards
 breadth first, one byte a level, so that the places where neighbours share exactly 0, 1, 2 ... bytes are found in that
-order. It stops at the length asked for: what is not yet parted shares that many bytes. A seed of more contexts than
-one bucket should hold has its windows grouped by hash instead, which gives the same spans.
+order. It stops at the length asked for: what is not yet parted shares that many bytes. A seed of more places in first
+documents than one text should hold (many contexts, or a long run of one byte, where every place is a seed) has its
+windows grouped by hash instead, which gives the same spans.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from terracat.llm.common import Ranges, discard, mix, signed, staged, with_uid
 from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, contexts, mask_of, removal, repeated_windows, seed_places, sha, split_contexts, windows_of_places
 
-#: Contexts of one seed that may meet in one bucket, and bytes of text per bucket of seeds.
+#: Places of one seed whose contexts may meet in one text, and bytes of text per bucket of seeds.
 HEAVY, BUCKET_BYTES = 2_000, 32 << 20
 #: Contexts in one transformed text, about.
 TEXT_CONTEXTS = 12_000
@@ -263,19 +264,27 @@ def _cut(window: int):
         for batch in batches:
             for k in range(batch.num_rows):
                 uid, raw = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                at = batch.column(2)[k].as_py()
-                light = [(r["seed"], uid, r["lo"], raw[r["lo"] : r["hi"]], None) for r in at if r["n_ctx"] <= HEAVY]
-                if light:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*light, strict=True), fields, strict=True)], schema=fields)
-                heavy = [(r["lo"], r["hi"]) for r in at if r["n_ctx"] > HEAVY]
-                if heavy:
-                    lo, hi = (np.array(c) for c in zip(*heavy, strict=True))
-                    w, own, p = windows_of_places(uid, Ranges(units(raw)), lo, hi, window)
+                seed, lo, hi, heavy = (c.to_numpy(zero_copy_only=False) for c in batch.column(2)[k].values.flatten())
+                light = np.flatnonzero(~heavy)
+                if len(light):
+                    parts = [raw[a:b] for a, b in zip(lo[light].tolist(), hi[light].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(seed[light]), pa.array(np.full(len(light), uid, dtype=np.int64)), pa.array(lo[light]), pa.array(parts, pa.binary()), pa.nulls(len(light), pa.int64())], schema=fields)
+                if len(light) < len(heavy):
+                    w, own, p = windows_of_places(uid, Ranges(units(raw)), lo[heavy], hi[heavy], window)
                     yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int64()), pa.array(own), pa.array(p), pa.nulls(len(w), pa.binary()), pa.array(w)], schema=fields)
 
     return run
 
 
+def told_heavy(apart: DataFrame) -> DataFrame:
+    """Seed rows of first documents with heavy: whether their seed has more than HEAVY such rows. Of it all, only seeds
+    with so many rows in any documents are counted."""
+    crowded = staged(apart.where(F.col("n_rows") > HEAVY).groupBy("seed").agg(F.count("*").alias("own")).where(F.col("own") > HEAVY).select("seed", F.lit(True).alias("heavy")), "crowded")
+    if crowded.isEmpty():
+        return apart.withColumn("heavy", F.lit(False))
+    return apart.join(crowded, "seed", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
+
+
 def repeated_byte_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     """(uid, lo, hi) byte ranges of rows (uid, body) that also stand in a document of a smaller id."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -289,7 +298,7 @@ def repeated_byte_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     discard(at)
     covered, apart, marked = split_contexts(seeds, bits)
     discard(seeds)
-    near = apart.groupBy("uid").agg(F.collect_list(F.struct("seed", "lo", "hi", "n_ctx")).alias("at"))
+    near = told_heavy(apart).groupBy("uid").agg(F.collect_list(F.struct("seed", "lo", "hi", "heavy")).alias("at"))
     cut = staged(rows.select("uid", "body").join(near, "uid").mapInArrow(_cut(window), "seed long, uid long, lo int, part binary, w long"), "contexts")
     light = cut.where("w is null").select("seed", "uid", "lo", "part").repartition("seed").sortWithinPartitions("seed")
     expanded = light.mapInArrow(_expand(window, bits), "uid long, lo int, hi int")
