@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracat.operators.snapshot import collection_extent
+from terracat.sources.folders import shared_path
 
 
 def gate_status(now: DataFrame, before: DataFrame, digests: DataFrame, forced: bool = False) -> DataFrame:
@@ -116,33 +119,110 @@ def max_listed(names: DataFrame, most: int = 3) -> DataFrame:
     return shown.join(total, "dir").select("dir", more.alias("listed"))
 
 
-def tile_runt_merge(tiles: DataFrame, threshold: int) -> DataFrame:
-    """tiles (dataset, name, size, col, row) + merged_into: small tiles join a neighbour until none is too small.
+#: Side of the square blocks, in tiles, in which a round of tile_runt_merge works.
+BLOCK = 48
+_GROUPS = "dataset string, id string, size long, col long, row long, beside array<string>, gone_to string"
 
-    The order of merges matters, so a dataset's tile table (one row per tile, not per point) is worked in one task. Of
-    the groups below the threshold with a neighbour the smallest joins its smallest neighbour; names break ties.
-    """
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _merge_block(threshold: int):
+    """Merges within one block that no group outside can influence, in the order of a single pass over the dataset."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("name", ignore_index=True)
-        group = dict(enumerate([k] for k in range(len(frame))))  # by first tile
-        size = dict(enumerate(frame["size"].tolist()))
-        at = {(c, r): k for k, (c, r) in enumerate(zip(frame["col"], frame["row"], strict=True))}
-        beside = {k: {at[n] for n in ((c + 1, r), (c - 1, r), (c, r + 1), (c, r - 1)) if n in at} for (c, r), k in at.items()}
-        label = {k: frame["name"][k] for k in group}
-        while runts := [k for k in group if size[k] < threshold and beside[k]]:
-            small = min(runts, key=lambda k: (size[k], label[k]))
-            into = min(beside[small], key=lambda k: (size[k], label[k]))
-            group[into] += group.pop(small)
-            size[into] += size.pop(small)
+        size = dict(zip(frame["id"], frame["size"].tolist(), strict=True))
+        beside = {k: set(b) for k, b in zip(frame["id"], frame["beside"], strict=True)}
+        gone: dict[str, str] = {}
+        order = lambda k: (size[k], k)
+
+        def around(k: str) -> set[str] | None:
+            """Groups up to two steps away, or None if some of them are outside."""
+            if not all(n in size for n in beside[k]):
+                return None
+            near = set(beside[k]).union(*(beside[n] for n in beside[k]))
+            return near if all(n in size for n in near) else None
+
+        todo = [(n, k) for k, n in size.items() if n < threshold and beside[k]]
+        heapq.heapify(todo)
+        while todo:
+            n, small = heapq.heappop(todo)
+            if small in gone or size[small] != n or n >= threshold or not beside[small]:
+                continue
+            near = around(small)
+            if near is None or any(order(k) < (n, small) for k in near if k != small):
+                continue  # it is looked at again when something near has changed
+            into = min(beside[small], key=order)
+            gone[small] = into
+            size[into] += n
             for other in beside.pop(small):
                 beside[other].discard(small)
                 if other != into:
                     beside[other].add(into)
                     beside[into].add(other)
-        out = frame.copy()
-        for members in group.values():
-            out.loc[members, "merged_into"] = min(((-frame["size"][m], frame["name"][m]) for m in members))[1]
-        return out[["dataset", "name", "merged_into"]]
+            del size[small]
+            again = {into, *beside[into]}.union(*(beside[k] for k in beside[into] if k in beside))
+            for k in again | (near - {small}):
+                if k in size and size[k] < threshold:
+                    heapq.heappush(todo, (size[k], k))
+        out = frame[["dataset", "id", "size", "col", "row"]].copy()
+        out["size"] = [size.get(k, n) for k, n in zip(frame["id"], frame["size"], strict=True)]
+        out["beside"] = [sorted(beside.get(k, ())) for k in frame["id"]]
+        out["gone_to"] = [gone.get(k) for k in frame["id"]]
+        return out
 
-    return tiles.select("dataset", "name", "size", "col", "row").groupBy("dataset").applyInPandas(merge, "dataset string, name string, merged_into string")
+    return merge
+
+
+def tile_runt_merge(tiles: DataFrame, threshold: int) -> DataFrame:
+    """tiles (dataset, name, size, col, row) + merged_into: small tiles join a neighbour until none is too small.
+
+    Order rule: of the groups of a dataset below the threshold with a neighbour the smallest joins its smallest
+    neighbour; a group's first tile breaks ties. A group that is the least of all groups up to two steps away takes
+    that step whatever happens elsewhere, so such groups are merged side by side, with the same result: each round
+    parts the plane into blocks and takes all such steps within each, the next round shifts the blocks. Four
+    rounds without a merge double the blocks' side, so a task outgrows BLOCK only where groups have grown wider than it. Every round
+    is a written table. Names are unique within a dataset.
+    """
+    # A null dataset is one like others.
+    base = tiles.select(F.to_json(F.struct("dataset")).alias("dataset"), "name", "size", "col", "row")
+    steps = F.explode(F.array(*[F.struct(F.lit(c).alias("dc"), F.lit(r).alias("dr")) for c, r in ((1, 0), (-1, 0), (0, 1), (0, -1))]))
+    asked = base.select("dataset", "name", "col", "row", steps.alias("d")).select("dataset", "name", (F.col("col") + F.col("d.dc")).alias("col"), (F.col("row") + F.col("d.dr")).alias("row"))
+    pairs = asked.join(base.select("dataset", F.col("name").alias("other"), "col", "row"), ["dataset", "col", "row"])
+    beside = pairs.groupBy("dataset", "name").agg(F.sort_array(F.collect_set("other")).alias("beside"))
+    start = base.join(beside, ["dataset", "name"], "left").select("dataset", F.col("name").alias("id"), F.col("size").cast("long").alias("size"), F.col("col").cast("long").alias("col"), F.col("row").cast("long").alias("row"), F.coalesce("beside", F.array().cast("array<string>")).alias("beside"), F.lit(None).cast("string").alias("gone_to"))
+    groups = _written(start, "groups")
+    hops, side, number, stalled = [], BLOCK, 0, 0
+    waiting = (F.col("size") < threshold) & (F.size("beside") > 0)
+    while not groups.where(waiting).isEmpty():
+        shift = (0, side // 2, side // 4, side - side // 4)
+        block = [F.floor((F.col(c) + shift[(number + k) % 4]) / F.lit(side)).alias(f"b{c}") for k, c in enumerate(("col", "row"))]
+        keyed = groups.select("*", *block)
+        done = _written(keyed.groupBy("dataset", "bcol", "brow").applyInPandas(_merge_block(threshold), _GROUPS), "groups")
+        moved = done.where("gone_to is not null").select("dataset", "id", "gone_to")
+        number += 1
+        if not moved.isEmpty():
+            hops.append(moved)
+            stalled = 0
+        elif (stalled := stalled + 1) == 4:
+            side, stalled = 2 * side, 0
+        groups = done.where("gone_to is null")
+    label = base.select("dataset", "name", "size", F.col("name").alias("id"))
+    # Within a round a group may have gone into one that went on itself: a round's hops are followed to their end.
+    for moved in hops:
+        moved = _followed(moved)
+        label = _written(label.join(moved, ["dataset", "id"], "left").select("dataset", "name", "size", F.coalesce("gone_to", "id").alias("id")), "labels")
+    largest = label.groupBy("dataset", "id").agg(F.min(F.struct((-F.col("size")).alias("k"), "name")).alias("m")).select("dataset", "id", F.col("m.name").alias("merged_into"))
+    return label.join(largest, ["dataset", "id"]).select(F.get_json_object("dataset", "$.dataset").alias("dataset"), "name", "merged_into")
+
+
+def _followed(hop: DataFrame) -> DataFrame:
+    """hop (dataset, id, gone_to) with gone_to the end of each chain, by pointer doubling."""
+    while True:
+        up = hop.select("dataset", F.col("id").alias("gone_to"), F.col("gone_to").alias("further"))
+        if hop.join(up, ["dataset", "gone_to"], "left_semi").isEmpty():
+            return hop
+        hop = _written(hop.join(up, ["dataset", "gone_to"], "left").select("dataset", "id", F.coalesce("further", "gone_to").alias("gone_to")), "hops")
