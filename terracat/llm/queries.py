@@ -11,6 +11,7 @@ from terracat.llm.common import table
 from terracat.llm.decontaminate import find_contamination
 from terracat.llm.html_text import extract_pages
 from terracat.llm.near_dup import near_duplicates
+from terracat.llm.oracles import ORACLES  # noqa: F401  (read by the entry point)
 from terracat.llm.packing import pack_documents
 from terracat.llm.quality import judge_quality
 from terracat.llm.substring_dedup import dedup_substrings
@@ -64,4 +65,3 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup)}
-ORACLES: dict[str, str] = {}
