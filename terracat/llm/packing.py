@@ -1,12 +1,13 @@
 """Best-fit packing of token sequences, hierarchically.
 
-Pieces are dealt at random over parts; each part packs its own by best fit in falling size and closes its nearly full
-bins. The underfull bins, each now one item of its fill, are dealt over fewer parts and packed again, in a tree, until
-a round no longer saves bins or one part is left. What a part holds is bounded by ITEMS, never by the corpus.
+Pieces are dealt at random over at least two parts of some FEW to ITEMS pieces. Each part packs its own by best fit in falling size and emits its nearly full bins. The underfull bins, each
+now one item of its fill, are dealt over fewer parts and packed again, in a tree, until they all met in one part or a
+round saves less than LEAST of them. What a part holds is bounded by ITEMS, never by the corpus.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,14 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import staged
-from terracat.llm.tokens import encoded
+from terracat.llm.common import discard, staged
+from terracat.llm.tokens import Encoder, doc_texts, no_cycles
 
 #: Items that one part packs, and the parts of a round whose underfull bins meet in one part of the next.
 ITEMS, FAN_IN = 400_000, 8
+#: Items that a part of the first round should hold, as long as the session has shuffle partitions for the parts.
+FEW = 4_000
 #: A bin with at most this share of free room is closed.
 SLACK = 0.002
-ROUNDS = 6
+#: A round that saves a smaller share of the underfull bins is the last.
+LEAST = 0.001
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,27 +75,51 @@ def _round(items: DataFrame, capacity: int, parts: int, number: int) -> DataFram
 
 
 def pack_items(items: DataFrame, capacity: int) -> DataFrame:
-    """items (item long unique, size int in 1..capacity) -> item, sequence_id, offset: bins of at most capacity, gapless."""
+    """items (item long unique, size int in 1..capacity) -> item, sequence_id, offset: bins of at most capacity, gapless.
+
+    No items give no rows.
+    """
     total = items.count()
-    parts = max(1, -(-total // ITEMS))
-    placed = _round(items, capacity, parts, 1)
-    for number in range(2, ROUNDS + 2):
-        if parts == 1:
-            break
+    parts = max(2, min(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // FEW), -(-total // ITEMS))
+    placed, number, saved, count = _round(items, capacity, parts, 1), 1, 1, 1
+    while parts > 1 and saved > LEAST * count:
+        number += 1
         under = placed.where(F.col("fill") < capacity * (1 - SLACK)).groupBy("bin").agg(F.first("fill").alias("size"))
         count = under.count()
         parts = max(-(-count // ITEMS), -(-parts // FAN_IN))
         merged = _round(under.select(F.col("bin").alias("item"), "size"), capacity, parts, number)
         saved = count - merged.select("bin").distinct().count()
         up = merged.select(F.col("item").alias("bin"), F.col("bin").alias("to"), F.col("offset").alias("by"), F.col("fill").alias("now"))
-        placed = staged(
-            placed.join(up, "bin", "left").select("item", F.coalesce("to", "bin").alias("bin"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"), F.coalesce("now", "fill").alias("fill")), "bins"
-        )
-        if not saved:
-            break
+        moved = placed.join(up, "bin", "left")
+        offset = F.col("offset") + F.coalesce("by", F.lit(0))
+        below = placed
+        placed = staged(moved.select("item", F.coalesce("to", "bin").alias("bin"), offset.alias("offset"), F.coalesce("now", "fill").alias("fill")), "bins")
+        discard(below, merged)
     return placed.select("item", F.col("bin").alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
 
 
+def pieces_of(docs: DataFrame, tokenizer: str, blanks: str, end_id: int, capacity: int) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of the pieces of each document; a longer one's first may be shorter."""
+    fields = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, end = Encoder(tokenizer, blanks), end_id.to_bytes(4, "little")
+        with no_cycles():
+            for batch in batches:
+                rows = []
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    raw = own.raw(text.as_py()) + end
+                    n = len(raw) // 4
+                    at, size, piece = 0, (n - 1) % capacity + 1, 0
+                    while at < n:
+                        rows.append((doc, piece, at, size, zlib.crc32(raw[4 * at : 4 * (at + size)])))
+                        at, size, piece = at + size, capacity, piece + 1
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
+
+    return doc_texts(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, blanks: str = "kept", end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """One row per piece: doc_id, piece int, start, length, ids_crc32 (long), sequence_id, offset (long).
 
@@ -99,24 +127,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, blanks: str = "kept", end_id
     empty text is the end id alone. Null ids and repeated rows are packed like others, a row for each. An empty table
     gives an empty result. Extra columns are ignored.
     """
-    ids = encoded(docs, tokenizer, blanks, end_id, narrow=False)
-    fields = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
-        for batch in batches:
-            rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n = len(raw) // 4
-                at, size, piece = 0, (n - 1) % capacity + 1, 0
-                while at < n:
-                    rows.append((doc, piece, at, size, zlib.crc32(raw[4 * at : 4 * (at + size)])))
-                    at, size, piece = at + size, capacity, piece + 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
-
-    pieces = ids.select("doc_id", "ids").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
-    pieces = staged(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    pieces = staged(pieces_of(docs, tokenizer, blanks, end_id, capacity).withColumn("item", F.monotonically_increasing_id()), "pieces")
     placed = pack_items(pieces.select("item", F.col("length").cast("int").alias("size")), capacity)
     return pieces.join(placed, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

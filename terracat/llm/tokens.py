@@ -1,6 +1,7 @@
 """Tokenised corpora: encoding with a public tokenizer, and token-id files in a byte-aligned code.
 
-Encoding works on chunks that the tokenizer itself never merges across, each encoded once per worker while it remembers them.
+Encoding works on chunks and pieces that the tokenizer itself never merges across. A task remembers the ids of those it
+has seen; a new piece goes to the tokenizer's merge model alone.
 
 File format: Parquet as the container, one row per block of documents in ascending doc_id order:
 `part int, block int, base long (ids before the block in its part), doc_ids array<long>, lengths array<int>,
@@ -11,11 +12,12 @@ first. A side table holds (rank, id).
 
 from __future__ import annotations
 
+import array
+import contextlib
 import functools
-import itertools
+import gc
 import os
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,66 +32,74 @@ from terracat.llm.common import fresh_path, staged
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Tokenizers that drop white space: a chunk is a run without any. Others: a run with the one blank before it, or blanks.
 CHUNKS = {"dropped": rf"[^{BLANK}]+", "kept": rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"}
+#: Letters and numbers up to U+00FF, and how the two tokenizers cut a chunk of such characters into pieces.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
+ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+PIECES = {
+    "dropped": rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^{BLANK}{LETTERS}{NUMBERS}]+",
+    "kept": rf"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{BLANK}{LETTERS}{NUMBERS}]+|[{BLANK}]+",
+}
+LAST = "ÿ"
 #: Blanks that plain string functions would cut in another way than CHUNKS does.
 CONTROL, UNEVEN = re.compile(r"[\x1c-\x1f]"), ("  ", "\n\n", " \n", "\n ")
-#: Chunks a worker remembers, how many of the first learned (the commonest, mostly) it keeps when full, and the longest one worth it.
-CACHE, STAYING, CACHED_CHARS = 900_000, 450_000, 64
-#: A mark that the tokenizer turns into one id of its own; chunks that hold it are encoded apart.
-MARK = "~"
+#: Chunks and pieces a task remembers, and the longest one worth it; beyond it the memory is emptied.
+CACHE, CACHED_CHARS = 500_000, 48
 #: Ids in a block of a token file, about.
 BLOCK_IDS = 1 << 18
 
 
-@functools.lru_cache(maxsize=1)
-def encoder(path: str, blanks: str, run: str) -> Encoder:
-    """A worker's encoder for one run, which later tasks of that run find with what it has learned; other runs start anew."""
-    return Encoder(path, blanks)
+@functools.lru_cache(maxsize=2)
+def tokenizer_of(path: str):
+    """A worker's tokenizer; what is remembered of texts belongs to a task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
-class Encoder:
-    """Whole texts to token ids. blanks: "dropped" or "kept" by the tokenizer."""
+class Encoder(dict):
+    """Whole texts to token ids; as a dict, what it remembers: chunk or piece -> its ids as bytes.
+
+    blanks: "dropped" or "kept" by the tokenizer; kind: numpy type of the ids in bytes.
+    """
 
-    def __init__(self, path: str, blanks: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, blanks: str, kind: str = "<u4"):
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        self.model = Tokenizer.from_file(path)
+        super().__init__()
+        self.tokenizer, self.kind, self.code = tokenizer_of(path), kind, {"<u2": "H", "<u4": "I"}[kind]
+        self.merge = self.tokenizer.model.tokenize
         self.dropped = blanks == "dropped"
-        self.split = re.compile(CHUNKS[blanks]).findall
+        self.split, self.cut = re.compile(CHUNKS[blanks]).findall, re.compile(PIECES[blanks]).findall
+        spelt = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str  # bytes as the merge model spells them
+        self.spelling = {k: spelt(chr(k))[0][0] for k in range(ord(LAST) + 1)}
         # A special token's string in a text cuts it for the tokenizer: such texts are encoded in one go.
-        self.specials = re.compile("|".join(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()) or r"(?!)")
-        self.mark = self.model.encode(MARK, add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        self.specials = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+
+    def raw(self, text: str) -> bytes:
+        """Ids of a text, as bytes."""
+        if self.specials.search(text):
+            return self._whole(text)
+        return b"".join(map(self.__getitem__, self._chunks(text)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        special = {k: self._whole(t) for k, t in enumerate(texts) if self.specials.search(t)}
-        chunks = [() if k in special else self._chunks(t) for k, t in enumerate(texts)]
-        if len(self.known) > CACHE:
-            self.known = dict(itertools.islice(self.known.items(), STAYING))
-        known = self.known
-        new = list(dict.fromkeys(c for c in itertools.chain.from_iterable(chunks) if c not in known))
-        plain = [c for c in new if MARK not in c] if self.dropped and len(self.mark) == 1 else []
-        for at in range(0, len(plain), 2000):
-            self._learn(plain[at : at + 2000])
-        alone = [c for c in new if c not in known]
-        for at in range(0, len(alone), 10_000):
-            part = alone[at : at + 10_000]
-            for c, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [np.frombuffer(b"".join(map(known.__getitem__, cs)), dtype="<u4") for cs in chunks]
-        for c in new:
-            if len(c) > CACHED_CHARS:
-                del known[c]
-        return [special.get(k, x) for k, x in enumerate(out)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks in one go, a marked line between them: a tokenizer that drops white space joins nothing across it."""
-        made = self.model.encode_batch_fast([f"\n{MARK}\n".join([*chunks, ""])], add_special_tokens=False)[0]
-        ids = np.array(made.ids, dtype="<u4")
-        ends = np.flatnonzero(ids == self.mark[0])
-        raw = ids.tobytes()
-        for c, a, b in zip(chunks, [0, *(4 * ends + 4).tolist()], (4 * ends).tolist(), strict=False):
-            self.known[c] = raw[a:b]
+        return [np.frombuffer(self.raw(t), dtype=self.kind) for t in texts]
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() or max(chunk) <= LAST:
+            pieces = self.cut(chunk.lower() if self.dropped else chunk)
+            if len(pieces) == 1:
+                ids = [t.id for t in self.merge(pieces[0].translate(self.spelling))]
+                value = array.array(self.code, ids).tobytes()
+            else:
+                value = b"".join(map(self.__getitem__, pieces))
+        else:  # composed forms and letter cases beyond are the tokenizer's own matter
+            value = self._whole(chunk)
+        if len(chunk) <= CACHED_CHARS:
+            if len(self) >= CACHE:
+                self.clear()
+            self[chunk] = value
+        return value
 
     def _chunks(self, text: str) -> list[str]:
         if self.dropped:  # str.split knows the same blanks, and four control characters besides
@@ -98,8 +108,23 @@ class Encoder:
             return self.split(text)
         return text.replace("\n", "\x1f\n\x1f").replace(" ", "\x1f ").split("\x1f")
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+
+@contextlib.contextmanager
+def no_cycles():
+    """The memory of an encoder holds no cycles, and searching it for some again and again takes a tenth of the time."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
+def doc_texts(docs: DataFrame) -> DataFrame:
+    """doc_id long, text (null: empty)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def encoded(docs: DataFrame, tokenizer: str, blanks: str, end_id: int, narrow: bool = True) -> DataFrame:
@@ -107,19 +132,19 @@ def encoded(docs: DataFrame, tokenizer: str, blanks: str, end_id: int, narrow: b
 
     Null text counts as empty and yields the end id alone. tokenizer: path of its file on every machine.
     """
-    kind, this_run = "<u2" if narrow else "<u4", uuid.uuid4().hex
+    kind = "<u2" if narrow else "<u4"
     fields = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer, blanks, this_run)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [np.append(x, np.uint32(end_id)) for x in own.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in ids], pa.int32()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], schema=fields)
+        own, end = Encoder(tokenizer, blanks, kind), np.array([end_id], dtype=kind).tobytes()
+        with no_cycles():
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    ids = [own.raw(t) + end for t in part.column(1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // len(end) for x in ids], pa.int32()), pa.array(ids, pa.binary())], schema=fields)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_tokens int, ids binary")
+    return doc_texts(docs).mapInArrow(run, "doc_id long, n_tokens int, ids binary")
 
 
 def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -205,9 +230,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, blanks: str =
 
 
 def vocabulary(tokenizer: str) -> int:
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(tokenizer).get_vocab_size()
+    return tokenizer_of(tokenizer).get_vocab_size()
 
 
 def read_token_files(spark, path: str) -> DataFrame:
@@ -240,5 +263,3 @@ def token_index(docs: DataFrame, tokenizer: str, blanks: str = "dropped", end_id
     path = fresh_path(docs.sparkSession, "tokens")
     write_token_files(docs, tokenizer, path, blanks, end_id)
     return read_token_files(docs.sparkSession, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-

@@ -206,7 +206,7 @@ def test_encoder(path, blanks, texts):
     mixed = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 30))) for _ in range(400)] + [t or "" for t in texts]
     e = Encoder(path, blanks)
     for t, ids in zip(mixed, e.encode(mixed), strict=True):
-        assert ids.tolist() == e.model.encode(t, add_special_tokens=False).ids, repr(t)
+        assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_rank_code():
@@ -293,3 +293,16 @@ def test_toxicity_held_out(spark):
 def test_toxicity_fold(spark):
     got = {r["doc_id"]: r["held_out"] for r in score_toxicity(spark.createDataFrame([(k, "a", "", "", 1) for k in range(50)], SCHEMA), fit_toxicity(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "doc_id long, quality int, toxic int"))).collect()}
     assert got == {k: zlib.crc32(str(k).encode()) % 5 == 0 for k in range(50)}
+
+
+def test_packing_rounds(spark):
+    """Few items go through the tree too: several parts at first, and no more bins than one part would need."""
+    import numpy as np
+
+    from terracat.llm import packing
+
+    sizes = np.random.default_rng(6).integers(1, 1500, 1600)
+    items = spark.createDataFrame([(k, int(n)) for k, n in enumerate(sizes)], "item long, size int").repartition(4)
+    got = packing.pack_items(items, 2048).collect()
+    rounds = {r["sequence_id"] >> 56 for r in got}
+    assert max(rounds) > 1 and len({r["sequence_id"] for r in got}) <= 1.03 * len(best_fit(sizes, 2048)[2])
