@@ -1,12 +1,20 @@
 """Suffix-array dedup by threshold-bounded interval expansion on a Burrows-Wheeler transform, on bytes.
 
-Seeds of half the length (see repeats.py) are sent in packed blocks to buckets of their hash, which find those that
-stand in two documents. Where a repeated seed has several contexts, the contexts of a bucket become one text: its
-suffixes are sorted, its Burrows-Wheeler transform is taken, and intervals of equal prefixes are extended backwards
-breadth first, one byte a level, so that the places where neighbours share exactly 0, 1, 2 ... bytes are found in that
-order. It stops at the length asked for: what is not yet parted shares that many bytes. A seed of more places in first
-documents than one text should hold (many contexts, or a long run of one byte, where every place is a seed) has its
-windows grouped by hash instead, which gives the same spans.
+A window is a string of the length asked for. Its seed is the first least (by hash) of the strings of half that length
+in it, so copies of a window have the same seed at the same place. Neighbouring windows of one seed place form a strip.
+Equal windows lie in strips of equal seeds:
+
+1. Each document is cut into strips. They are sent by their seed to buckets, packed; within a block of documents, of
+   equal strips only those of the smallest document are sent, and those of others are covered at once.
+2. A bucket covers strips that a smaller document has in whole. Seeds with several different strips remain, and of
+   each strip one copy.
+3. Those copies are cut from the texts, and the copies of a bucket become one text. Its suffixes are sorted, its
+   Burrows-Wheeler transform is taken, and intervals of equal prefixes are extended backwards breadth first, one byte a
+   level, so that the places where neighbours share exactly 0, 1, 2 ... bytes are found in that order. It stops at the
+   length asked for: what is not yet parted shares that many bytes. What it finds holds for all places of the copy.
+
+Seeds of more different strips than one text should hold (HEAVY) send their single windows to buckets of the windows'
+own hashes instead, which finds the same. Between stages, places travel in packed rows, by the document's group.
 """
 
 from __future__ import annotations
@@ -15,145 +23,265 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, discard, mix, signed, staged, with_uid
-from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, contexts, mask_of, removal, repeated_windows, seed_places, sha, split_contexts, windows_of_places
+from terracat.llm.common import Ranges, discard, mix, sliding, staged, with_uid
+from terracat.llm.repeats import mask_of, sha
 
-#: Places of one seed whose contexts may meet in one text, and bytes of text per bucket of seeds.
-HEAVY, BUCKET_BYTES = 2_000, 32 << 20
-#: Contexts in one transformed text, about.
-TEXT_CONTEXTS = 12_000
-#: Rows of one seed that a block may send to its bucket; more of them are known to be repeated at once.
-BLOCK_ROWS = 256
+#: Different strips of one seed that may meet in one text, bytes of such a text, and bytes of documents for each bucket.
+HEAVY, TEXT_BYTES, BUCKET_BYTES = 10_000, 1_000_000, 12 << 20
+#: Strips that a block of documents holds, about.
+BLOCK_STRIPS = 800_000
+#: Levels of the expansion after which intervals of one suffix are set aside.
+SETTLE = 5
 UNIT = mix(np.arange(1, 257, dtype=np.uint64))
-PACKED = pa.schema([("bucket", pa.int32()), ("ready", pa.bool_()), ("uid", pa.binary()), ("count", pa.binary()), ("pos", pa.binary()), ("seed", pa.binary())])
+LOW = np.uint64(0xFFFFFFFF)
+#: Kinds of packed rows; documents come after all others of their group.
+COVERED, STRIP, COPY, HEAVY_COPY, TEXT, WINDOW, DOC = range(7)
+SCHEMA = "to int, kind int, uid binary, count binary, lo binary, size binary, key binary, more binary, body binary"
+PACKED = pa.schema([("to", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in ("uid", "count", "lo", "size", "key", "more", "body"))])
 
 
 def units(body: bytes) -> np.ndarray:
     return UNIT[np.frombuffer(body, dtype=np.uint8)]
 
 
-def _packed(bucket: int, ready: bool, uid: np.ndarray, pos: np.ndarray, seed: np.ndarray) -> tuple:
-    """Rows of one bucket by document: ids and counts of documents, then places and seeds."""
-    change = np.flatnonzero(np.concatenate(([True], uid[1:] != uid[:-1])))
-    count = np.diff(np.append(change, len(uid))).astype("<i4")
-    return bucket, ready, uid[change].astype("<i8").tobytes(), count.tobytes(), pos.astype("<i4").tobytes(), seed.astype("<u4").tobytes()
+def strips(ranges: Ranges, n: int, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Seed hash, content hash (with the seed's place in it), start and end of each strip of a text of n units."""
+    every = ranges.every(seed)
+    ordered = (every & ~LOW) | np.arange(len(every), dtype=np.uint64)  # by hash, then by place
+    place = (sliding(ordered, window - seed + 1, np.minimum) & LOW).astype(np.int64)
+    lo = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    hi = np.append(lo[1:], len(place)) - 1 + window
+    at = place[lo]
+    content = ranges.of(lo, hi) ^ mix(((at - lo) << 20).astype(np.uint64) + (hi - lo).astype(np.uint64))
+    return mix(every[at]), content, lo, hi
 
 
-def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def edges_of(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
+
+
+def segments(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [start, start + count), one after the other."""
+    total = int(count.sum())
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(total)
+
+
+def firsts(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key, number of the key's group of each place of that order, and the smallest document of each group."""
+    order = np.argsort(key)
+    start = edges_of(key[order])
+    group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+    return order, group, np.minimum.reduceat(doc[order], start) if len(start) else start
+
+
+def rows_of(kind: int, to: np.ndarray, uid: np.ndarray, lo: np.ndarray, size: np.ndarray, key=None, more=None) -> Iterator[tuple]:
+    """Packed rows of places, one for each `to`; key and more are arrays of as many values, or None."""
+    order = np.argsort(to, kind="stable")
+    bounds = np.append(edges_of(to[order]), len(order))
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        own = order[a:b]
+        of = uid[own]
+        change = edges_of(of)
+        yield (
+            int(to[own[0]]), kind, of[change].astype("<i8").tobytes(), np.diff(np.append(change, len(of))).astype("<i4").tobytes(),
+            lo[own].astype("<i4").tobytes(), size[own].astype("<i4" if kind == COVERED else "<u2").tobytes(),
+            None if key is None else key[own].tobytes(), None if more is None else more[own].tobytes(), None,
+        )
+
+
+def places_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     uid = np.repeat(np.frombuffer(row["uid"], dtype="<i8"), np.frombuffer(row["count"], dtype="<i4"))
-    return uid, np.frombuffer(row["pos"], dtype="<i4"), np.frombuffer(row["seed"], dtype="<u4")
+    size = np.frombuffer(row["size"], dtype="<i4" if row["kind"] == COVERED else "<u2")
+    return uid, np.frombuffer(row["lo"], dtype="<i4").astype(np.int64), size.astype(np.int64)
+
+
+def batch_of(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), 200):
+        part = rows[at : at + 200]
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*part, strict=True), PACKED, strict=True)], schema=PACKED)
+
+
+def covered_rows(uid: np.ndarray, lo: np.ndarray, size: np.ndarray, groups: int) -> Iterator[tuple]:
+    """Packed rows of covered places; those of a document that touch become one."""
+    if not len(uid):
+        return
+    order = np.lexsort((lo, uid))
+    uid, lo, hi = uid[order], lo[order], (lo + size)[order]
+    first = np.concatenate(([True], uid[1:] != uid[:-1]))
+    # Ends only grow within a document: strips and windows of one size are in order of both ends, or nearly; a span
+    # that would be cut short by that is only stored in two parts.
+    fresh = first | np.concatenate(([True], lo[1:] > hi[:-1]))
+    start = np.flatnonzero(fresh)
+    end = np.maximum.reduceat(hi, start)
+    yield from rows_of(COVERED, uid[start] % groups, uid[start], lo[start], end - lo[start])
+
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[dict]]]:
+    """Rows sorted by (to, kind), gathered: (to, kind, rows); documents come one by one."""
+    now, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (row["to"], row["kind"]) != now or row["kind"] == DOC:
+                if held:
+                    yield *now, held
+                now, held = (row["to"], row["kind"]), []
+            held.append(row)
+    if held:
+        yield *now, held
 
 
 def _scan(window: int, buckets: int, bits: int):
-    """Bodies to packed seed rows, a row for each bucket and block of documents."""
+    """Documents (uid, body) to packed strips by bucket, and what is covered within the block."""
     seed = window // 2
 
-    def flush(uids, places, values) -> Iterator[pa.RecordBatch]:
-        uid, pos, h = np.concatenate(uids), np.concatenate(places), np.concatenate(values)
-        out = []
-        bucket = (h >> np.uint64(32)) % np.uint64(buckets)
-        # A seed found very often within the block is repeated for sure: only its outer documents need to be told.
-        order = np.argsort(h, kind="stable")
-        starts = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
-        sizes = np.diff(np.append(starts, len(order)))
-        ready = np.zeros(len(h), dtype=bool)
-        for s, n in zip(starts[sizes > BLOCK_ROWS], sizes[sizes > BLOCK_ROWS], strict=True):
-            own = order[s : s + n]
-            doc = uid[own] >> bits
-            if doc.min() < doc.max():
-                ready[own] = True
-                ready[own[[doc.argmin(), doc.argmax()]]] = False
-        kind = bucket.astype(np.int64) * 2 + ready
-        order = np.argsort(kind, kind="stable")
-        edges = np.flatnonzero(np.concatenate(([True], kind[order][1:] != kind[order][:-1], [True])))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            own = order[a:b]
-            k = int(kind[own[0]])
-            out.append(_packed(k // 2, bool(k % 2), uid[own], pos[own], h[own] & np.uint64(0xFFFFFFFF)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True), PACKED, strict=True)], schema=PACKED)
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        uid, seeds, content, lo, hi = map(np.concatenate, zip(*held, strict=True))
+        order, group, least = firsts(seeds ^ content, uid >> bits)
+        first = (uid[order] >> bits) == least[group]
+        rest, own = order[~first], np.sort(order[first])
+        yield from batch_of(list(covered_rows(uid[rest], lo[rest], (hi - lo)[rest], buckets)))
+        bucket = ((seeds[own] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        yield from batch_of(list(rows_of(STRIP, bucket, uid[own], lo[own], (hi - lo)[own], (seeds[own] & LOW).astype("<u4"), content[own])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uids, places, values, held = [], [], [], 0
+        held, n_held = [], 0
         for batch in batches:
             for u, body in zip(batch.column(0), batch.column(1), strict=True):
                 raw = body.as_py()
                 if len(raw) < window:
                     continue
-                at, every = seed_places(Ranges(units(raw)), len(raw), window, seed)
-                uids.append(np.full(len(at), u.as_py(), dtype=np.int64))
-                places.append(at)
-                values.append(every[at])
-                held += len(at)
-                if held >= 1_500_000:
-                    yield from flush(uids, places, values)
-                    uids, places, values, held = [], [], [], 0
+                found = strips(Ranges(units(raw)), len(raw), window, seed)
+                held.append((np.full(len(found[0]), u.as_py(), dtype=np.int64), *found))
+                n_held += len(found[0])
+                if n_held >= BLOCK_STRIPS:
+                    yield from flush(held)
+                    held, n_held = [], 0
         if held:
-            yield from flush(uids, places, values)
+            yield from flush(held)
 
     return run
 
 
-def _repeated(bits: int):
-    """Packed rows, sorted by bucket, to (uid, places) of seeds that two documents have."""
-    fields = pa.schema([("uid", pa.int64()), ("at", pa.list_(pa.int32()))])
-
-    def close(uid: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((pos, uid))
-        uid, pos = uid[order], pos[order]
-        edges = np.flatnonzero(np.concatenate(([True], uid[1:] != uid[:-1])))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(uid)), pa.int32()), pa.array(pos.astype(np.int32)))
-        out = pa.RecordBatch.from_arrays([pa.array(uid[edges]), lists], schema=fields)
-        yield from (out.slice(k, 20_000) for k in range(0, out.num_rows, 20_000))
-
-    def bucket(rows: list) -> Iterator[pa.RecordBatch]:
-        uid, pos, seed = (np.concatenate(c) for c in zip(*rows, strict=True))
-        order = np.argsort(seed, kind="stable")
-        doc, of = uid[order] >> bits, seed[order]
-        starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-        many = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
-        keep = order[np.repeat(many, np.diff(np.append(starts, len(of))))]
-        if len(keep):
-            yield from close(uid[keep], pos[keep])
+def _judge(buckets: int, bits: int, heavy: int):
+    """Packed strips, sorted by bucket, to covered places and copies that must be compared, by documents' groups."""
+
+    def copies(bucket: int, rows: list[dict]) -> Iterator[tuple]:
+        uid, lo, size = (np.concatenate(c) for c in zip(*map(places_of, rows), strict=True))
+        ident = np.concatenate([np.frombuffer(r["key"], dtype="<u4") for r in rows])
+        content = np.concatenate([np.frombuffer(r["more"], dtype="<u8") for r in rows])
+        doc = uid >> bits
+        order, group, least = firsts(mix(ident.astype(np.uint64) + np.uint64(1)) ^ content, doc)
+        first = doc[order] == least[group]
+        rest = order[~first]
+        yield from covered_rows(uid[rest], lo[rest], size[rest], buckets)
+        order, group = order[first], group[first]
+        start = edges_of(group)
+        count = np.diff(np.append(start, len(group)))
+        own = order[start]  # one copy of each different strip
+        of_seed = np.argsort(ident[own], kind="stable")
+        seed_start = edges_of(ident[own][of_seed])
+        n_strips = np.diff(np.append(seed_start, len(own)))
+        apart = np.minimum.reduceat(least[of_seed], seed_start) < np.maximum.reduceat(least[of_seed], seed_start)
+        for kind, wanted in ((COPY, apart & (n_strips <= heavy)), (HEAVY_COPY, apart & (n_strips > heavy))):
+            picked = of_seed[np.repeat(wanted, n_strips)]
+            to = uid[own[picked]] % buckets
+            picked = picked[np.argsort(to, kind="stable")]
+            to = uid[own[picked]] % buckets
+            bounds = np.append(edges_of(to), len(to))
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                part = picked[a:b]
+                row = list(next(rows_of(kind, np.full(b - a, to[a]), uid[own[part]], lo[own[part]], size[own[part]])))
+                inside = order[segments(start[part], count[part])]
+                row[6] = ((np.uint64(bucket) << np.uint64(32)) | ident[own[part]].astype(np.uint64)).astype("<u8").tobytes()
+                row[7] = count[part].astype("<i4").tobytes()
+                row[8] = uid[inside].astype("<i8").tobytes() + lo[inside].astype("<i4").tobytes()
+                yield tuple(row)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                uid, pos, seed = _unpacked(row)
-                if row["ready"]:
-                    yield from close(uid, pos)
-                    continue
-                if row["bucket"] != now and rows:
-                    yield from bucket(rows)
-                    rows = []
-                now = row["bucket"]
-                rows.append((uid, pos, seed))
-        if rows:
-            yield from bucket(rows)
+        for to, kind, rows in by_group(batches):
+            made = [tuple(r.values()) for r in rows] if kind == COVERED else list(copies(to, rows))
+            yield from batch_of(made)
 
     return run
 
 
-def _seeds_at(window: int):
-    """Bodies with places of repeated seeds to seed rows with contexts."""
-    seed = window // 2
+def copies_of(rows: list[dict]) -> tuple[np.ndarray, ...]:
+    """uid, start, size and seed key of copies; number of places, first place, and uid and start of all places."""
+    uid, lo, size = (np.concatenate(c) for c in zip(*map(places_of, rows), strict=True))
+    key = np.concatenate([np.frombuffer(r["key"], dtype="<u8") for r in rows])
+    count = np.concatenate([np.frombuffer(r["more"], dtype="<i4") for r in rows]).astype(np.int64)
+    at_uid, at_lo = [], []
+    for r in rows:
+        n = len(r["body"]) // 12
+        at_uid.append(np.frombuffer(r["body"], dtype="<i8", count=n))
+        at_lo.append(np.frombuffer(r["body"], dtype="<i4", offset=8 * n))
+    return uid, lo, size, key, count, np.cumsum(count) - count, np.concatenate(at_uid), np.concatenate(at_lo).astype(np.int64)
+
+
+def _cut(window: int, buckets: int, bits: int):
+    """Copies and then documents of each group to copies with their text by bucket of the seed, and single windows of
+    heavy seeds by bucket of the window."""
+
+    def texts(parts: list[tuple]) -> Iterator[tuple]:
+        key, size, count, at_uid, at_lo = (np.concatenate(c) for c in zip(*[p[:5] for p in parts], strict=True))
+        pieces = [x for p in parts for x in p[5]]
+        to = (mix(key) % np.uint64(buckets)).astype(np.int64)
+        order, start = np.argsort(to, kind="stable"), np.cumsum(count) - count
+        bounds = np.append(edges_of(to[order]), len(order))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own = order[a:b]
+            inside = segments(start[own], count[own])
+            yield (
+                int(to[own[0]]), TEXT, at_uid[inside].astype("<i8").tobytes(), count[own].astype("<i4").tobytes(), at_lo[inside].astype("<i4").tobytes(),
+                size[own].astype("<u2").tobytes(), key[own].astype("<u8").tobytes(), None, b"".join([pieces[k] for k in own.tolist()]),
+            )
+
+    def windows(parts: list[tuple]) -> Iterator[tuple]:
+        w, uid, p = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order, group, least = firsts(w, uid >> bits)
+        first = (uid[order] >> bits) == least[group]
+        rest, own = order[~first], order[first]
+        yield from covered_rows(uid[rest], p[rest], np.full(len(rest), window), buckets)
+        yield from rows_of(WINDOW, (w[own] % np.uint64(buckets)).astype(np.int64), uid[own], p[own], np.full(len(own), window), w[own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for k in range(batch.num_rows):
-                uid, raw, at = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), np.unique(batch.column(2)[k].values.to_numpy()).astype(np.int64)
+        now, known, parts, single = None, {}, [], []
+        for to, kind, rows in by_group(batches):
+            if to != now:
+                if parts:
+                    yield from batch_of(list(texts(parts)))
+                if single:
+                    yield from batch_of(list(windows(single)))
+                now, known, parts, single = to, {}, [], []
+            if kind != DOC:
+                got = copies_of(rows)
+                order = np.argsort(got[0], kind="stable")
+                start = edges_of(got[0][order])
+                for u, a, b in zip(got[0][order][start].tolist(), start.tolist(), np.append(start[1:], len(order)).tolist(), strict=True):
+                    known.setdefault(u, []).append((kind, got, order[a:b]))
+                continue
+            for kind_of, (_, lo, size, key, count, start, at_uid, at_lo), own in known.get(int.from_bytes(rows[0]["uid"], "big", signed=True), ()):
+                raw = rows[0]["body"]
+                inside = segments(start[own], count[own])
+                if kind_of == COPY:
+                    pieces = [raw[a:b] for a, b in zip(lo[own].tolist(), (lo + size)[own].tolist(), strict=True)]
+                    parts.append((key[own], size[own], count[own], at_uid[inside], at_lo[inside], pieces))
+                    continue
                 ranges = Ranges(units(raw))
-                ctx, lo, hi = contexts(ranges, len(raw), at, window, seed)
-                rows.append([signed(ranges.of(at, at + seed) & np.uint64(0xFFFFFFFF)), signed(ctx), np.full(len(at), uid, dtype=np.int64), lo.astype(np.int32), hi.astype(np.int32)])
-                if len(rows) >= 500:
-                    yield batch_of(rows, SEED_FIELDS)
-                    rows = []
-            if rows:
-                yield batch_of(rows, SEED_FIELDS)
+                span = np.repeat(np.arange(len(own)), count[own])
+                n = (size[own] - window + 1)[span]  # windows of each place
+                k = np.repeat(np.arange(len(span)), n)
+                step = segments(np.zeros(len(n), dtype=np.int64), n)
+                here = lo[own][span][k] + step
+                single.append((ranges.of(here, here + window), at_uid[inside][k], at_lo[inside][k] + step))
+        if parts:
+            yield from batch_of(list(texts(parts)))
+        if single:
+            yield from batch_of(list(windows(single)))
 
     return run
 
@@ -167,15 +295,15 @@ def suffixes_by_prefix(text: np.ndarray, length: int) -> np.ndarray:
         key = (key << np.uint64(8)) | padded[k : n + k]
     done = 8
     while True:
-        order = np.argsort(key, kind="stable")
-        step = np.concatenate(([0], (key[order][1:] != key[order][:-1]).astype(np.int64)))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(step) + 1
+        order = np.argsort(key)
+        sorted_key = key[order]
+        rank = np.empty(n, dtype=np.uint64)
+        rank[order] = np.cumsum(np.concatenate(([True], sorted_key[1:] != sorted_key[:-1])), dtype=np.uint64)
         if done >= length or int(rank.max()) == n:
             return order
-        ahead = np.zeros(n, dtype=np.int64)
-        ahead[: n - done] = rank[done:] if done < n else 0
-        key = rank.astype(np.uint64) << np.uint64(32) | ahead.astype(np.uint64)
+        ahead = np.zeros(n, dtype=np.uint64)
+        ahead[: max(0, n - done)] = rank[done:]
+        key = rank << np.uint64(32) | ahead
         done *= 2
 
 
@@ -185,151 +313,164 @@ def prefix_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     Breadth-first backward extension: level k holds the intervals of all strings of k bytes; putting a byte before
     them maps each interval to one within that byte's part of the order, and where two neighbours fall into different
     intervals their common prefix is k + 1 at most. Levels end at `length`, or when every interval is a single suffix.
+    Intervals of one suffix can't be parted again and get numbers of their own, below zero.
     """
     order = suffixes_by_prefix(text, length + 1)
+    n = len(order)
     before = text[order - 1]  # the transform; the place before the first is the last
-    back = np.argsort(before, kind="stable")  # where each place of the order comes from, one byte on
+    back = np.argsort(before, kind="stable").astype(np.int32)  # where each place of the order comes from, one byte on
     byte = before[back]
-    new_byte = np.concatenate(([True], byte[1:] != byte[:-1]))
-    interval = np.zeros(len(order), dtype=np.int32)
-    for _ in range(length):
+    interval, live = np.zeros(n, dtype=np.int32), np.arange(n, dtype=np.int32)
+    for level in range(length):
         come = interval[back]
-        edge = new_byte.copy()
-        edge[1:] |= come[1:] != come[:-1]
-        count = int(edge.sum())
-        interval = np.cumsum(edge, dtype=np.int32)
-        if count == len(order):
-            break
+        edge = np.ones(len(live), dtype=bool)
+        edge[1:] = (come[1:] != come[:-1]) | (byte[1:] != byte[:-1])
+        interval[live] = np.cumsum(edge, dtype=np.int32)
+        if level % SETTLE == SETTLE - 1:
+            alone = edge & np.append(edge[1:], True)
+            interval[live[alone]] = -1 - live[alone]
+            stay = ~alone
+            live, back, byte = live[stay], back[stay], byte[stay]
+            if not len(live):
+                break
     return order, interval
 
 
-def _expand(window: int, bits: int):
-    """Contexts of a bucket to (uid, lo, hi) of windows that a smaller document has."""
-    fields = pa.schema([("uid", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+def _expand(window: int, buckets: int, bits: int):
+    """Copies with their texts, and single windows, to covered places."""
 
-    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(r[3], dtype=np.uint8).astype(np.uint16) + 1 for r in rows]
-        size = np.array([len(p) for p in parts])
-        start = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
-        text = np.zeros(int(size.sum()) + len(rows), dtype=np.uint16)
-        for s, p in zip(start, parts, strict=True):
-            text[s : s + len(p)] = p
+    def solve(key, size, count, at_uid, at_lo, body: np.ndarray) -> Iterator[tuple]:
+        start = np.cumsum(size + 1) - (size + 1)
+        text = np.zeros(int(size.sum()) + len(size), dtype=np.uint16)
+        text[np.arange(len(body)) + np.repeat(np.arange(len(size)), size)] = body.astype(np.uint16) + 1
         # Bytes and the separator make 257 letters; 8-bit keys need 256, so letters are renamed by those in use.
-        used = np.unique(text)
+        used = np.flatnonzero(np.bincount(text, minlength=257))
         if len(used) <= 256:
-            small = np.searchsorted(used, text).astype(np.uint8)
-            order, cls = prefix_classes(small, window)
+            name = np.zeros(257, dtype=np.uint8)
+            name[used] = np.arange(len(used))
+            order, cls = prefix_classes(name[text], window)
         else:  # every byte value occurs: two letters a unit, twice the length
             wide = np.stack((text >> 4, text & 15), axis=1).astype(np.uint8).ravel()
             order, cls = prefix_classes(wide, 2 * window)
             even = order % 2 == 0
             order, cls = order[even] // 2, cls[even]
-        owner = np.searchsorted(start, order, side="right") - 1
-        inside = order + window <= start[owner] + size[owner]
+        owner_at = np.repeat(np.arange(len(size)), size + 1)
+        owner = owner_at[order]
+        inside = (order + window <= start[owner] + size[owner]) & (cls >= 0)
         order, cls, owner = order[inside], cls[inside], owner[inside]
-        uid = np.array([r[1] for r in rows], dtype=np.int64)[owner]
-        if not len(uid):
+        if not len(order):
             return
-        edge = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
-        first = np.repeat(np.minimum.reduceat(uid >> bits, edge), np.diff(np.append(edge, len(cls))))
-        hit = (uid >> bits) > first
-        lo = (np.array([r[2] for r in rows], dtype=np.int64)[owner] + order - start[owner])[hit]
-        out = np.unique(np.stack((uid[hit], lo), axis=1), axis=0)
-        # Runs of places become one span.
-        new = np.concatenate(([True], (out[1:, 0] != out[:-1, 0]) | (out[1:, 1] != out[:-1, 1] + 1))) if len(out) else np.zeros(0, dtype=bool)
-        a = np.flatnonzero(new)
-        b = np.append(a[1:], len(out)) - 1
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(out[a, 0]), pa.array(out[a, 1].astype(np.int32)), pa.array((out[b, 1] + window).astype(np.int32))], schema=fields)
+        first_place = np.cumsum(count) - count
+        doc = (at_uid[first_place] >> bits)[owner]  # all places of a copy are of one document id
+        edge = edges_of(cls)
+        least = np.repeat(np.minimum.reduceat(doc, edge), np.diff(np.append(edge, len(cls))))
+        hit = np.flatnonzero(doc > least)
+        owner, step = owner[hit], (order - start[owner])[hit]
+        k = segments(first_place[owner], count[owner])
+        yield from covered_rows(at_uid[k], at_lo[k] + np.repeat(step, count[owner]), np.full(len(k), window), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if len(rows) >= TEXT_CONTEXTS and row[0] != rows[-1][0]:  # a seed is never parted
-                    yield from solve(rows)
-                    rows = []
-                rows.append(row)
-        if rows:
-            yield from solve(rows)
+        for _, kind, rows in by_group(batches):
+            if kind == COVERED:
+                yield from batch_of([tuple(r.values()) for r in rows])
+            elif kind == WINDOW:
+                uid, p, size = (np.concatenate(c) for c in zip(*map(places_of, rows), strict=True))
+                order, group, least = firsts(np.concatenate([np.frombuffer(r["key"], dtype="<u8") for r in rows]), uid >> bits)
+                rest = order[(uid[order] >> bits) > least[group]]
+                yield from batch_of(list(covered_rows(uid[rest], p[rest], size[rest], buckets)))
+            else:
+                read = lambda name, kind: np.concatenate([np.frombuffer(r[name], dtype=kind) for r in rows])  # noqa: B023, E731
+                key, size, count = read("key", "<u8"), read("size", "<u2").astype(np.int64), read("count", "<i4").astype(np.int64)
+                at_uid, at_lo, body = read("uid", "<i8"), read("lo", "<i4").astype(np.int64), read("body", np.uint8)
+                order = np.argsort(key, kind="stable")
+                # Whole seeds, until a text is full.
+                seed_end = np.append(edges_of(key[order])[1:], len(order))
+                total = np.cumsum(size[order])[seed_end - 1]
+                a = 0
+                while a < len(order):
+                    base = int(np.cumsum(size[order[:a]])[-1]) if a else 0
+                    b = int(seed_end[max(np.searchsorted(total, base + TEXT_BYTES, side="right") - 1, np.searchsorted(seed_end, a, side="right"))])
+                    own = order[a:b]
+                    places = segments((np.cumsum(count) - count)[own], count[own])
+                    yield from batch_of(list(solve(key[own], size[own], count[own], at_uid[places], at_lo[places], body[segments((np.cumsum(size) - size)[own], size[own])])))
+                    a = b
 
     return run
 
 
-def _cut(window: int):
-    """Bodies with contexts to context texts, or for heavy seeds to windows."""
-    fields = pa.schema([("seed", pa.int64()), ("uid", pa.int64()), ("lo", pa.int32()), ("part", pa.binary()), ("w", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                uid, raw = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                seed, lo, hi, heavy = (c.to_numpy(zero_copy_only=False) for c in batch.column(2)[k].values.flatten())
-                light = np.flatnonzero(~heavy)
-                if len(light):
-                    parts = [raw[a:b] for a, b in zip(lo[light].tolist(), hi[light].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(seed[light]), pa.array(np.full(len(light), uid, dtype=np.int64)), pa.array(lo[light]), pa.array(parts, pa.binary()), pa.nulls(len(light), pa.int64())], schema=fields)
-                if len(light) < len(heavy):
-                    w, own, p = windows_of_places(uid, Ranges(units(raw)), lo[heavy], hi[heavy], window)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int64()), pa.array(own), pa.array(p), pa.nulls(len(w), pa.binary()), pa.array(w)], schema=fields)
-
-    return run
+def _with_docs(rows: DataFrame, packed: DataFrame, groups: int) -> DataFrame:
+    """Documents (uid, body) behind the packed rows of their group, dealt by group."""
+    anywhere = F.pmod(F.monotonically_increasing_id(), F.lit(groups))  # rows with no id belong nowhere
+    to: Column = F.coalesce(F.pmod("uid", F.lit(groups)), anywhere).cast("int")
+    none = F.lit(None).cast("binary")
+    name = F.unhex(F.lpad(F.hex("uid"), 16, "0"))  # big end first
+    docs = rows.select(to.alias("to"), F.lit(DOC).alias("kind"), name.alias("uid"), *[none.alias(c) for c in ("count", "lo", "size", "key", "more")], "body")
+    return packed.unionByName(docs).repartition(groups, "to").sortWithinPartitions("to", "kind")
 
 
-def told_heavy(apart: DataFrame) -> DataFrame:
-    """Seed rows of first documents with heavy: whether their seed has more than HEAVY such rows. Of it all, only seeds
-    with so many rows in any documents are counted."""
-    crowded = staged(apart.where(F.col("n_rows") > HEAVY).groupBy("seed").agg(F.count("*").alias("own")).where(F.col("own") > HEAVY).select("seed", F.lit(True).alias("heavy")), "crowded")
-    if crowded.isEmpty():
-        return apart.withColumn("heavy", F.lit(False))
-    return apart.join(crowded, "seed", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
+def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple[list[DataFrame], int]:
+    """Packed rows of byte ranges of rows (uid, text, body) that also stand in a document of a smaller id, as staged
+    tables (other kinds beside), and the number of groups they are dealt by."""
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(12, -(-total // BUCKET_BYTES)) | 1  # odd, so that ids of any step spread over all
+    docs = rows.select("uid", "body")
+    dealt = docs.mapInArrow(_scan(window, buckets, bits), SCHEMA).repartition(buckets, "to").sortWithinPartitions("to", "kind")
+    judged = staged(dealt.mapInArrow(_judge(buckets, bits, heavy), SCHEMA), "judged")
+    wanted = judged.where(F.col("kind").isin(COPY, HEAVY_COPY))
+    cut = _with_docs(docs, wanted, buckets).mapInArrow(_cut(window, buckets, bits), SCHEMA).repartition(buckets, "to").sortWithinPartitions("to", "kind")
+    found = staged(cut.mapInArrow(_expand(window, buckets, bits), SCHEMA), "found")
+    return [judged, found], buckets
 
 
-def repeated_byte_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
-    """(uid, lo, hi) byte ranges of rows (uid, body) that also stand in a document of a smaller id."""
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(12, -(-total // BUCKET_BYTES))
-    packed = rows.select("uid", "body").mapInArrow(_scan(window, buckets, bits), "bucket int, ready boolean, uid binary, count binary, pos binary, seed binary")
-    spread = F.when(F.col("ready"), F.monotonically_increasing_id()).otherwise(F.col("bucket"))
-    dealt = packed.withColumn("to", F.pmod(spread, F.lit(buckets)).cast("int")).repartition(buckets, "to").sortWithinPartitions("bucket").drop("to")
-    at = staged(dealt.mapInArrow(_repeated(bits), "uid long, at array<int>"), "repeated")
-    by_doc = at.groupBy("uid").agg(F.flatten(F.collect_list("at")).alias("at"))
-    seeds = staged(rows.select("uid", "body").join(by_doc, "uid").mapInArrow(_seeds_at(window), SEEDS), "seeds")
-    discard(at)
-    covered, apart, marked = split_contexts(seeds, bits)
-    discard(seeds)
-    near = told_heavy(apart).groupBy("uid").agg(F.collect_list(F.struct("seed", "lo", "hi", "heavy")).alias("at"))
-    cut = staged(rows.select("uid", "body").join(near, "uid").mapInArrow(_cut(window), "seed long, uid long, lo int, part binary, w long"), "contexts")
-    light = cut.where("w is null").select("seed", "uid", "lo", "part").repartition("seed").sortWithinPartitions("seed")
-    expanded = light.mapInArrow(_expand(window, bits), "uid long, lo int, hi int")
-    heavy = repeated_windows(cut.where("w is not null").select("w", "uid", F.col("lo").alias("p")), bits, window)
-    spans = staged(covered.unionByName(expanded).unionByName(heavy), "spans")
-    discard(marked, cut)
-    return spans
-
-
-def dedup_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = 50, heavy: int = HEAVY) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans (long), kept_sha256, kept_text (string;
     a character cut in part is left out of kept_text).
 
     Null text is empty; a text of fewer bytes than the window loses nothing. Rows with a null id are returned whole and
     take no part in comparisons; rows that share an id are never compared with each other. An empty table gives an
-    empty result. Extra columns are ignored.
+    empty result. Extra columns are ignored. heavy: different strips of one seed that may meet in one text; the result
+    does not depend on it.
     """
     rows, bits = with_uid(docs)
-    spans = repeated_byte_spans(rows, bits, window)
+    tables, groups = covered_places(rows, bits, window, heavy)
+    covered = tables[0].where(F.col("kind") == COVERED).unionByName(tables[1])
     fields = pa.schema([("uid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
-    def rewrite(body: bytes, lo, hi) -> tuple:
+    def rewrite(uid, body: bytes, spans) -> tuple:
         n = len(body)
-        if lo is None:
-            return n, 0, 0, sha(body), body.decode("utf-8", "replace")
-        gone = mask_of(n, lo, hi)
+        if spans is None:
+            return uid, n, 0, 0, sha(body), body.decode("utf-8", "replace")
+        gone = mask_of(n, *spans)
         kept = np.frombuffer(body, dtype=np.uint8)[~gone].tobytes()
         runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if n else 0
-        return n, int(gone.sum()), runs, sha(kept), kept.decode("utf-8", "ignore")
+        return uid, n, int(gone.sum()), runs, sha(kept), kept.decode("utf-8", "ignore")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, uids, lo, hi, out, held = None, np.zeros(0, dtype=np.int64), None, None, [], 0
+
+        def close() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=fields)
+
+        for to, kind, rows in by_group(batches):
+            if to != now:
+                now, uids = to, np.zeros(0, dtype=np.int64)
+            if kind != DOC:
+                uids, lo, size = (np.concatenate(c) for c in zip(*map(places_of, rows), strict=True))
+                order = np.argsort(uids, kind="stable")
+                uids, lo, hi = uids[order], lo[order], (lo + size)[order]
+                continue
+            raw = rows[0]["body"]
+            uid = None if rows[0]["uid"] is None else int.from_bytes(rows[0]["uid"], "big", signed=True)
+            a, b = (0, 0) if uid is None else (np.searchsorted(uids, uid), np.searchsorted(uids, uid, side="right"))
+            out.append(rewrite(uid, raw, (lo[a:b], hi[a:b]) if b > a else None))
+            held += len(raw)
+            if held > 4_000_000:
+                yield close()
+                out, held = [], 0
+        if out:
+            yield close()
 
-    schema = "uid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     nameless = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("uid"), F.coalesce(F.encode(F.col("text").cast("string"), "UTF-8"), F.lit(b"")).alias("body"))
-    out = removal(rows.select("uid", "body").unionByName(nameless), spans, rewrite, schema, fields)
+    every = rows.select("uid", "body").unionByName(nameless)
+    out = _with_docs(every, covered, groups).mapInArrow(run, "uid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     return out.select(F.shiftright("uid", bits).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
