@@ -4,13 +4,14 @@ An item's windows are its runs of `window` words (a shorter item is one window).
 shingles. The shingles of all items are looked up in all documents, counted over the whole corpus, and each window
 keeps one shingle as its prefix: full containment must meet every shingle, so the rarest one alone is necessary.
 A document position that holds a prefix shingle fixes the window's start (positional bound) and must leave room for
-the whole window (length bound); the window is confirmed when all its shingles stand at their offsets.
+the whole window (length bound); the window is confirmed when all its shingles, word for word, stand at their offsets.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terracat.llm.common import staged, with_uid
 
@@ -66,32 +67,36 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shin
         shifted = [F.slice("words", i + 1, F.greatest(F.size("words") - (k - 1), F.lit(0))).alias(f"w{i}") for i in range(k)]
         opened = F.posexplode_outer if grams is None else F.posexplode
         one = tokens.select("uid", F.size("words").cast("long").alias("n_words"), opened(F.arrays_zip(*shifted)).alias("pos", "run"))
-        key = F.xxhash64(F.concat_ws(" ", *[F.col("run")[f"w{i}"] for i in range(k)]), F.lit(k))
-        one = one.select("uid", "n_words", "pos", key.alias("key"), (F.coalesce("pos", F.lit(0)) == 0 if grams is None else F.lit(False)).alias("head"))
+        one = one.withColumn("gram", F.concat_ws(" ", *[F.col("run")[f"w{i}"] for i in range(k)]))
+        one = one.select("uid", "n_words", "pos", "gram", F.xxhash64("gram", F.lit(k)).alias("key"), (F.coalesce("pos", F.lit(0)) == 0 if grams is None else F.lit(False)).alias("head"))
         grams = one if grams is None else grams.unionByName(one)
     looked = grams.join(known.select("key", F.lit(True).alias("hit")), "key", "left").where(F.col("head") | F.col("hit"))
+    looked = looked.withColumn("gram", F.when(F.col("hit"), F.col("gram")))
     seen = staged(looked, "found")
     found = seen.where("hit and pos is not null")
     lengths = seen.where("head").select("uid", "n_words")
     rarity = found.groupBy("key").agg(F.count("*").alias("df"))
-    keyed_parts = parts.select("window_id", "size", "k", "offset", F.xxhash64("shingle", "k").alias("key"))
+    keyed_parts = parts.select("window_id", "size", "k", "offset", "shingle", F.xxhash64("shingle", "k").alias("key"))
     # A window with a shingle that no document has cannot occur: the inner join drops that shingle, the count below the window.
     ranked = keyed_parts.join(rarity, "key").groupBy("window_id").agg(F.count("*").alias("met"), F.min(F.struct("df", "offset", "key")).alias("prefix"), F.first("size").alias("size"), F.first("k").alias("k"))
     prefix = ranked.where(F.col("met") == F.col("size") - F.col("k") + 1).select("window_id", "size", "k", F.col("prefix.offset").alias("offset"), F.col("prefix.key").alias("key"))
     start = F.col("pos") - F.col("offset")
-    candidates = found.select("uid", "pos", "key").join(prefix, "key").where(start >= 0).select("uid", start.alias("start"), "window_id", "size", "k").distinct()
-    wanted = candidates.join(keyed_parts.select("window_id", "offset", "key"), "window_id").select("uid", "window_id", "start", "size", "k", (F.col("start") + F.col("offset")).alias("pos"), "key")
-    held = found.select("uid", "pos", "key").distinct()
-    whole = wanted.join(held, ["uid", "pos", "key"]).groupBy("uid", "window_id", "start").agg(F.count("*").alias("met"), F.first("size").alias("size"), F.first("k").alias("k"))
+    # Positional bound: the window begins within the text. Length bound: it also ends there.
+    fits = (start >= 0) & (start + F.col("size") <= F.col("n_words"))
+    candidates = found.select("uid", "pos", "key", "n_words").join(prefix, "key").where(fits).select("uid", start.alias("start"), "window_id", "size", "k").distinct()
+    wanted = candidates.join(keyed_parts.select("window_id", "offset", "shingle"), "window_id").select("uid", "window_id", "start", "size", "k", (F.col("start") + F.col("offset")).alias("pos"), F.col("shingle").alias("gram"))
+    held = found.select("uid", "pos", "gram").distinct()
+    # The words themselves are compared, all of the window.
+    whole = wanted.join(held, ["uid", "pos", "gram"]).groupBy("uid", "window_id", "start").agg(F.count("*").alias("met"), F.first("size").alias("size"), F.first("k").alias("k"))
     confirmed = staged(whole.where(F.col("met") == F.col("size") - F.col("k") + 1).select("uid", "window_id", "start", "size"), "confirmed")
-    spans = confirmed.groupBy("uid").agg(F.array_sort(F.collect_set(F.struct(F.col("start").alias("from"), (F.col("start") + F.col("size")).alias("to")))).alias("all_spans"))
+    # Runs of hit words: a place that no earlier window of the document reaches begins one.
+    by_start = Window.partitionBy("uid").orderBy("start")
+    places = confirmed.groupBy("uid", "start").agg(F.max(F.col("start") + F.col("size")).alias("stop"))
+    reached = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    runs = places.withColumn("fresh", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int")).withColumn("run", F.sum("fresh").over(by_start))
+    runs = runs.groupBy("uid", "run").agg(F.struct(F.min("start").alias("from"), F.max("stop").alias("to")).alias("span"))
+    spans = runs.groupBy("uid").agg(F.array_sort(F.collect_list("span")).alias("hit_spans"))
     empty = F.array().cast("array<struct<from:int,to:int>>")
-    merged = F.aggregate(
-        "all_spans",
-        empty,
-        lambda got, s: F.when((F.size(got) > 0) & (F.try_element_at(got, F.lit(-1))["to"] >= s["from"]), F.concat(F.slice(got, F.lit(1), F.size(got) - 1), F.array(F.struct(F.try_element_at(got, F.lit(-1))["from"].alias("from"), F.greatest(F.try_element_at(got, F.lit(-1))["to"], s["to"]).alias("to"))))).otherwise(F.concat(got, F.array(s))),
-    )
-    spans = spans.select("uid", merged.alias("hit_spans"))
     hits = confirmed.select("uid", "window_id").distinct().join(windows.select("window_id", F.col("item_id").cast("string").alias("item")), "window_id").groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("items"))
     out = lengths.join(spans, "uid", "left").join(hits, "uid", "left")
     hit = F.aggregate(F.coalesce("hit_spans", empty), F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
