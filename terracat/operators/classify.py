@@ -18,7 +18,7 @@ PATTERNS = [
 CATEGORIES = [
     ("pointcloud_copc", "pointcloud", "pcl"), ("pointcloud", "pointcloud", "pcl"), ("pointcloud_las", "pointcloud", "pcl"), ("orthophoto", "orthophoto", "raster"),
     ("dtm", "dtm", "raster"), ("dtm_filled", "dtm", "raster"), ("dtm_masked", "dtm", "raster"), ("dsm", "dsm", "raster"), ("dsm_filled", "dsm", "raster"), ("dsm_masked", "dsm", "raster"),
-    ("shade", "ignore", ""), ("log", "ignore", ""),
+    ("shade", "ignore", "raster"), ("log", "ignore", ""),
 ]
 
 
@@ -45,15 +45,25 @@ def name_tokens(files: DataFrame) -> DataFrame:
 
 
 def match_pattern(files: DataFrame, patterns: DataFrame) -> DataFrame:
-    """files + label: of the patterns whose tokens and extension fit, most required tokens, longest extension, first."""
-    rules = patterns.select("ord", "label", "require", "forbid", F.explode("extensions").alias("pext"))
-    cand = files.join(F.broadcast(rules), F.endswith(F.lower(files.name), F.col("pext")))
-    stem = F.expr("left(name, length(name) - length(pext))")
-    toks = F.split(F.lower(stem), "_")
-    cand = cand.where((F.size(F.array_except("require", toks)) == 0) & ~F.arrays_overlap("forbid", toks))
-    order = Window.partitionBy("parent", "name").orderBy(F.size("require").desc(), F.length("pext").desc(), "ord")
-    best = cand.withColumn("rn", F.row_number().over(order)).where("rn = 1").select("parent", "name", "label", F.col("pext").alias("matched_ext"))
-    return files.join(best, ["parent", "name"], "left")
+    """files + label, matched_ext: of the patterns whose tokens and extension fit, most required tokens, longest extension, first.
+
+    patterns is a table of a few rows; it becomes one expression over each file's name, so files stay where they are.
+    """
+    name, fits = F.lower("name"), []
+    for rule in patterns.collect():
+        for ext in rule["extensions"]:
+            tokens = F.split(F.expr(f"left(lower(name), length(name) - {len(ext)})"), "_")
+            ok = F.endswith(name, F.lit(ext))
+            for t in rule["require"]:
+                ok &= F.array_contains(tokens, t)
+            for t in rule["forbid"]:
+                ok &= ~F.array_contains(tokens, t)
+            order = [F.lit(len(rule["require"])).alias("required"), F.lit(len(ext)).alias("reach"), F.lit(-rule["ord"]).alias("turn")]
+            fits.append(F.when(ok, F.struct(*order, F.lit(rule["label"]).alias("label"), F.lit(ext).alias("ext"))))
+    none = F.lit(None).cast("struct<required:int,reach:int,turn:int,label:string,ext:string>")
+    best = F.greatest(none, *fits) if fits else none
+    out = files.withColumn("best_", best)
+    return out.withColumns({"label": F.col("best_.label"), "matched_ext": F.col("best_.ext")}).drop("best_")
 
 
 def item_id(stem: Column) -> Column:
@@ -66,19 +76,26 @@ def qualify_id(item: Column, campaign: Column) -> Column:
     return F.when(item.rlike(DATE), item).otherwise(F.concat_ws("_", campaign, item))
 
 
+def cloud_native(kind: Column, ext: Column, layout: Column) -> Column:
+    """Point clouds by their extension, rasters by their layout."""
+    return F.when(kind == "pcl", ext == ".copc.laz").otherwise(F.coalesce(layout == "COG", F.lit(False)))
+
+
 def products(files: DataFrame, spark: SparkSession) -> DataFrame:
-    """Classified, non-ignored files with their item ids: parent, name, length, label, category, kind, item, ext."""
+    """Classified, non-ignored files with their item ids: parent, name, length, label, category, kind, item, ext, cog
+    (the name says so), native. The layout of rasters is the column `layout`, or what the name says where there is none."""
     matched = match_pattern(files, pattern_table(spark)).where("label is not null")
     labelled = matched.join(F.broadcast(label_table(spark)), "label").where("category <> 'ignore'")
     stem = F.expr("left(name, length(name) - length(matched_ext))")
-    return labelled.select("parent", "name", "length", "label", "category", "kind", item_id(stem).alias("item"), F.col("matched_ext").alias("ext"))
+    cog = F.array_contains(F.split(F.lower(stem), "_"), "cog")
+    layout = F.col("layout") if "layout" in files.columns else F.when(cog, "COG")
+    native = cloud_native(F.col("kind"), F.col("matched_ext"), layout)
+    return labelled.select("parent", "name", "length", "label", "category", "kind", item_id(stem).alias("item"), F.col("matched_ext").alias("ext"), cog.alias("cog"), native.alias("native"))
 
 
 def _twins() -> Window:
-    cog = F.array_contains(F.split(F.lower("name"), r"[_.]"), "cog").cast("int")
     rank = F.when(F.col("ext") == ".copc.laz", 2).when(F.col("ext") == ".laz", 1).otherwise(0)
-    native = (F.col("ext") == ".copc.laz").cast("int")
-    return Window.partitionBy("parent", "category", F.lower("item")).orderBy(native.desc(), cog.desc(), rank.desc(), "name")
+    return Window.partitionBy("parent", "category", F.lower("item")).orderBy(F.desc("native"), F.desc("cog"), rank.desc(), "name")
 
 
 def twin_dedupe(prods: DataFrame) -> DataFrame:
@@ -92,11 +109,14 @@ def twin_superseded(prods: DataFrame) -> DataFrame:
     return prods.withColumn("rn", F.row_number().over(w)).withColumn("winner", F.first("name").over(w)).where("rn > 1").select("parent", "name", "winner")
 
 
-def tile_group_assign(winners: DataFrame, root: str = "/tiles") -> DataFrame:
-    """Several products of one category in one subdirectory form a group named after it."""
+def tile_group_assign(winners: DataFrame, root: Column | None = None) -> DataFrame:
+    """Several products of one category in one directory below the campaign's root form a group, named after the way
+    from the root. root: that of each row; by default the path up to the first directory with a date."""
+    if root is None:
+        root = F.regexp_extract("parent", rf"^((?:[^/]*/)*?[^/]*{DATE}[^/]*)", 1)
+    below = F.substring(F.col("parent"), F.length(root) + 2, F.length("parent"))
     n = F.count("*").over(Window.partitionBy("parent", "category"))
-    sub = F.regexp_extract("parent", r"/(tiles_\w+)$", 1)
-    return winners.withColumn("group", F.when((n > 1) & (sub != ""), sub))
+    return winners.withColumn("group", F.when((n > 1) & (below != ""), F.replace(below, F.lit("/"), F.lit("_"))))
 
 
 def id_collision_local(winners: DataFrame) -> DataFrame:

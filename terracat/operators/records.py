@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terracat.operators.classify import DATE
+from terracat.operators.classify import DATE, cloud_native  # noqa: F401
 
 # Media types of labels, the type of a cloud-native raster, and extension addresses of key prefixes.
 MEDIA = {"pointcloud_copc": "application/vnd.laszip+copc", "pointcloud": "application/vnd.laszip", "pointcloud_las": "application/vnd.las"}
@@ -35,10 +35,6 @@ def relative_path(from_dir: Column, to: Column) -> Column:
     return F.concat(F.repeat(F.lit("../"), F.size(a) - shared), F.array_join(F.slice(b, shared + 1, F.size(b)), "/"))
 
 
-def cloud_native(kind: Column, ext: Column, layout: Column) -> Column:
-    return F.when(kind == "pcl", ext == ".copc.laz").otherwise(F.coalesce(layout == "COG", F.lit(False)))
-
-
 def media_type(label: Column, native: Column) -> Column:
     of_label = F.coalesce(*[F.when(label == k, v) for k, v in MEDIA.items()])
     return F.coalesce(of_label, F.when(native, COG).otherwise(TIFF))
@@ -152,25 +148,34 @@ def properties_overlay(base: Column, by_label: Column, by_id: Column) -> Column:
     return F.map_filter(out, lambda k, v: v.isNotNull())
 
 
-def registry_merge(defaults: DataFrame, overrides: DataFrame) -> DataFrame:
+def registry_merge(defaults: DataFrame, overrides: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
     """Patterns of each campaign: an override replaces a default whole, lists it omits are empty, all in lower case.
 
-    defaults (ord, label, require, forbid, extensions), a few rows; overrides add campaign and may hold new labels.
+    defaults (ord, label, require, forbid, extensions), a few rows; overrides (campaign, turn, label and the lists) may
+    hold new labels, which come after the defaults in their turn. campaigns: all of them, those without overrides too.
     """
     lists = ["require", "forbid", "extensions"]
     empty = F.array().cast("array<string>")
-    campaigns = overrides.select("campaign").distinct()
-    own = overrides.select("campaign", "label", *[F.transform(F.coalesce(c, empty), F.lower).alias(c) for c in lists], F.lit(0).alias("rank"))
-    base = campaigns.join(F.broadcast(defaults), F.lit(True)).select("campaign", "label", *lists, F.lit(1).alias("rank"))
-    first = Window.partitionBy("campaign", "label").orderBy("rank")
+    every = overrides.select("campaign") if campaigns is None else campaigns.select("campaign")
+    own = overrides.select("campaign", "turn", "label", *[F.transform(F.coalesce(c, empty), F.lower).alias(c) for c in lists], F.lit(0).alias("rank"))
+    base = every.distinct().join(F.broadcast(defaults), F.lit(True)).select("campaign", F.lit(None).cast("int").alias("turn"), "label", *lists, F.lit(1).alias("rank"))
+    first = Window.partitionBy("campaign", "label").orderBy("rank", "turn")
     merged = base.unionByName(own).withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn", "rank")
-    return merged.join(F.broadcast(defaults.select("label", "ord")), "label", "left").select("campaign", "label", *lists, "ord")
+    known = merged.join(F.broadcast(defaults.select("label", "ord")), "label", "left")
+    added = F.row_number().over(Window.partitionBy("campaign", F.col("ord").isNull()).orderBy("turn", "label"))
+    last = defaults.agg(F.max("ord").alias("last"))
+    return known.withColumn("added", added).join(F.broadcast(last), F.lit(True)).select("campaign", "label", *lists, F.coalesce("ord", F.col("last") + F.col("added")).alias("ord"))
+
+
+# Extensions of side files, which are never products of their own.
+SIDES = (".aux.xml", ".prj", ".tfw")
+SIDE_END = "(?i)(" + "|".join(re.escape(e) for e in SIDES) + ")$"
 
 
 def join_sidecar_files(prods: DataFrame, sides: DataFrame) -> DataFrame:
     """prods (parent, name, ext) with sides (parent, side) named after the stem or the full name: parent, name, n_sides, sides."""
     named = prods.select("parent", "name", F.explode(F.array(F.expr("left(name, length(name) - length(ext))"), "name")).alias("base"))
-    cut = sides.select("parent", "side", F.regexp_replace("side", r"\.[^.]+$", "").alias("base"))
+    cut = sides.where(F.col("side").rlike(SIDE_END)).select("parent", "side", F.regexp_replace("side", SIDE_END, "").alias("base"))
     return named.join(cut, ["parent", "base"]).groupBy("parent", "name").agg(F.count_distinct("side").alias("n_sides"), F.array_join(F.sort_array(F.collect_set("side")), ",").alias("sides"))
 
 
@@ -210,3 +215,68 @@ def join_recorded_vs_actual(recorded: DataFrame, actual: DataFrame, on: list[str
 def dim_key(name: Column) -> Column:
     """Names are alike when they agree without leading underscores, blanks and case."""
     return F.lower(F.replace(F.regexp_replace(name, "^_+", ""), F.lit(" "), F.lit("")))
+
+
+def nodata_exclude_scale(values: DataFrame) -> DataFrame:
+    """values (raw, nodata or null, scale, off) without rows of exactly the nodata value, + value = raw * scale + off."""
+    return values.where("nodata is null or raw <> nodata").withColumn("value", F.col("raw") * F.col("scale") + F.col("off"))
+
+
+def angle_stats(stats: DataFrame, dim: str) -> DataFrame:
+    """Statistics (dim, vmin, vmax, vmean, vstd) with those of one dimension turned from radians into degrees."""
+    return stats.withColumns({c: F.when(F.col("dim") == dim, F.round(F.degrees(c), 4)).otherwise(F.col(c)) for c in ("vmin", "vmax", "vmean", "vstd")})
+
+
+# Kinds of number of column type codes, and dimensions stored as integers (size, kind) whatever is reported.
+CODES = {0: "signed", 2: "signed", 4: "signed", 9: "signed", 1: "unsigned", 3: "unsigned", 5: "unsigned", 11: "unsigned", 6: "floating", 7: "floating"}
+AMPLITUDE, ANGLE_SHORT, ANGLE_BYTE = (2, "unsigned"), (2, "signed"), (1, "signed")
+
+
+def _stored(name: Column, point_format: Column, k: int) -> Column:
+    angle = F.when(point_format >= 6, F.lit(ANGLE_SHORT[k])).otherwise(F.lit(ANGLE_BYTE[k]))
+    return F.when(name == "Amplitude", F.lit(AMPLITUDE[k])).when(name == "ScanAngle", angle)
+
+
+def point_schema(dims: DataFrame) -> DataFrame:
+    """dims (item, name, size, code, point_format) of all dimensions, constant ones too -> item, name, size, type.
+
+    X, Y and Z are not listed, two dimensions are given as they are stored, and types of unknown codes are null.
+    """
+    name, fmt = F.col("name"), F.col("point_format")
+    kind = F.coalesce(*[F.when(F.col("code") == k, v) for k, v in CODES.items()])
+    size, kind = F.coalesce(_stored(name, fmt, 0), "size"), F.coalesce(_stored(name, fmt, 1), kind)
+    return dims.where(~name.isin("X", "Y", "Z")).select("item", "name", size.cast("int").alias("size"), kind.alias("type"))
+
+
+def restate_schema(items: DataFrame) -> DataFrame:
+    """items (schemas array<struct<name,size,type>>, stats array<struct<name,vmin,vmax,vmean,vstd>>, point_format) of
+    which those with a floating ScanAngle get its stored type, that of Amplitude, and its statistics in degrees."""
+    fmt = F.col("point_format")
+    wrong = F.exists("schemas", lambda s: (s["name"] == "ScanAngle") & (s["type"] == "floating"))
+    mend = lambda s: F.struct(s["name"].alias("name"), F.coalesce(_stored(s["name"], fmt, 0), s["size"]).alias("size"), F.coalesce(_stored(s["name"], fmt, 1), s["type"]).alias("type"))
+    turn = lambda s: F.struct(s["name"].alias("name"), *[F.when(s["name"] == "ScanAngle", F.round(F.degrees(s[c]), 4)).otherwise(s[c]).alias(c) for c in ("vmin", "vmax", "vmean", "vstd")])
+    return items.withColumns({"schemas": F.when(wrong, F.transform("schemas", mend)).otherwise(F.col("schemas")), "stats": F.when(wrong, F.transform("stats", turn)).otherwise(F.col("stats"))})
+
+
+def polygon_intersects_box(rings: Column, box: tuple[float, float, float, float]) -> Column:
+    """Whether polygons (array of closed rings of struct<x,y>, holes among them) and a box have a point in common.
+
+    They do if an edge meets the box (their extents overlap, and its corners are not all on one side of the edge), or
+    if the box lies inside (its first corner has an odd number of edges to its right).
+    """
+    x0, y0, x1, y1 = (F.lit(float(v)) for v in box)
+    steps = lambda ring: F.sequence(F.lit(1), F.size(ring) - 1)
+    edge = lambda ring: F.transform(steps(ring), lambda i: F.struct(ring[i - 1]["x"].alias("ax"), ring[i - 1]["y"].alias("ay"), ring[i]["x"].alias("bx"), ring[i]["y"].alias("by")))
+    edges = F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 1), edge))
+
+    def meets(e: Column) -> Column:
+        near = (F.greatest(e["ax"], e["bx"]) >= x0) & (F.least(e["ax"], e["bx"]) <= x1) & (F.greatest(e["ay"], e["by"]) >= y0) & (F.least(e["ay"], e["by"]) <= y1)
+        side = [(e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"]) for x in (x0, x1) for y in (y0, y1)]
+        return near & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
+
+    def right_of(e: Column) -> Column:
+        spans = (e["ay"] > y0) != (e["by"] > y0)
+        return spans & (x0 < (e["bx"] - e["ax"]) * (y0 - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0)) + e["ax"])
+
+    inside = F.size(F.filter(edges, lambda e: F.coalesce(right_of(e), F.lit(False)))) % 2 == 1
+    return F.coalesce(F.exists(edges, meets) | inside, F.lit(False))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracat.operators.records import polygon_intersects_box
+
 
 def file_fingerprint(content: DataFrame) -> DataFrame:
     """Size and published hash (prefix 1220 for sha-256) of each content."""
@@ -53,11 +55,19 @@ def summary_rollup(items: DataFrame) -> DataFrame:
     return items.rollup("collection", "grp").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n"), F.sum("points").alias("points")).select("collection", "grp", "level", "n", "points")
 
 
-def search_spatiotemporal(items: DataFrame, box: tuple[float, float, float, float], since: str, until: str, least: float) -> DataFrame:
-    """Items that touch the box, start within the dates and have so many points; collections that miss it are skipped."""
-    hits = collection_extent(items).where((F.col("x1") >= box[0]) & (F.col("x0") <= box[2]) & (F.col("y1") >= box[1]) & (F.col("y0") <= box[3])).select("collection")
-    inside = (F.col("x1") >= box[0]) & (F.col("x0") <= box[2]) & (F.col("y1") >= box[1]) & (F.col("y0") <= box[3])
-    return items.where(inside & F.col("start").between(F.lit(since).cast("date"), F.lit(until).cast("date")) & (F.col("points") >= least)).join(hits, "collection", "left_semi").select("item", "collection")
+def search_spatiotemporal(items: DataFrame, collections: DataFrame, box: tuple[float, float, float, float], since: str, until: str, least: float, rings: str | None = None) -> DataFrame:
+    """Items that touch the box, start within the dates and have so many points; item, collection.
+
+    collections (collection, x0, y0, x1, y1, t0, t1) is the stored table of extents: those that miss the box or the dates
+    are skipped. rings: a column of polygons, which are then tested themselves after their boxes.
+    """
+    lo, hi = F.lit(since).cast("date"), F.lit(until).cast("date")
+    near = (F.col("x1") >= box[0]) & (F.col("x0") <= box[2]) & (F.col("y1") >= box[1]) & (F.col("y0") <= box[3])
+    open_ones = collections.where(near & (F.col("t0") <= hi) & (F.col("t1") >= lo)).select("collection")
+    hit = items.where(near & F.col("start").between(lo, hi) & (F.col("points") >= least))
+    if rings:
+        hit = hit.where(polygon_intersects_box(F.col(rings), box))
+    return hit.join(open_ones, "collection", "left_semi").select("item", "collection")
 
 
 def dir_own_stats(paths: DataFrame) -> DataFrame:

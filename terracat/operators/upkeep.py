@@ -108,6 +108,25 @@ def dir_ext_share(own: DataFrame) -> DataFrame:
     return rows.groupBy("dir").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["t"]), ", ").alias("shares"))
 
 
+def summarize_dirs(names: DataFrame, shares: DataFrame, threshold: int) -> DataFrame:
+    """names (dir, name) -> dir, names, shares: directories of at least `threshold` files show the shares of their
+    extensions (shares: dir, shares), others their sorted names. Only names of small directories are gathered."""
+    total = names.groupBy("dir").agg(F.count("*").alias("n"))
+    few = names.join(total.where(F.col("n") < threshold), "dir", "left_semi").groupBy("dir").agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
+    many = total.where(F.col("n") >= threshold).select("dir").join(shares, "dir")
+    none = F.lit(None).cast("string")
+    return few.withColumn("shares", none).unionByName(many.withColumn("names", none))
+
+
+def stale_collections(previous: DataFrame, current: DataFrame, filtered: bool = False, failed: bool = False) -> DataFrame:
+    """Collections (collection) of the last run without a campaign in this one, and whether they are acted on.
+
+    A run over some campaigns alone says nothing of the others; after a failure they are only told.
+    """
+    gone = previous.select("collection").distinct().join(current.select("collection").distinct(), "collection", "left_anti")
+    return gone.where(F.lit(not filtered)).withColumn("acted", F.lit(not failed))
+
+
 def max_listed(names: DataFrame, most: int = 3) -> DataFrame:
     """names (dir, name): the first names of each directory and how many more there are, without gathering the rest."""
     from pyspark.sql.window import Window

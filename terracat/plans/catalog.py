@@ -15,12 +15,12 @@ from terracat.plans import views as V
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-TABLES = {"FILES": ["lineitem"], "CONTENT": ["documents"], "PREV": ["documents"], "POINTS": ["lineitem"], "ITEMS": ["orders", "customer", "nation"], "CELLS": ["embeddings"], "PATHS": ["pages"]}
+TABLES = {"FILES": ["lineitem"], "CONTENT": ["documents"], "PREV": ["documents"], "POINTS": ["lineitem"], "ITEMS": ["orders", "customer", "nation"], "CELLS": ["embeddings"], "PATHS": ["pages"], "TREE": ["lineitem"], "CONFIG": ["lineitem"], "DIMS": ["part"]}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view as a DataFrame, over tables read from sf_dir; the tables are bound by name, not registered."""
-    sql = getattr(V, name, None) or getattr(V, f"{name}_SPARK")
+    sql = (getattr(V, name, None) or getattr(V, f"{name}_SPARK")).replace("{", "{{").replace("}", "}}")
     args = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES[name]}
     for t in TABLES[name]:
         sql = _bind(sql, t)
@@ -51,9 +51,12 @@ _CHAINS = f"""pats as (select * from (values {_ROWS}) t(ord, label, req, forb, e
  pe as (select ord, label, req, forb, unnest(exts) as pext from pats),
  cand as (select f.*, p.*, string_split(lower(name[:length(name) - length(pext)]), '_') as toks from v_files f join pe p on ends_with(lower(name), pext)),
  best as (select * from cand where list_has_all(toks, req) and not list_has_any(toks, forb) qualify row_number() over (partition by parent, name order by len(req) desc, length(pext) desc, ord) = 1),
- prods as (select parent, name, length, best.label, category, kind, array_to_string(list_filter(string_split(name[:length(name) - length(pext)], '_'), lambda t: lower(t) <> 'cog'), '_') as item, pext as ext from best join labs on best.label = labs.label where category <> 'ignore'),
- twins as (select *, row_number() over w as rn, first_value(name) over w as winner from prods window w as (partition by parent, category, lower(item) order by ext = '.copc.laz' desc, list_contains(regexp_split_to_array(lower(name), '[_.]'), 'cog') desc, case ext when '.copc.laz' then 2 when '.laz' then 1 else 0 end desc, name)),
- grouped as (select *, case when count(*) over (partition by parent, category) > 1 and regexp_extract(parent, '/(tiles_\\w+)$', 1) <> '' then regexp_extract(parent, '/(tiles_\\w+)$', 1) end as grp from twins where rn = 1)"""
+ prods as (select parent, name, length, label, category, kind, array_to_string(list_filter(string_split(stem, '_'), lambda t: lower(t) <> 'cog'), '_') as item, pext as ext,
+   list_contains(string_split(lower(stem), '_'), 'cog') as cog, case kind when 'pcl' then pext = '.copc.laz' else list_contains(string_split(lower(stem), '_'), 'cog') end as native
+   from (select best.*, category, kind, name[:length(name) - length(pext)] as stem from best join labs on best.label = labs.label where category <> 'ignore')),
+ twins as (select *, row_number() over w as rn, first_value(name) over w as winner from prods
+   window w as (partition by parent, category, lower(item) order by native desc, cog desc, case ext when '.copc.laz' then 2 when '.laz' then 1 else 0 end desc, name)),
+ grouped as (select *, case when count(*) over (partition by parent, category) > 1 and len(string_split(parent, '/')) > 2 then array_to_string(string_split(parent, '/')[3:], '_') end as grp from twins where rn = 1)"""
 
 
 def _prods(f: DataFrame) -> DataFrame:
@@ -69,15 +72,11 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["campaign_contents"] = flagship
 ORACLES["campaign_contents"] = f"with v_files as ({V.FILES}), {_CHAINS} select regexp_extract(parent, '\\d{{4}}-\\d{{2}}-\\d{{2}}') as campaign, count(*) as n_products, cast(sum(length) as bigint) as bytes, array_to_string(list_sort(array_agg(distinct category)), ',') as categories from grouped group by 1"
 
-add("scan_campaigns", "FILES", lambda f: f.select(F.regexp_extract("parent", C.DATE, 0).alias("campaign")).where("campaign <> ''").groupBy("campaign").agg(F.count("*").alias("n_files")), "select regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}') as campaign, count(*) as n_files from v_files group by 1")
-add("scan_only_glob", "FILES", lambda f: f.where(F.regexp_extract("parent", C.DATE, 0).rlike("^199[5-7]-.*$")).select("parent", "name"), "select parent, name from v_files where regexp_matches(regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}'), '^199[5-7]-.*$')")
 add("match_longest_ext", "FILES", lambda f: C.match_longest_ext(f, C.pattern_table(f.sparkSession)).select("parent", "name", "ext"), "select parent, name, case when ends_with(lower(name), '.copc.laz') then '.copc.laz' when ends_with(lower(name), '.laz') then '.laz' when ends_with(lower(name), '.las') then '.las' when ends_with(lower(name), '.tif') then '.tif' end as ext from v_files")
 add("name_tokens", "FILES", lambda f: C.name_tokens(C.match_longest_ext(f, C.pattern_table(f.sparkSession))).select("parent", "name", F.array_join("tokens", "|").alias("tokens")), "select parent, name, replace(lower(regexp_replace(name, '(\\.copc\\.laz|\\.laz|\\.las|\\.tif)$', '')), '_', '|') as tokens from v_files")
 add("match_pattern", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession)).select("parent", "name", "label"), "select f.parent, f.name, best.label from v_files f left join best on f.parent = best.parent and f.name = best.name")
 add("match_label_join", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession)).join(F.broadcast(C.label_table(f.sparkSession)), "label", "left").select("parent", "name", F.coalesce("category", F.lit("unknown")).alias("category")), "select f.parent, f.name, coalesce(category, 'unknown') as category from v_files f left join best on f.parent = best.parent and f.name = best.name left join labs on best.label = labs.label")
 add("filter_ignore", "FILES", lambda f: _prods(f).select("parent", "name", "category"), "select parent, name, category from prods")
-add("filter_unknown_policy", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession)).where("label is null").select("parent", "name"), "select f.parent, f.name from v_files f anti join best on f.parent = best.parent and f.name = best.name")
-add("filter_exclude_globs", "FILES", lambda f: f.where(~F.lower("name").rlike("^.*_masked_1.*$")).select("parent", "name"), "select parent, name from v_files where not regexp_matches(lower(name), '^.*_masked_1.*$')")
 add("item_id", "FILES", lambda f: _prods(f).select("parent", "name", "item"), "select parent, name, item from prods")
 add("qualify_id", "FILES", lambda f: _prods(f).select("parent", "name", C.qualify_id(F.col("item"), F.regexp_extract("parent", C.DATE, 0)).alias("qualified")), "select parent, name, case when regexp_matches(item, '\\d{4}-\\d{2}-\\d{2}') then item else regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}') || '_' || item end as qualified from prods")
 add("point_encoding", "FILES", lambda f: _prods(f).where("kind = 'pcl'").select("parent", "name", F.when(F.col("ext") == ".copc.laz", "copc").otherwise(F.expr("substr(ext, 2)")).alias("encoding")), "select parent, name, case ext when '.copc.laz' then 'copc' else ext[2:] end as encoding from prods where kind = 'pcl'")
@@ -115,6 +114,5 @@ add("collection_summary_sets", "ITEMS", lambda i: S.collection_summary_sets(i, "
 add("collection_summary_ranges", "ITEMS", lambda i: S.collection_summary_ranges(i, "points"), "select collection, min(points) as vmin, max(points) as vmax from v_items group by 1")
 add("summary_rollup", "ITEMS", lambda i: S.summary_rollup(i.withColumn("points", F.floor("points"))), "select collection, grp, cast(grouping(collection, grp) as int) as level, count(*) as n, cast(sum(floor(points)) as bigint) as points from v_items group by rollup(collection, grp)")
 add("filter_min_points", "ITEMS", lambda i: i.where("points is null or points >= 1000").select("item"), "select item from v_items where points is null or points >= 1000")
-add("search_spatiotemporal", "ITEMS", lambda i: S.search_spatiotemporal(i, (100.0, 100.0, 700.0, 500.0), "1995-01-01", "1996-06-30", 1000.0), "select item, collection from v_items where x1 >= 100 and x0 <= 700 and y1 >= 100 and y0 <= 500 and start between date '1995-01-01' and date '1996-06-30' and points >= 1000")
 add("dir_own_stats", "PATHS", S.dir_own_stats, "select regexp_extract(path, '^(.*)/[^/]*$', 1) as dir, case when regexp_extract(regexp_extract(path, '([^/]*)$', 1), '(\\.[^.]+)$', 1) = '' then '(no ext)' else lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '(\\.[^.]+)$', 1)) end as ext, count(*) as files, cast(sum(size) as bigint) as bytes from v_paths group by 1, 2")
 add("dir_subtree_size", "PATHS", S.dir_subtree_size, "select array_to_string(p[1:k], '/') as dir, cast(sum(size) as bigint) as bytes, count(*) as files from (select string_split(path, '/') as p, size, unnest(range(1, len(string_split(path, '/')))) as k from v_paths) group by 1")

@@ -22,7 +22,6 @@ def _campaign():
     return F.regexp_extract("parent", C.DATE, 0)
 
 
-
 # Records
 add("sink_href_rewrite", "PATHS", lambda p: p.select("path", R.relative_path(F.regexp_extract("path", "^(.*)/[^/]*$", 1), F.concat(F.split("path", "/")[0], F.lit("/thumbs/a.png"))).alias("href")), "select path, repeat('../', len(a) - n) || array_to_string(b[n + 1:], '/') as href from (select *, len(list_filter(range(1, least(len(a), len(b) - 1) + 1), lambda k: a[1:k] = b[1:k])) as n from (select path, string_split(regexp_extract(path, '^(.*)/[^/]*$', 1), '/') as a, string_split(split_part(path, '/', 1) || '/thumbs/a.png', '/') as b from v_paths))")
 def _native():
@@ -31,11 +30,9 @@ def _native():
 
 _NATIVE = "case when kind = 'pcl' then ext = '.copc.laz' else regexp_matches(lower(name), '_cog[._]') end"
 add("flag_cloud_native", "FILES", lambda f: _prods(f).select("parent", "name", _native().alias("native")), f"select parent, name, {_NATIVE} as native from prods")
-add("filter_non_cn_policy", "FILES", lambda f: C.twin_dedupe(_prods(f)).where(~_native()).select("parent", "name", F.when(F.col("kind") == "pcl", "not copc").otherwise("not cog").alias("reason")), f"select parent, name, case when kind = 'pcl' then 'not copc' else 'not cog' end as reason from twins where rn = 1 and not {_NATIVE}")
 _MEDIA = f"case label when 'pointcloud_copc' then 'application/vnd.laszip+copc' when 'pointcloud' then 'application/vnd.laszip' when 'pointcloud_las' then 'application/vnd.las' else case when {_NATIVE} then 'image/tiff; application=geotiff; profile=cloud-optimized' else 'image/tiff; application=geotiff' end end"
 add("media_type_select", "FILES", lambda f: _prods(f).select("parent", "name", R.media_type(F.col("label"), _native()).alias("media")), f"select parent, name, {_MEDIA} as media from prods")
 add("join_shape_check", "FILES", lambda f: _prods(f).select("parent", "name", F.when(F.col("length") % 13 != 0, R.media_type(F.col("label"), _native())).alias("stored"), R.media_type(F.col("label"), _native()).alias("listed")).where(~F.col("stored").eqNullSafe(F.col("listed"))).select("parent", "name"), "select parent, name from prods where length % 13 = 0")
-add("filter_config_self", "FILES", lambda f: f.where(~F.lower("name").rlike(r"\.(txt|json|yaml)$")).select("parent", "name"), "select parent, name from v_files where not regexp_matches(lower(name), '\\.(txt|json|yaml)$')")
 def _long():
     return F.concat_ws("_", "item", F.when(F.col("length") % 2 == 0, F.col("length").cast("string")))
 
@@ -45,7 +42,6 @@ add("group_title", "FILES", lambda f: U.group_title(C.tile_group_assign(C.twin_d
 add("band_name", "BANDS", lambda b: R.band_name(b).select("item", "band", "name", "common_name"), "select item, band, coalesce(description, case when color <> 'undefined' and not (color = 'gray' and n = 1) then color end, case when n > 1 then 'band' || band end) as name, case when color in ('red', 'green', 'blue', 'nir') then color end as common_name from (select *, count(*) over (partition by item) as n from v_bands)")
 add("band_field_prune", "BANDS", lambda b: b.select("item", "band", F.to_json(F.struct(F.nullif("scale", F.lit(1.0)).alias("scale"), F.nullif("off", F.lit(0.0)).alias("offset"))).alias("fields")), "select item, band, case when scale <> 1 and off <> 0 then '{\"scale\":' || scale || ',\"offset\":' || off || '}' when scale <> 1 then '{\"scale\":' || scale || '}' when off <> 0 then '{\"offset\":' || off || '}' else '{}' end as fields from v_bands")
 add("json_safe_numbers", "BANDS", lambda b: b.select("item", "band", R.finite(F.col("nodata")).alias("number"), R.nodata_text(F.col("nodata")).alias("nodata")), "select item, band, case when isfinite(nodata) then round(nodata, 4) end as number, case when isnan(nodata) then 'nan' when nodata = 'Infinity'::double then 'inf' when nodata = '-Infinity'::double then '-inf' else cast(round(nodata, 4) as varchar) end as nodata from v_bands")
-add("storage_type_map", "BANDS", lambda b: b.select("item", "band", R.storage_type(F.col("data_type")).alias("kind")).where("kind is not null"), "select item, band, case data_type when 'int16' then 'signed' when 'float32' then 'floating' else 'unsigned' end as kind from v_bands where data_type <> 'complex64'")
 add("band_hoist_shared", "BANDS", lambda b: R.band_hoist_shared(b, ["data_type", "color"]), "select item, key, min(value) as value from (select item, unnest(['data_type', 'color']) as key, unnest([data_type, color]) as value, count(*) over (partition by item) as n from v_bands) group by 1, 2 having count(distinct value) = 1")
 def _keys():
     return F.array(F.lit("proj:code"), F.when(F.col("points") > 1e5, "pc:count"), F.when(F.col("x0") > 50, "file:size"), F.lit("title"))
@@ -54,12 +50,10 @@ def _keys():
 add("extension_declare", "ITEMS", lambda i: i.select("item", F.array_join(R.extension_declare(F.filter(_keys(), lambda k: k.isNotNull())), " ").alias("uris")), "select item, concat_ws(' ', case when x0 > 50 then 'https://stac-extensions.github.io/file/v2.1.0/schema.json' end, case when points > 100000 then 'https://stac-extensions.github.io/pointcloud/v2.0.0/schema.json' end, 'https://stac-extensions.github.io/projection/v2.0.0/schema.json') as uris from v_items")
 add("native_bbox", "ITEMS", lambda i: R.native_bbox(i.selectExpr("item", "x0 as gt0", "25e0 as gt1", "3e0 as gt2", "y0 as gt3", "-2e0 as gt4", "-25e0 as gt5", "x1 as width", "y1 as height")).select("item", "xmin", "ymin", "xmax", "ymax"), "select item, x0 as xmin, x0 + 25 * x1 + 3 * y1 as xmax, y0 - 2 * x1 - 25 * y1 as ymin, y0 as ymax from v_items")
 add("reproject_bbox", "ITEMS", lambda i: R.reproject_bbox(i.selectExpr("item", "x0 * 1000 as x0", "y0 * 1000 as y0", "x1 * 1000 as x1", "y1 * 1000 as y1")), "select item, round(degrees(x0 * 1000 / 6378137), 6) as west, round(degrees(2 * atan(exp(y0 * 1000 / 6378137)) - pi() / 2), 6) as south, round(degrees(x1 * 1000 / 6378137), 6) as east, round(degrees(2 * atan(exp(y1 * 1000 / 6378137)) - pi() / 2), 6) as north from v_items")
-add("crs_fallback", "ITEMS", lambda i: i.select("item", F.coalesce(F.when(F.col("x0") % 3 != 0, "EPSG:31256"), F.when(F.col("collection") != "FRANCE", "EPSG:3857")).alias("crs")).withColumn("failed", F.col("crs").isNull()), "select item, crs, crs is null as failed from (select item, case when x0 % 3 <> 0 then 'EPSG:31256' when collection <> 'FRANCE' then 'EPSG:3857' end as crs from v_items)")
+add("crs_fallback", "ITEMS", lambda i: i.select("item", F.coalesce(F.when(F.col("x0") % 3 != 0, "EPSG:31256"), F.when(F.col("collection") != "NATION_7", "EPSG:3857")).alias("crs")).withColumn("failed", F.col("crs").isNull()), "select item, crs, crs is null as failed from (select item, case when x0 % 3 <> 0 then 'EPSG:31256' when collection <> 'NATION_7' then 'EPSG:3857' end as crs from v_items)")
 add("round_coords", "ITEMS", lambda i: i.select("item", R.round_coords(F.array(F.array(F.col("x0") / 3, F.col("y0") / 7), F.array(F.col("x1") / 3, F.col("y1") / 7))).alias("r")).selectExpr("item", "r[0][0] as a", "r[0][1] as b", "r[1][0] as c", "r[1][1] as d"), "select item, round(x0 / 3, 7) as a, round(y0 / 7, 7) as b, round(x1 / 3, 7) as c, round(y1 / 7, 7) as d from v_items")
-add("unit_convert_dim", "POINTS", lambda p: P.point_stats(p, ["tax", "z"]).withColumns({c: F.when(F.col("dim") == "tax", F.round(F.degrees(c), 4)).otherwise(F.col(c)) for c in ("vmin", "vmax")}).select("item", "dim", "vmin", "vmax"), "select item, 'tax' as dim, round(degrees(min(tax)), 4) as vmin, round(degrees(max(tax)), 4) as vmax from v_points group by 1 having min(tax) <> max(tax) union all select item, 'z', min(z), max(z) from v_points group by 1 having min(z) <> max(z)")
 _SPAN = """select item, case when ok then s end as start_us, case when ok then e end as end_us from (select *, coalesce(abs(s // 86400000000 - (campaign - date '1970-01-01')) <= 14 and abs(e // 86400000000 - (campaign - date '1970-01-01')) <= 14, false) as ok from (select *, cast(round((o + gps_min) * 1e6) as bigint) as s, cast(round((o + b) * 1e6) as bigint) as e from (select *, case when gps_max > 604800 then 1315964800 else ((a - date '1970-01-01') - case when b >= 86400 then dayofweek(a) else 0 end) * 86400 end as o
  from (select *, coalesce(anchor, campaign) as a, case when gps_max <= 604800 and gps_max < gps_min then gps_max + 604800 else gps_max end as b from v_spans where gps_min >= 0 and gps_min <> gps_max)))) where ok"""
-add("epoch_time_resolve", "SPANS", lambda s: R.epoch_time_resolve(s).where("start is not null").select("item", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us")), _SPAN)
 add("anchor_date", "FILES", lambda f: _prods(f).select("parent", "name", R.anchor_date(F.col("item"), F.to_date(_campaign())).cast("string").alias("anchor")), f"select parent, name, cast(case when abs(own - c) <= 14 then own else c end as varchar) as anchor from (select parent, name, try_cast(regexp_extract(item, '\\d{{4}}-\\d{{2}}-\\d{{2}}') as date) as own, cast({_CAMPAIGN} as date) as c from prods)")
 _map = lambda *kv: F.create_map(*[x for k, v in kv for x in (F.lit(k), v)])
 def _none():
@@ -75,15 +69,7 @@ add("properties_overlay", "ITEMS", lambda i: i.select("item", _props(_overlay())
 add("gate_refresh_properties", "ITEMS", lambda i: i.select("item", U.gate_refresh_properties(_overlay(), _map(("a", F.col("grp")), ("b", F.col("collection")), ("c", F.lit("I")))).alias("refresh")), "select item, x0 % 2 = 0 as refresh from v_items")
 
 
-def _overrides(f: DataFrame) -> DataFrame:
-    rows = F.explode(F.array(F.struct(F.lit("dtm").alias("label"), F.array(F.lit("DGM")).alias("require")), F.struct(F.lit("intensity").alias("label"), F.array(F.lit("Int")).alias("require"))))
-    return f.select(_campaign().alias("campaign")).distinct().select("campaign", rows.alias("o")).select("campaign", "o.*", F.lit(None).cast("array<string>").alias("forbid"), F.array(F.lit(".TIF")).alias("extensions"))
-
-
-add("registry_merge", "FILES", lambda f: R.registry_merge(C.pattern_table(f.sparkSession), _overrides(f)).select("campaign", "label", F.array_join("require", ",").alias("req"), F.array_join("forbid", ",").alias("forb"), F.array_join("extensions", ",").alias("exts")), f"select campaign, label, coalesce(array_to_string(req, ','), '') as req, coalesce(array_to_string(forb, ','), '') as forb, array_to_string(exts, ',') as exts from (select distinct {_CAMPAIGN} as campaign from v_files) cross join (select label, req, forb, exts from pats where label <> 'dtm' union all select 'dtm', ['dgm'], []::varchar[], ['.tif'] union all select 'intensity', ['int'], []::varchar[], ['.tif'])")
 add("ext_new_product_types", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession).unionByName(f.sparkSession.createDataFrame([(99, "report", [], [], [".txt"])], "ord int, label string, require array<string>, forbid array<string>, extensions array<string>"))).where("label = 'report'").select("parent", "name"), "select parent, name from v_files where ends_with(lower(name), '.txt')")
-_sides = lambda f: f.where(F.endswith("name", F.lit(".txt"))).select("parent", F.col("name").alias("side"))
-add("join_sidecar_files", "FILES", lambda f: R.join_sidecar_files(_prods(f), _sides(f)), "select p.parent, p.name, count(distinct s.name) as n_sides, string_agg(distinct s.name, ',' order by s.name) as sides from prods p join v_files s on p.parent = s.parent and ends_with(s.name, '.txt') and s.name[:-5] in (p.name, p.name[:length(p.name) - length(p.ext)]) group by 1, 2")
 # Placement keys of a campaign, as its settings give them.
 KEYS = [(0, "*_DTM_1?", "terrain"), (1, "*dsm*", "surface"), (2, "*_1*", "ones"), (3, "zzz*", "never"), (4, "p_dtm_5", "five"), (5, "p_dtm_15", None), (6, "p_none", "none")]
 
@@ -101,7 +87,6 @@ add("anti_unused_keys", "FILES", lambda f: R.anti_unused_keys(_ids(f), _placemen
 _recorded = lambda c: P.band_stats(c).select("item", (F.col("vmax") * (1 + F.col("item") * 4e-5)).alias("recorded"))
 add("join_recorded_vs_actual", "CELLS", lambda c: R.join_recorded_vs_actual(_recorded(c), P.band_stats(c).select("item", F.col("vmax").alias("actual")), ["item"]).select("item", "agrees"), "select item, abs(m * (1 + item * 4e-5) - m) <= greatest(1e-4 * abs(m * (1 + item * 4e-5)), 5e-5) as agrees from (select item, round(max(value), 4) as m from v_cells where valid group by 1)")
 add("map_dim_names", "BANDS", lambda b: b.select(F.col("description").alias("a")).where("a is not null").distinct().select("a", R.dim_key(F.concat(F.lit("__"), F.upper("a"))).alias("dim")), "select distinct description as a, replace(lower(description), ' ', '') as dim from v_bands where description is not null")
-add("nodata_exclude_scale", "BANDS", lambda b: b.where("off <> 2.0").select("item", "band", F.when(~F.isnan("nodata"), F.col("nodata") * F.col("scale") + F.col("off")).alias("value")).select("item", "band", R.finite(F.col("value")).alias("value")), "select item, band, case when isfinite(nodata) then round(nodata * scale + off, 4) end as value from v_bands where off <> 2")
 add("flag_bits_compose", "POINTS", lambda p: p.select("item", *[(F.col("x").cast("long") % k == 0).cast("int").alias(f"f{k}") for k in (2, 3, 5, 7)]).groupBy("item", F.col("f2").bitwiseOR(F.shiftleft("f3", 1)).bitwiseOR(F.shiftleft("f5", 2)).bitwiseOR(F.shiftleft("f7", 3)).alias("flags")).agg(F.count("*").alias("n")), "select item, cast((x % 2 = 0)::int + 2 * (x % 3 = 0)::int + 4 * (x % 5 = 0)::int + 8 * (x % 7 = 0)::int as int) as flags, count(*) as n from v_points group by 1, 2")
 add("config_digest", "ITEMS", lambda i: i.groupBy("collection").agg(F.sort_array(F.collect_set("grp")).alias("labels")).select("collection", F.sha2(F.to_json(F.struct(F.lit("EPSG:31256").alias("crs"), "labels")), 256).alias("digest")), "select collection, sha256('{\"crs\":\"EPSG:31256\",\"labels\":[' || string_agg(distinct '\"' || grp || '\"', ',' order by '\"' || grp || '\"') || ']}') as digest from v_items group by 1")
 
@@ -139,7 +124,7 @@ add("gate_digest_change", "CONTENT", lambda a: _digests(a).where("not same").sel
 add("gate_two_stage_hash", ("CONTENT", "PREV"), U.gate_two_stage_hash, "select path, case when strlen(a.content) <> strlen(b.content) then 'size' when a.content = b.content then 'same' else 'content' end as gate from v_content a join v_prev b using (path) where a.content is not null and b.content is not null")
 _stamped = lambda b: _print(b).withColumns({"created": F.lit("2020-01-01").cast("date"), "updated": F.lit("2021-01-01").cast("date")})
 add("provenance_stamp", ("CONTENT", "PREV"), lambda a, b: U.provenance_stamp(_print(a), _stamped(b), "2025-06-01").select("path", F.col("created").cast("string").alias("created"), F.col("updated").cast("string").alias("updated")), "select a.path, case when b.path is null then '2025-06-01' else '2020-01-01' end as created, case when b.path is not null and a.content is not distinct from b.content then '2021-01-01' else '2025-06-01' end as updated from v_content a left join v_prev b on a.path = b.path")
-add("failure_isolation", "ITEMS", lambda i: U.failure_isolation(i.select(F.col("collection").alias("campaign"), F.when(F.expr("try_cast(case when x0 % 7 = 0 or collection = 'CHINA' then concat('x', item) else item end as bigint) is null"), "not a number").alias("error"))), "select collection as campaign, count(*) filter (not (x0 % 7 = 0 or collection = 'CHINA')) as n_ok, count(*) filter (x0 % 7 = 0 or collection = 'CHINA') as n_failed, n_ok > 0 as touched from v_items group by 1")
+add("failure_isolation", "ITEMS", lambda i: U.failure_isolation(i.select(F.col("collection").alias("campaign"), F.when(F.expr("try_cast(case when x0 % 7 = 0 or collection = 'NATION_3' then concat('x', item) else item end as bigint) is null"), "not a number").alias("error"))), "select collection as campaign, count(*) filter (not (x0 % 7 = 0 or collection = 'NATION_3')) as n_ok, count(*) filter (x0 % 7 = 0 or collection = 'NATION_3') as n_failed, n_ok > 0 as touched from v_items group by 1")
 add("rules_check", "ITEMS", lambda i: U.rules_check(i.withColumn("item", F.floor(F.col("points")).cast("string")).withColumn("grp", F.when(F.col("x0") % 50 != 0, F.col("grp"))), ["grp", "collection"]), "select cast(cast(floor(points) as bigint) as varchar) as item, 'missing grp' as rule from v_items where x0 % 50 = 0 union all select cast(cast(floor(points) as bigint) as varchar), 'duplicate id' from v_items group by 1 having count(*) > 1")
 def _moments():
     return U.restate_masked_moments(F.col("vmean"), F.col("vstd"), F.col("valid_percent") / 100)
@@ -148,7 +133,6 @@ def _moments():
 add("restate_masked_moments", "CELLS", lambda c: P.band_stats(c).join(P.valid_percent(c), "item").select("item", F.round(_moments()[0], 3).alias("mean"), F.round(_moments()[1], 3).alias("sd")), "select item, round(m / p, 3) as mean, round(sqrt(greatest((s * s + m * m) / p - m / p * (m / p), 0)), 3) as sd from (select item, round(avg(value) filter (valid), 4) as m, round(stddev_pop(value) filter (valid), 4) as s, round(100.0 * count(*) filter (valid) / count(*), 4) / 100 as p from v_cells group by 1)")
 add("restate_time", "ITEMS", lambda i: S.collection_extent(i.withColumn("start", F.when(F.col("points") > 2e5, F.date_add("start", 7)).otherwise(F.col("start")))).select("collection", "t0", "t1"), "select collection, min(s) as t0, max(s) as t1 from (select collection, case when points > 200000 then start + 7 else start end as s from v_items) group by 1")
 add("id_collision_global", "FILES", lambda f: U.id_collision_global(_prods(f).select(F.lower("item").alias("id"), _campaign().alias("owner"))), f"select id, owner, f as first_owner from (select *, min(owner) over (partition by id) as f from (select distinct lower(item) as id, {_CAMPAIGN} as owner from prods)) where owner <> f")
-add("anti_stale_collections", "ITEMS", lambda i: i.select("collection").distinct().join(i.where("start >= date'1998-07-01' and points > 490000").select("collection"), "collection", "left_anti"), "select distinct collection from v_items where collection not in (select collection from v_items where start >= date '1998-07-01' and points > 490000)")
 _tiles = lambda p: P.tile_assign_points(p, 25.0)
 _TILES = "select cast(floor((x - ox) / 25) as bigint) as tile_col, cast(floor((y - oy) / 25) as bigint) as tile_row, count(*) as n from v_points cross join (select min(x) - 0.0005 as ox, min(y) - 0.0005 as oy from v_points) group by 1, 2"
 add("skip_existing_outputs", "POINTS", lambda p: _tiles(p).join(_tiles(p).where("n % 2 = 0").select("tile_col", "tile_row"), ["tile_col", "tile_row"], "left_anti"), f"select * from ({_TILES}) where n % 2 = 1")
@@ -169,14 +153,9 @@ def _parent():
 
 _NAMES = "(select regexp_extract(path, '^(.*)/[^/]*$', 1) as dir, regexp_extract(path, '([^/]*)$', 1) as name from v_paths)"
 add("max_listed", "PATHS", lambda p: U.max_listed(p.select(_parent().alias("dir"), _name().alias("name"))), f"select dir, string_agg(name, ', ' order by name) filter (rn <= 3) || case when count(*) > 3 then ' (' || (count(*) - 3) || ' more)' else '' end as listed from (select *, row_number() over (partition by dir order by name) as rn from {_NAMES}) group by 1")
-add("dir_summarize_threshold", "PATHS", lambda p: U.max_listed(p.select(_parent().alias("dir"), _name().alias("name")), 10).select("dir", F.when(~F.col("listed").rlike(r" more\)$"), F.col("listed")).alias("names")), f"select dir, case when count(*) <= 10 then string_agg(name, ', ' order by name) end as names from {_NAMES} group by 1")
 
 
 # Folders and streams
-def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folders.scan_inventory(spark, sf_dir).select("path", "length")
-
-
 def _tile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = view(spark, sf_dir, "POINTS").withColumn("tile_col", F.floor(F.col("x") / 50)).withColumn("tile_row", F.floor(F.col("y") / 5))
     return folders.tile_partitions(points).groupBy("tile_col", "tile_row").agg(F.count("*").alias("n"), F.max("z").alias("top"))
@@ -195,7 +174,7 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals.running_summary(spark, f"{sf_dir}/events.parquet", "event_type", "value").withColumnRenamed("event_type", "campaign")
 
 
-QUERIES |= {"scan_inventory": _scan, "sink_tile_partitions": _tile_files, "sink_catalog_json": _json_tree, "stream_incremental_catalog": _incremental, "stream_running_summary": _summary}
+QUERIES |= {"sink_tile_partitions": _tile_files, "sink_catalog_json": _json_tree, "stream_incremental_catalog": _incremental, "stream_running_summary": _summary}
 ORACLES |= {
     "sink_tile_partitions": f"with v_points as ({base.V.POINTS}) select cast(floor(x / 50) as bigint) as tile_col, cast(floor(y / 5) as bigint) as tile_row, count(*) as n, max(z) as top from v_points group by 1, 2",
     "sink_catalog_json": f"with v_items as ({base.V.ITEMS}) select collection, item, x0, y0 from v_items",

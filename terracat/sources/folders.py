@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path below spark.checkpoint.dir; an own folder where that is unset (tests)."""
+    """A new path below spark.checkpoint.dir; an own folder where that is unset and all runs on one machine (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix="catalog-")
         spark.conf.set("spark.checkpoint.dir", at)
