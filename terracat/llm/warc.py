@@ -1,9 +1,9 @@
 """WARC archives and their two-level capture index.
 
 Archives are WARC 1.1 files, one gzip member per record, written by the tasks to the shared folder. The index holds a
-line per record under its reversed-host URL key, in key order, in compressed blocks; a sparse directory holds the
-first key of each block. A look-up searches the directory by bisection, opens the one or few blocks, and then reads
-the record's byte range alone.
+line per record under its reversed-host URL key, in key order, in compressed blocks, a file of blocks for each task and
+beside it a sparse directory of the first and last key of each block. A look-up searches the directories by bisection,
+opens only blocks that can hold the key, searches them by bisection, and then reads the records' byte ranges alone.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracat.llm.common import fresh_path, staged
 
 DATE = "2024-01-01T00:00:00Z"
-#: Records in an index block.
-BLOCK_LINES = 2_000
+#: Records in an index block, and bytes of archives that one task reads back, about.
+BLOCK_LINES, READ_BYTES = 2_000, 4 << 20
+LINE = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+LINES = "key string, page_id long, file string, offset long, length long"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -85,8 +87,6 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("body")).withColumn("sha", F.sha1("body"))
     groups = rows.select("page_id", "sha", F.length("body").alias("n")).groupBy("sha").agg(F.max("page_id").alias("latest"), F.count("*").alias("copies"), F.first("n").alias("n"))
     groups = groups.where((F.col("copies") > 1) & (F.col("n") >= smallest)).select("sha", "latest")
-    fields = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, name, at = None, f"{path}/{uuid.uuid4().hex}.warc.gz", 0  # a retried task writes another file
         for b in batches:
@@ -104,52 +104,112 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0) -> DataFrame:
                 lines.append((url_key(url), page_id, name, at, len(raw)))
                 at += len(raw)
             if lines:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*lines, strict=True), fields, strict=True)], schema=fields)
+                yield _batch(lines, LINE)
         if out is not None:
             out.close()
 
     marked = rows.join(groups, "sha", "left").select("page_id", "url", "body", "latest")
-    return staged(marked.mapInArrow(write, "key string, page_id long, file string, offset long, length long"), "captures")
+    return staged(marked.mapInArrow(write, LINES), "captures")
+
+
+def _batch(rows: list, fields: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
 
 
-def write_index(lines: DataFrame, path: str) -> None:
-    """Sorted compressed blocks at path/blocks (part, block, first_key, last_key, data) and their directory at path/directory."""
-    fields = pa.schema([("block", pa.int32()), ("first_key", pa.string()), ("last_key", pa.string()), ("data", pa.binary())])
+def write_index(lines: DataFrame, path: str, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """Write the index of lines under path; returns the staged table of its parts, one row for each file of blocks:
+    file, directory, first_key, last_key."""
+    fields = pa.schema([(c, pa.string()) for c in ("file", "directory", "first_key", "last_key")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = []
-        block = 0
+        name, out, held, sparse, at = f"{path}/{uuid.uuid4().hex}", None, [], [], 0  # a retried task writes other files
 
-        def close(rows: list[list]) -> pa.RecordBatch:
+        def close(rows: list[tuple]) -> None:
+            nonlocal at
             data = zlib.compress("\n".join(json.dumps(r) for r in rows).encode())
-            return pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip((block, rows[0][0], rows[-1][0], data), fields, strict=True)], schema=fields)
+            out.write(data)
+            sparse.append((rows[0][0], rows[-1][0], at, len(data)))
+            at += len(data)
 
         for b in batches:
-            held += map(list, zip(*[c.to_pylist() for c in b.columns], strict=True))
-            while len(held) >= BLOCK_LINES:
-                yield close(held[:BLOCK_LINES])
-                held, block = held[BLOCK_LINES:], block + 1
+            held += zip(*[c.to_pylist() for c in b.columns], strict=True)
+            if held and out is None:
+                fs, local = _open(name)
+                fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
+                out = fs.open_output_stream(f"{local}.blocks", compression=None)
+            while len(held) >= block_lines:
+                close(held[:block_lines])
+                held = held[block_lines:]
         if held:
-            yield close(held)
+            close(held)
+        if out is not None:
+            out.close()
+            with fs.open_output_stream(f"{local}.directory", compression=None) as f:
+                f.write(zlib.compress(json.dumps(sparse).encode()))
+            yield _batch([(f"{name}.blocks", f"{name}.directory", sparse[0][0], sparse[-1][1])], fields)
 
     # The page's number breaks ties: many captures of one URL spread over parts.
     ordered = lines.select("key", "page_id", "file", "offset", "length").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset")
-    blocks = ordered.mapInArrow(pack, "block int, first_key string, last_key string, data binary").withColumn("part", F.spark_partition_id())
-    blocks.write.parquet(f"{path}/blocks")
-    lines.sparkSession.read.parquet(f"{path}/blocks").select("first_key", "last_key", "part", "block").write.parquet(f"{path}/directory")
+    return staged(ordered.mapInArrow(pack, "file string, directory string, first_key string, last_key string"), "index")
 
 
-def index_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of the index."""
-    fields = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+def _read(file: str, offset: int | None = None, length: int | None = None) -> bytes:
+    fs, local = _open(file)
+    with fs.open_input_file(local) as f:
+        if offset is None:
+            return zlib.decompress(f.read())
+        f.seek(offset)
+        return zlib.decompress(f.read(length))
+
+
+def look_up(keys: DataFrame, parts: DataFrame) -> DataFrame:
+    """Index lines (key, page_id, file, offset, length) of all captures under the keys (key), each key once or more.
+
+    The table of parts goes to every task: a row for each task that wrote the index. A key of many captures fills many
+    blocks, which are opened by as many tasks.
+    """
+    top = sorted((r["first_key"], r["last_key"], r["file"], r["directory"]) for r in parts.collect())
+    firsts, lasts = [t[0] for t in top], [t[1] for t in top]
+    wanted = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("key", pa.string())])
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sparse, low, high = None, [], [], []
         for b in batches:
-            for data in b.column(0).to_pylist():
-                rows = [json.loads(x) for x in zlib.decompress(data).split(b"\n")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
+            hits = []
+            for key in b.column(0).to_pylist():
+                for _, _, file, directory in top[bisect_left(lasts, key) : bisect_right(firsts, key)]:
+                    if directory != now:
+                        now, sparse = directory, json.loads(_read(directory))
+                        low, high = [x[0] for x in sparse], [x[1] for x in sparse]
+                    hits += [(file, offset, length, key) for _, _, offset, length in sparse[bisect_left(high, key) : bisect_right(low, key)]]
+            if hits:
+                yield _batch(hits, wanted)
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lines, known = None, [], []
+        for b in batches:
+            out = []
+            for file, offset, length, key in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (file, offset) != now:
+                    now, lines = (file, offset), [json.loads(x) for x in _read(file, offset, length).split(b"\n")]
+                    known = [x[0] for x in lines]
+                out += lines[bisect_left(known, key) : bisect_right(known, key)]
+            if out:
+                yield _batch(out, LINE)
+
+    asked = keys.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key")
+    blocks = asked.mapInArrow(find, "file string, offset long, length long, key string")
+    return blocks.repartition("file", "offset").sortWithinPartitions("file", "offset", "key").mapInArrow(opened, LINES)
+
+
+def keys_of(pages: DataFrame) -> DataFrame:
+    """key of each row of pages (url)."""
 
-    return spark.read.schema("block int, first_key string, last_key string, data binary, part int").parquet(f"{path}/blocks").select("data").mapInArrow(unpack, "key string, page_id long, file string, offset long, length long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in b.column(0).to_pylist()], pa.string())], names=["key"])
+
+    return pages.select(F.col("url").cast("string").alias("url")).mapInArrow(run, "key string")
 
 
 def read_range(file: str, offset: int, length: int, opened: dict) -> bytes:
@@ -185,36 +245,20 @@ def read_captures(lines: DataFrame) -> DataFrame:
         for f in opened.values():
             f.close()
 
-    dealt = lines.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # Dealt by what is read, not by the size of the lines: a number of its own keeps them from being drawn together.
+    total = lines.agg(F.sum("length")).first()[0] or 0
+    tasks, piece = total // READ_BYTES + 1, F.floor(F.col("offset") / READ_BYTES)
+    dealt = lines.select("file", "offset", "length").repartition(tasks, "file", piece).sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
-def look_up(spark: SparkSession, path: str, url: str) -> list[dict]:
-    """Captures of one URL: bisection in the directory, then only the blocks that can hold its key, then range reads."""
-    key = url_key(url)
-    directory = sorted(map(tuple, spark.read.parquet(f"{path}/directory").where((F.col("first_key") <= key) & (F.col("last_key") >= key)).collect()))
-    firsts, lasts = [d[0] for d in directory], [d[1] for d in directory]
-    wanted = directory[bisect_left(lasts, key) : bisect_right(firsts, key)]
-    blocks = spark.read.parquet(f"{path}/blocks")
-    out: list[dict] = []
-    opened: dict = {}
-    for _, _, part, block in wanted:
-        data = blocks.where((F.col("part") == part) & (F.col("block") == block)).first()["data"]
-        rows = [json.loads(x) for x in zlib.decompress(data).split(b"\n")]
-        keys = [r[0] for r in rows]
-        for _, page_id, file, offset, length in rows[bisect_left(keys, key) : bisect_right(keys, key)]:
-            warc, _, payload = parse(read_range(file, offset, length, opened))
-            out.append({"page_id": page_id, "headers": warc, "payload": payload})
-    return out
-
-
 def archive_pages(pages: DataFrame, smallest: int = 0) -> DataFrame:
-    """Write, index and read back: page_id, payload_bytes, payload_digest, record_type, refers_to, one row per page.
+    """Write, index, look up every page's URL and read back: page_id, payload_bytes, payload_digest, record_type,
+    refers_to, one row per page.
 
     Null html is an empty payload. Null urls and ids keep their row. An empty table gives an empty result.
     """
-    spark = pages.sparkSession
-    path = fresh_path(spark, "warc")
-    lines = write_archives(pages, f"{path}/archives", smallest)
-    write_index(lines, f"{path}/index")
-    return read_captures(index_lines(spark, f"{path}/index")).drop("payload")
+    path = fresh_path(pages.sparkSession, "warc")
+    parts = write_index(write_archives(pages, f"{path}/archives", smallest), f"{path}/index")
+    found = staged(look_up(keys_of(pages), parts), "found")
+    return read_captures(found).drop("payload")
