@@ -46,7 +46,9 @@ def runs_of(n: int) -> list[tuple[int, int]]:
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> dict[str, np.ndarray]:
-    """Embedding table and softmax weights, as {"table", "weight", "bias"}."""
+    """Embedding table and softmax weights, as {"table", "weight", "bias"}. Without texts of both labels all are zero: untrained."""
+    if len(set(labels)) < 2:
+        return {"table": np.zeros((BUCKETS, DIM), dtype=np.float32), "weight": np.zeros((2, DIM)), "bias": np.zeros(2)}
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     weight, bias = np.zeros((2, DIM)), np.array([2.0, -2.0])
@@ -119,6 +121,7 @@ class Scorer:
     def __init__(self, model: dict[str, np.ndarray]):
         self.rows = (model["table"] @ (model["weight"][1] - model["weight"][0])).astype(np.float64)
         self.bias = float(model["bias"][1] - model["bias"][0])
+        self.trained = bool(model["weight"].any() or model["bias"].any())
         self.known: dict[str, float] = {}
 
     def word(self, raw: str) -> float:
@@ -132,6 +135,8 @@ class Scorer:
         return value
 
     def score(self, text: str | None) -> float:
+        if not self.trained:
+            return 0.5
         raw = (text or "").lower().split()
         shares = np.array([self.word(w) for w in raw])
         if len(shares):
@@ -154,7 +159,7 @@ def held_out(doc_id) -> F.Column:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     """Train on at most `rows` labelled documents outside the held-out fold; the training is one task.
 
-    Null labels, ids or texts are left out. Without rows of both labels the model is untrained and scores stay near 0.5.
+    Null labels, ids or texts are left out. Without rows of both labels the model is untrained and gives every text the score 0.5.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     usable = known.where(~held_out(F.col("doc_id")))

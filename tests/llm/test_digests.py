@@ -306,3 +306,11 @@ def test_packing_rounds(spark):
     got = packing.pack_items(items, 2048).collect()
     rounds = {r["sequence_id"] >> 56 for r in got}
     assert max(rounds) > 1 and len({r["sequence_id"] for r in got}) <= 1.03 * len(best_fit(sizes, 2048)[2])
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0, 0), (2, 0, 0)], [(1, 0, 1)]])
+def test_toxicity_untrained(spark, labels):
+    """Without both labels nothing is learned: one score for texts of any length."""
+    docs = spark.createDataFrame([(1, "a b c", "", "", 5), (2, "word " * 2000, "", "", 1), (3, None, "", "", 0)], SCHEMA)
+    model = fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {r["score"] for r in score_toxicity(docs, model).collect()} == {0.5}
