@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -26,8 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset and all runs
+    on one machine (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix="terracat-")
         spark.conf.set("spark.checkpoint.dir", at)
@@ -139,17 +144,46 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+class WideIds(Exception):
+    """Repeated ids leave no room for numbers below them."""
+
+
+def any_ids(*columns: str) -> Callable:
+    """For operators on (doc_id, text) that call with_uid first: where ids are too wide for it, they are numbered in
+    order, and the columns of the result that hold ids are named back."""
+
+    def wrap(op: Callable) -> Callable:
+        @functools.wraps(op)
+        def run(docs: DataFrame, *args, **named) -> DataFrame:
+            try:
+                return op(docs, *args, **named)
+            except WideIds:
+                rows = docs.select(F.col("doc_id").cast("long").alias("real_id"), "text")
+            ids = rows.select("real_id").where("real_id is not null").distinct().orderBy("real_id")
+            numbers = staged(ids.select("real_id", F.monotonically_increasing_id().alias("doc_id")), "ids")
+            out = op(rows.join(numbers, "real_id", "left").select("doc_id", "text"), *args, **named)
+            order = out.columns
+            for c in columns:
+                back = numbers.select(F.col("doc_id").alias(c), "real_id")
+                out = out.join(back, c, "left").withColumn(c, F.col("real_id")).drop("real_id")
+            return out.select(order)
+
+        return run
+
+    return wrap
 
 
 def with_uid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
     """doc_id, uid, text, body: rows with a key of their own, and the bits by which uid >> bits is doc_id.
 
-    Where ids are unique uid is the id and bits is 0. Rows that share an id are numbered by text below it. Rows with a
-    null id are left out.
+    Where ids are unique uid is the id and bits is 0. Rows that share an id are numbered by text below it; WideIds is
+    raised if ids are too large for that. Rows with a null id are left out.
     """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    most = rows.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 1
-    bits = (most - 1).bit_length()
+    seen = rows.groupBy("doc_id").count().agg(F.max("count").alias("most"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    bits = ((seen["most"] or 1) - 1).bit_length()
+    if bits and max(-seen["low"], seen["high"] + 1) > 1 << (63 - bits):
+        raise WideIds
     if bits:
         number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text")) - 1
         rows = staged(rows.withColumn("uid", F.shiftleft("doc_id", bits) + number), "numbered")

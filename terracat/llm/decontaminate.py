@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terracat.llm.common import staged, with_uid
+from terracat.llm.common import any_ids, staged, with_uid
 
 #: Everything else separates words: controls, blanks and ASCII punctuation. A fixed value of the contract.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,6 +39,7 @@ def windows_of(items: DataFrame, window: int, shingle: int) -> DataFrame:
     return named.select("item_id", "window_id", "size", "run", k.alias("k"))
 
 
+@any_ids("doc_id")
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items (long), items_sha256 (string), contaminated (boolean),
     hit_spans array<struct<from,to>> (maximal runs of hit words, half open).

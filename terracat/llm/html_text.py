@@ -30,6 +30,8 @@ NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|pro
 NOISY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dd", "dt", "figcaption"}
 SPACE = re.compile(r"\s+")
+#: Classes of paragraphs that are readers' comments; other names are not looked at in paragraphs, where they style text.
+COMMENT = re.compile(r"(^|\s)(user-|reader-)?comments?(-\w+)?(\s|$)", re.I)
 
 
 class Node:
@@ -67,6 +69,8 @@ class Tree(HTMLParser):
         noise = tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in NOISY_ROLES or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I))
         if not noise and tag not in ("article", "main", "p", *INLINE):
             noise = bool(NOISE.search(f"{given.get('class', '')} {given.get('id', '')}"))
+        if tag == "p":
+            noise = noise or bool(COMMENT.search(given.get("class", "")))
         if tag == "header" and not self.inside("article"):
             noise = True
         node = Node(tag, self.at, noise)

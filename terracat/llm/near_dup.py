@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, WordHashes, mix, signed, staged, with_uid
+from terracat.llm.common import Ranges, WordHashes, any_ids, mix, signed, staged, with_uid
 from terracat.llm.graph import components
 
 #: A pair of similarity 0.8 shares no band with probability 3e-6.
@@ -140,6 +140,7 @@ def _across(apart: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -
     return by_key.unionByName(by_extra).distinct()
 
 
+@any_ids("doc_id", "component_id")
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, stars: int = 2) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles long, component_id long, kept boolean.
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, WordHashes, discard, staged, with_uid
+from terracat.llm.common import Ranges, WordHashes, any_ids, discard, staged, with_uid
 from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, mask_of, removal, repeated_seeds, repeated_windows, seed_places, seed_rows, sha, split_contexts, windows_of_places
 
 
@@ -63,6 +63,7 @@ def repeated_word_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     return spans
 
 
+@any_ids("doc_id")
 def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_removed (long), kept_sha256, kept_text (string, words joined by one space).
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, discard, mix, sliding, staged, with_uid
+from terracat.llm.common import Ranges, any_ids, discard, mix, sliding, staged, with_uid
 from terracat.llm.repeats import mask_of, sha
 
 #: Different strips of one seed that may meet in one text, bytes of such a text, and bytes of documents for each bucket.
@@ -422,6 +422,7 @@ def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple
     return [judged, found], buckets
 
 
+@any_ids("doc_id")
 def dedup_bytes(docs: DataFrame, window: int = 50, heavy: int = HEAVY) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans (long), kept_sha256, kept_text (string;
     a character cut in part is left out of kept_text).
