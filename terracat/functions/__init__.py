@@ -1 +1 @@
-"""Catalog analytics over Spark tables."""
+"""Functions of columns and names that operators share."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terracat.functions.names import glob_regex, relative_path  # noqa: F401
 from terracat.operators.classify import DATE, cloud_native  # noqa: F401
 
 # Media types of labels, the type of a cloud-native raster, and extension addresses of key prefixes.
@@ -21,20 +22,6 @@ EXTENSIONS = {
 GPS_EPOCH, ADJUSTED, WEEK, DAY, DRIFT = 315_964_800, 1_000_000_000, 604_800, 86_400, 14
 
 
-def glob_regex(glob: str) -> str:
-    """A regular expression, for any case, of a glob with * ? [ ]."""
-    parts = re.findall(r"\*|\?|\[!?[^\]]+\]|[^*?]", glob)
-    return "(?is)^" + "".join(".*" if p == "*" else "." if p == "?" else p.replace("[!", "[^") if len(p) > 1 else re.escape(p) for p in parts) + "$"
-
-
-def relative_path(from_dir: Column, to: Column) -> Column:
-    """The way from a directory to a file, both absolute below one root."""
-    a, b = F.split(from_dir, "/"), F.split(to, "/")
-    steps = F.sequence(F.lit(0), F.least(F.size(a), F.size(b) - 1))
-    shared = F.size(F.filter(steps, lambda k: (k > 0) & (F.slice(a, F.lit(1), k) == F.slice(b, F.lit(1), k))))
-    return F.concat(F.repeat(F.lit("../"), F.size(a) - shared), F.array_join(F.slice(b, shared + 1, F.size(b)), "/"))
-
-
 def media_type(label: Column, native: Column) -> Column:
     of_label = F.coalesce(*[F.when(label == k, v) for k, v in MEDIA.items()])
     return F.coalesce(of_label, F.when(native, COG).otherwise(TIFF))

@@ -88,3 +88,10 @@ def test_stale_collections(spark):
     old, new = spark.createDataFrame([("a",), ("b",)], "collection string"), spark.createDataFrame([("b",)], "collection string")
     assert [tuple(r) for r in U.stale_collections(old, new, failed=True).collect()] == [("a", False)]
     assert U.stale_collections(old, new, filtered=True).collect() == []
+
+
+def test_readable_sizes(spark):
+    from terracat.functions.names import readable_size
+
+    got = spark.createDataFrame([(n,) for n in (0, 1023, 1024, 1536, 5 * 1024**2, 3 * 1024**4)], "n long").select(readable_size(F.col("n"))).collect()
+    assert [r[0] for r in got] == ["0 B", "1023 B", "1.0 KB", "1.5 KB", "5.0 MB", "3.0 TB"]
