@@ -49,21 +49,27 @@ def match_pattern(files: DataFrame, patterns: DataFrame) -> DataFrame:
 
     patterns is a table of a few rows; it becomes one expression over each file's name, so files stay where they are.
     """
-    name, fits = F.lower("name"), []
-    for rule in patterns.collect():
+    rules = patterns.collect()
+    known = sorted({e for r in rules for e in r["extensions"]})
+    # Tokens of the name under each extension that it has; they are shared by all patterns of that extension.
+    tokens = {f"tokens_{k}": F.when(F.endswith(F.lower("name"), F.lit(e)), F.split(F.expr(f"left(lower(name), length(name) - {len(e)})"), "_")) for k, e in enumerate(known)}
+    fits = []
+    for rule in rules:
         for ext in rule["extensions"]:
-            tokens = F.split(F.expr(f"left(lower(name), length(name) - {len(ext)})"), "_")
-            ok = F.endswith(name, F.lit(ext))
-            for t in rule["require"]:
-                ok &= F.array_contains(tokens, t)
-            for t in rule["forbid"]:
-                ok &= ~F.array_contains(tokens, t)
-            order = [F.lit(len(rule["require"])).alias("required"), F.lit(len(ext)).alias("reach"), F.lit(-rule["ord"]).alias("turn")]
-            fits.append(F.when(ok, F.struct(*order, F.lit(rule["label"]).alias("label"), F.lit(ext).alias("ext"))))
-    none = F.lit(None).cast("struct<required:int,reach:int,turn:int,label:string,ext:string>")
-    best = F.greatest(none, *fits) if fits else none
-    out = files.withColumn("best_", best)
-    return out.withColumns({"label": F.col("best_.label"), "matched_ext": F.col("best_.ext")}).drop("best_")
+            own = F.col(f"tokens_{known.index(ext)}")
+            ok = own.isNotNull()
+            if rule["require"]:
+                ok &= F.size(F.array_except(F.array(*map(F.lit, rule["require"])), own)) == 0
+            if rule["forbid"]:
+                ok &= ~F.arrays_overlap(F.array(*map(F.lit, rule["forbid"])), own)
+            # One number to compare: most required tokens, then the longest extension, then the first in the table.
+            order = (len(rule["require"]) * 1_000 + len(ext)) * 1_000_000 - rule["ord"]
+            fits.append(F.when(ok, F.struct(F.lit(order).cast("long").alias("order"), F.lit(rule["label"]).alias("label"), F.lit(ext).alias("ext"))))
+    none = F.lit(None).cast("struct<order:bigint,label:string,ext:string>")
+    best = F.greatest(none, none, *fits)
+    # As a generator of one row, the choice is made once, wherever its columns are used.
+    own = [files[c] for c in files.columns]
+    return files.withColumns(tokens).select(*own, F.inline(F.array(best)).alias("order_", "label", "matched_ext")).drop("order_")
 
 
 def item_id(stem: Column) -> Column:
