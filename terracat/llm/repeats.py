@@ -1,10 +1,11 @@
-"""Repeated passages across documents: what word windows (op 8) and byte strings (op 10) share.
-
-A unit is a word hash or a byte value. A window is `window` consecutive units. A seed is a run of half that length
-that is the least by hash among those of some window (a minimizer), so copies of a window hold the same seed, about
-one unit in thirteen starts a seed, and a window can only be repeated if its seed is. The context of a seed is what
-the windows around it can touch. Documents that share a whole context need no look at single windows: all but the
-first are covered there. Only where a seed has several contexts are windows compared.
+"""Repeated word passages across documents: the ladder of windows of op8, and what op10 uses of it.
+
+A window is `window` consecutive units (word hashes). A run of a shorter length is a seed of the windows of which it
+is the least by hash (a minimizer), so copies of a window hold the same seed, and a window can only be repeated while
+its seed of each length is. Lengths double from rung to rung, and only windows whose seed was repeated are looked at
+on the next one. The context of a seed is what the windows around it can touch. Documents that share a whole context
+need no look at single windows: all but the first are covered there. Only where a seed has several contexts are
+windows compared.
 """
 
 from __future__ import annotations
@@ -19,19 +20,41 @@ from pyspark.sql import functions as F
 
 from terracat.llm.common import Ranges, discard, mix, signed, sliding, staged
 
+PLACES = "seed long, uid long"
+PLACE_FIELDS = pa.schema([("seed", pa.int64()), ("uid", pa.int64())])
 SEEDS = "seed long, ctx long, uid long, lo int, hi int"
 SEED_FIELDS = pa.schema([("seed", pa.int64()), ("ctx", pa.int64()), ("uid", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+#: A key of more than this share of all rows is hot, unless it has fewer than LEAST_HOT rows.
+HOT_SHARE, LEAST_HOT = 2_000, 5_000
+
+
+def ladder(window: int, least: int = 13) -> list[int]:
+    """Lengths of the rungs below the window, each half the next, the shortest first."""
+    out = [(window + 1) // 2]
+    while out[0] > 2 * least - 2:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
+
 
+def least_of_windows(every: np.ndarray, window: int, seed: int) -> np.ndarray:
+    """The least seed hash of each window."""
+    return sliding(every, window - seed + 1, np.minimum)
 
-def seed_places(ranges: Ranges, n: int, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places whose seed is the least of some window, and the hash of each place's seed."""
+
+def seed_places(ranges: Ranges, n: int, window: int, seed: int, known: tuple[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose seed is the least of some window, and the hash of each place's seed.
+
+    known: length and hashes of the shorter seeds that are repeated; windows of another least seed are not looked at.
+    """
     if n < window:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     every = ranges.every(seed)
-    width = window - seed + 1
-    least = sliding(every, width, np.minimum)  # of each window
-    edge = np.zeros(width - 1, dtype=np.uint64)
-    chosen = sliding(np.concatenate((edge, least, edge)), width, np.maximum) == every  # the greatest least of a place's windows
+    least = least_of_windows(every, window, seed)
+    if known is not None:
+        length, hashes = known
+        least = np.where(np.isin(least_of_windows(ranges.every(length), window, length), hashes), least, np.uint64(0))
+    edge = np.zeros(window - seed, dtype=np.uint64)
+    chosen = sliding(np.concatenate((edge, least, edge)), window - seed + 1, np.maximum) == every  # the greatest least of a place's windows
     return np.flatnonzero(chosen), every
 
 
@@ -51,32 +74,61 @@ def batch_of(rows: list[list[np.ndarray]], fields: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=fields)
 
 
-def repeated_seeds(seeds: DataFrame, bits: int) -> DataFrame:
-    """Seed rows whose seed stands in two documents at least."""
+def place_rows(uid: int, places: np.ndarray, every: np.ndarray) -> list[np.ndarray]:
+    """Each seed of a document once."""
+    seeds = np.unique(every[places])
+    return [signed(seeds), np.full(len(seeds), uid, dtype=np.int64)]
+
+
+def join_uneven(rows: DataFrame, keyed: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join of rows with keyed (staged; one row for each key, with n_rows, the rows of that key).
+
+    Keys of more than a HOT_SHARE-th of all rows are fewer than HOT_SHARE, so they can be broadcast and their rows stay
+    where they are; all others are shuffled.
+    """
+    total = keyed.agg(F.sum("n_rows")).first()[0] or 0
+    hot = F.col("n_rows") > max(LEAST_HOT, total // HOT_SHARE)
+    some = keyed.where(hot)
+    if some.isEmpty():
+        return rows.join(keyed, on)
+    few = rows.join(F.broadcast(some), on)
+    return rows.join(F.broadcast(some.select(on)), on, "left_anti").join(keyed.where(~hot), on).unionByName(few)
+
+
+def repeated_seeds(seeds: DataFrame, bits: int, label: str) -> DataFrame:
+    """Seed rows whose seed stands in two documents at least, as a staged table."""
     doc = F.shiftright("uid", bits)
-    twice = seeds.groupBy("seed").agg(F.min(doc).alias("least"), F.max(doc).alias("most")).where("least < most").select("seed")
-    return seeds.join(twice, "seed")
+    counted = seeds.groupBy("seed").agg(F.min(doc).alias("least"), F.max(doc).alias("most"), F.count("*").alias("n_rows"))
+    twice = staged(counted.where("least < most").select("seed", "n_rows"), "twice")
+    found = staged(join_uneven(seeds, twice, ["seed"]).select(seeds.columns), label)
+    discard(twice)
+    return found
 
 
-def split_contexts(seeds: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(uid, lo, hi) covered as a whole by a smaller document's context; seed rows of first documents whose seed has
-    other contexts, with the rows (n_rows) of that seed in all documents; and the staged table behind both."""
+def split_contexts(seeds: DataFrame, bits: int) -> DataFrame:
+    """(seed, uid, lo, hi, covered) as a staged table: contexts covered as a whole by a smaller document's equal one,
+    and those of first documents whose seed has other contexts."""
     doc = F.shiftright("uid", bits)
-    first = staged(seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"), F.max(doc).alias("last"), F.count("*").alias("n")), "firsts")
-    several = first.groupBy("seed").agg(F.count("*").alias("n_ctx"), F.sum("n").alias("n_rows"))
+    first = staged(seeds.groupBy("seed", "ctx").agg(F.min(doc).alias("first"), F.max(doc).alias("last"), F.count("*").alias("n_rows")), "firsts")
+    several = staged(first.groupBy("seed").agg(F.count("*").alias("n_rows")), "several")
     # A context that one document alone has, and whose seed has no other, says nothing.
-    telling = first.join(several, "seed").where("first < last or n_ctx > 1").select("seed", "ctx", "first", "n_ctx", "n_rows")
-    marked = staged(seeds.join(telling, ["seed", "ctx"]).withColumn("covered", doc > F.col("first")).where("covered or n_ctx > 1").select("uid", "lo", "hi", "covered", "seed", "n_rows"), "marked")
-    discard(first)
-    return marked.where("covered").select("uid", "lo", "hi"), marked.where("not covered").select("seed", "uid", "lo", "hi", "n_rows"), marked
+    counted = join_uneven(first.withColumnRenamed("n_rows", "n_equal"), several, ["seed"]).withColumnRenamed("n_rows", "n_ctx").withColumnRenamed("n_equal", "n_rows")
+    telling = staged(counted.where("first < last or n_ctx > 1").select("seed", "ctx", "first", "n_ctx", "n_rows"), "telling")
+    joined = join_uneven(seeds, telling, ["seed", "ctx"]).withColumn("covered", doc > F.col("first"))
+    marked = staged(joined.where("covered or n_ctx > 1").select("seed", "uid", "lo", "hi", "covered"), "marked")
+    discard(first, several, telling)
+    return marked
 
 
 def repeated_windows(windows: DataFrame, bits: int, window: int) -> DataFrame:
-    """windows (w long, uid long, p int) -> (uid, lo, hi) of those that also start in a smaller document."""
+    """windows (w long, uid long, p int) -> (uid, lo, hi) of those that also start in a smaller document, staged."""
     doc = F.shiftright("uid", bits)
-    first = windows.groupBy("w").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where("first < last")
-    found = windows.join(first, "w").where(doc > F.col("first"))
-    return found.select("uid", F.col("p").cast("int").alias("lo"), (F.col("p") + window).cast("int").alias("hi"))
+    counted = windows.groupBy("w").agg(F.min(doc).alias("first"), F.max(doc).alias("last"), F.count("*").alias("n_rows"))
+    first = staged(counted.where("first < last").select("w", "first", "n_rows"), "firsts")
+    found = join_uneven(windows, first, ["w"]).where(doc > F.col("first"))
+    spans = staged(found.select("uid", F.col("p").cast("int").alias("lo"), (F.col("p") + window).cast("int").alias("hi")), "repeats")
+    discard(first)
+    return spans
 
 
 def windows_of_places(uid: int, ranges: Ranges, lo: np.ndarray, hi: np.ndarray, window: int) -> list[np.ndarray]:

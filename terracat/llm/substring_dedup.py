@@ -1,8 +1,9 @@
 """Substring dedup by level-wise doubling, on words.
 
-Level one looks at windows of half the length, thinned to minimizers; those found in one document alone end there.
-Windows of twice that length are built only around the survivors, and only they are compared at level two. The length
-asked for is the last level: what survives it is removed from all documents but the first.
+Rungs of growing length lead up to the window asked for (13, 25 and 50 words). A rung looks at runs of its length,
+thinned to minimizers of the windows; those found in one document alone end there. On the next rung only windows whose
+run was repeated are looked at, by runs of twice the length. It ends when no candidates survive, or with the windows
+themselves: those that survive are removed from all documents but the first.
 """
 
 from __future__ import annotations
@@ -15,28 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracat.llm.common import Ranges, WordHashes, any_ids, discard, staged, with_uid
-from terracat.llm.repeats import SEED_FIELDS, SEEDS, batch_of, mask_of, removal, repeated_seeds, repeated_windows, seed_places, seed_rows, sha, split_contexts, windows_of_places
+from terracat.llm.repeats import PLACE_FIELDS, PLACES, SEED_FIELDS, SEEDS, batch_of, ladder, mask_of, place_rows, removal, repeated_seeds, repeated_windows, seed_places, seed_rows, sha, split_contexts, windows_of_places
 
 
-def _level_one(window: int):
+def _rung(window: int, seed: int, below: int | None, last: bool):
+    """(uid, body) or, above the first rung, (uid, body, repeated seeds of the rung below) -> seed rows; those of the
+    last rung have their contexts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seed = WordHashes(), (window + 1) // 2
+        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
-                for uid, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = body.split()
-                    if len(words) >= window:
-                        ranges = Ranges(hashes.of(words))
-                        places, every = seed_places(ranges, len(words), window, seed)
-                        rows.append(seed_rows(uid, ranges, len(words), places, every, window, seed))
+                for k in range(part.num_rows):
+                    uid, words = part.column(0)[k].as_py(), part.column(1)[k].as_py().split()
+                    if len(words) < window:
+                        continue
+                    ranges = Ranges(hashes.of(words))
+                    known = (below, part.column(2)[k].values.to_numpy().view(np.uint64)) if below else None
+                    places, every = seed_places(ranges, len(words), window, seed, known)
+                    rows.append(seed_rows(uid, ranges, len(words), places, every, window, seed) if last else place_rows(uid, places, every))
                 if rows:
-                    yield batch_of(rows, SEED_FIELDS)
+                    yield batch_of(rows, SEED_FIELDS if last else PLACE_FIELDS)
 
     return run
 
 
-def _level_two(window: int):
+def _windows(window: int):
     fields = pa.schema([("w", pa.int64()), ("uid", pa.int64()), ("p", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,14 +58,25 @@ def _level_two(window: int):
 
 def repeated_word_spans(rows: DataFrame, bits: int, window: int) -> DataFrame:
     """(uid, lo, hi) word ranges of rows (uid, body) that also stand in a document of a smaller id."""
-    seeds = staged(rows.select("uid", "body").mapInArrow(_level_one(window), SEEDS), "seeds")
-    survivors = staged(repeated_seeds(seeds, bits), "survivors")
-    discard(seeds)
-    covered, apart, marked = split_contexts(survivors, bits)
-    near = apart.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("at")).select("uid", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"))
-    windows = staged(rows.select("uid", "body").join(near, "uid").mapInArrow(_level_two(window), "w long, uid long, p int"), "windows")
-    spans = staged(covered.unionByName(repeated_windows(windows, bits, window)), "spans")
-    discard(survivors, marked, windows)
+    docs = rows.select("uid", "body")
+    below = survivors = None
+    rungs = ladder(window)
+    for length in rungs:
+        last = length == rungs[-1]
+        # A document has at most as many seeds as words.
+        told = docs if below is None else docs.join(survivors.groupBy("uid").agg(F.collect_list("seed").alias("seeds")), "uid")
+        seeds = staged(told.mapInArrow(_rung(window, length, below, last), SEEDS if last else PLACES), "seeds")
+        found = repeated_seeds(seeds, bits, "survivors")
+        discard(seeds, *([] if below is None else [survivors]))
+        below, survivors = length, found
+        if not last and survivors.isEmpty():
+            return rows.sparkSession.createDataFrame([], "uid long, lo int, hi int")
+    marked = split_contexts(survivors, bits)
+    near = marked.where("not covered").groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("at")).select("uid", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"))
+    windows = staged(docs.join(near, "uid").mapInArrow(_windows(window), "w long, uid long, p int"), "windows")
+    discard(survivors)
+    spans = marked.where("covered").select("uid", "lo", "hi").unionByName(repeated_windows(windows, bits, window))
+    discard(windows)
     return spans
 
 
