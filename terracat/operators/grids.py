@@ -1,9 +1,8 @@
-"""Grids of cells: filling, shading, thinning, components."""
+"""Grids of cells: filling, shading, thinning."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -69,34 +68,3 @@ def sample_grid_thin(points: DataFrame, size: float) -> DataFrame:
     """One point of each cell of the size: the lowest."""
     at = [F.floor(F.col(c) / size).alias(f"g{c}") for c in "xy"]
     return points.groupBy("item", *at).agg(F.min(F.struct("z", "x", "y")).alias("p")).select("item", "p.*")
-
-
-def footprint_components(mask: DataFrame, least: int) -> DataFrame:
-    """mask (item, gx, gy) -> item, gx, gy, part, cells: four-connected parts of at least so many cells; part is the smallest cell's key gy * 2**20 + gx.
-
-    An item's mask is bounded (2048 x 2048 cells by construction), so one task can label it.
-    """
-
-    def label(frame: pd.DataFrame) -> pd.DataFrame:
-        key = np.unique((frame["gy"].to_numpy(np.int64) << 20) + frame["gx"].to_numpy(np.int64))
-        root = np.arange(len(key))
-        pairs = []
-        for step in (1, 1 << 20):
-            at = np.minimum(np.searchsorted(key, key + step), len(key) - 1)
-            hit = np.flatnonzero(key[at] == key + step)
-            pairs.append((hit, at[hit]))
-        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        while True:
-            low = np.minimum(root[a], root[b])
-            before = root.copy()
-            np.minimum.at(root, root[a], low)
-            np.minimum.at(root, root[b], low)
-            while (root != root[root]).any():
-                root = root[root]
-            if (root == before).all():
-                break
-        count = np.bincount(root, minlength=len(key))[root]
-        out = pd.DataFrame({"item": frame["item"].iloc[0], "gx": key & ((1 << 20) - 1), "gy": key >> 20, "part": key[root], "cells": count})
-        return out[out["cells"] >= least]
-
-    return mask.select(F.col("item").cast("string").alias("item"), "gx", "gy").groupBy("item").applyInPandas(label, "item string, gx long, gy long, part long, cells long")

@@ -4,10 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from terracat.operators import grids as G
+from terracat.operators import footprints as G
 from terracat.operators import records as R
 from terracat.operators import upkeep as U
-from terracat.plans import records  # noqa: F401
+from terracat.plans import discovery, records  # noqa: F401
 from terracat.plans.catalog import QUERIES
 
 
@@ -52,5 +52,5 @@ def test_paths_globs_and_empty(spark):
 
 
 def test_rows_only_queries(spark):
-    for key in ("scan_inventory", "footprint_components", "tile_runt_merge"):
+    for key in ("scan_inventory", "footprint_components", "footprint_rings", "tile_runt_merge"):
         assert QUERIES[key](spark, "/root/testdata/sf0.001").count() > 0
