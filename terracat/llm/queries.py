@@ -13,6 +13,7 @@ from terracat.llm.html_text import extract_pages
 from terracat.llm.near_dup import near_duplicates
 from terracat.llm.oracles import ORACLES  # noqa: F401  (read by the entry point)
 from terracat.llm.packing import pack_documents
+from terracat.llm.periodic_runs import periodic_runs, repeat_tail, run_digest
 from terracat.llm.quality import judge_quality
 from terracat.llm.substring_dedup import dedup_substrings
 from terracat.llm.suffix_dedup import dedup_bytes
@@ -64,4 +65,8 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents"), window=50).drop("kept_text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op13_periodic_runs)}
