@@ -5,9 +5,10 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,22 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("body"))
 
 
+def doc_chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list]]:
+    """Ids and texts (or bytes) of the rows of a task, in chunks of at most so many characters; a longer text is a chunk of its own."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            text = text.as_py()
+            if size and size + len(text) > most:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc.as_py())
+            texts.append(text)
+            size += len(text)
+    if ids:
+        yield ids, texts
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash, elementwise."""
     x = x ^ (x >> np.uint64(30))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracat.llm.common import Ranges, id_text, mix, sliding
+from terracat.llm.common import Ranges, doc_chunks, id_text, mix, sliding
 
 SHORT, LEAST, TIMES = 8, 6, 4
 #: Bytes of text that are scanned in one go; a longer text is one go of its own.
@@ -168,19 +168,9 @@ def periodic_runs(docs: DataFrame, rewrite: Callable[[int | None, list[bytes]],
         return pa.RecordBatch.from_arrays(out, schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for doc, body in zip(batch.column(0), batch.column(1), strict=True):
-                doc, body = doc.as_py(), body.as_py()
-                if size and size + len(body) > GO:
-                    yield answer(ids, texts)
-                    ids, texts, size = [], [], 0
-                words = body.split()
-                ids.append(doc)
-                texts.append(rewrite(doc, words) if rewrite else words)
-                size += len(body)
-        if ids:
-            yield answer(ids, texts)
+        for ids, bodies in doc_chunks(batches, GO):
+            words = [b.split() for b in bodies]
+            yield answer(ids, [rewrite(d, w) for d, w in zip(ids, words, strict=True)] if rewrite else words)
 
     return id_text(docs).mapInArrow(run, "doc_id long, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed_text string")
 

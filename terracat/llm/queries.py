@@ -17,11 +17,13 @@ from terracat.llm.periodic_runs import periodic_runs, repeat_tail, run_digest
 from terracat.llm.quality import judge_quality
 from terracat.llm.substring_dedup import dedup_substrings
 from terracat.llm.suffix_dedup import dedup_bytes
+from terracat.llm.token_alignment import align_tokens
 from terracat.llm.tokens import token_index
 from terracat.llm.toxicity import fit_toxicity, score_toxicity
 from terracat.llm.warc import archive_pages
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +67,12 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents"), window=50).drop("kept_text")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)[0]
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op13_periodic_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op12_token_alignment, op13_periodic_runs)}
