@@ -11,6 +11,7 @@ from terracat.llm.common import table
 from terracat.llm.decontaminate import find_contamination
 from terracat.llm.html_text import extract_pages
 from terracat.llm.near_dup import near_duplicates
+from terracat.llm.neighbor_quality import fit_neighbors, score_quality
 from terracat.llm.oracles import ORACLES  # noqa: F401  (read by the entry point)
 from terracat.llm.packing import pack_documents
 from terracat.llm.periodic_runs import periodic_runs, repeat_tail, run_digest
@@ -67,6 +68,11 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents"), window=50).drop("kept_text")
 
 
+def op11_quality_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_neighbors(docs, table(spark, sf_dir, "labels")))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)[0]
 
@@ -75,4 +81,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op12_token_alignment, op13_periodic_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_token_files, op5_html_text, op6_warc, op7_toxicity, op8_substring_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op11_quality_neighbors, op12_token_alignment, op13_periodic_runs)}

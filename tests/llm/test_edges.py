@@ -6,10 +6,13 @@ from terracat.llm import queries as Q
 from terracat.llm.decontaminate import find_contamination
 from terracat.llm.html_text import extract_pages
 from terracat.llm.near_dup import near_duplicates
+from terracat.llm.neighbor_quality import fit_neighbors, score_quality
 from terracat.llm.packing import pack_documents
+from terracat.llm.periodic_runs import periodic_runs
 from terracat.llm.quality import judge_quality
 from terracat.llm.substring_dedup import dedup_substrings
 from terracat.llm.suffix_dedup import dedup_bytes
+from terracat.llm.token_alignment import align_tokens
 from terracat.llm.tokens import token_index
 from terracat.llm.toxicity import fit_toxicity, score_toxicity
 from terracat.llm.warc import archive_pages
@@ -36,6 +39,11 @@ def toxicity(docs):
     return score_toxicity(docs, fit_toxicity(docs, labels))
 
 
+def neighbors(docs):
+    labels = docs.sparkSession.createDataFrame([(1, 1, None), (2, 0, 0), (None, 1, 1), (5, None, 1)], "doc_id long, toxic int, quality int")
+    return score_quality(docs, fit_neighbors(docs, labels))
+
+
 def contamination(docs):
     items = docs.sparkSession.createDataFrame([("a", " ".join(LONG.split()[5:20]), "x", "y"), ("b", None, "x", "y"), (None, LONG, "x", "y"), ("c", "", None, None)], ITEMS)
     return find_contamination(docs, items, window=10)
@@ -50,6 +58,9 @@ DOCUMENT_OPS = {
     "substring": dedup_substrings,
     "packing": lambda d: pack_documents(d, Q.BYTE_BPE, "kept", 0, 2048),
     "suffix": dedup_bytes,
+    "neighbors": neighbors,
+    "alignment": lambda d: align_tokens(d, Q.BYTE_BPE, Q.PIECE_BPE)[0],
+    "runs": periodic_runs,
 }
 
 
