@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terracat.functions.names import glob_regex, relative_path  # noqa: F401
+from terracat.functions.projections import parameter_rows, to_degrees
 from terracat.operators.classify import DATE, cloud_native  # noqa: F401
 
 # Media types of labels, the type of a cloud-native raster, and extension addresses of key prefixes.
@@ -79,19 +80,17 @@ def native_bbox(items: DataFrame) -> DataFrame:
     return items.withColumns(box)
 
 
-def mercator_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
-    """Spherical Mercator metres to degrees."""
-    radius = 6378137.0
-    return F.degrees(x / radius), F.degrees(2 * F.atan(F.exp(y / radius)) - F.lit(3.141592653589793 / 2))
-
-
 def reproject_bbox(items: DataFrame, steps: int = 21) -> DataFrame:
-    """items (item, x0, y0, x1, y1 in spherical Mercator) -> the box in degrees over points set along all four edges."""
-    dense = items.select("item", "x0", "y0", "x1", "y1", F.explode(F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: k / steps)).alias("t"))
+    """items (item, epsg, x0, y0, x1, y1 in the plane of that code) -> item, the box in degrees over points set along all
+    four edges (west, south, east, north), and error: `unsupported CRS` for codes without a projection, else null."""
+    code = F.col("epsg").cast("int") if "epsg" in items.columns else F.lit(3857)
+    dense = items.select("item", code.alias("epsg"), "x0", "y0", "x1", "y1", F.explode(F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: k / steps)).alias("t"))
     x, y = F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("t"), F.col("y0") + (F.col("y1") - F.col("y0")) * F.col("t")
-    edge = dense.select("item", F.explode(F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, F.col("y0")), (x, F.col("y1")), (F.col("x0"), y), (F.col("x1"), y))])).alias("p"))
-    lon, lat = mercator_to_lonlat(F.col("p.x"), F.col("p.y"))
-    return edge.select("item", lon.alias("lon"), lat.alias("lat")).groupBy("item").agg(*[F.round(f(c), 6).alias(n) for f, c, n in ((F.min, "lon", "west"), (F.min, "lat", "south"), (F.max, "lon", "east"), (F.max, "lat", "north"))])
+    edge = dense.select("item", "epsg", F.explode(F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, F.col("y0")), (x, F.col("y1")), (F.col("x0"), y), (F.col("x1"), y))])).alias("p"))
+    placed = to_degrees(edge.select("item", "epsg", "p.x", "p.y"))
+    sides = [F.round(f(c), 6).alias(n) for f, c, n in ((F.min, "lon", "west"), (F.min, "lat", "south"), (F.max, "lon", "east"), (F.max, "lat", "north"))]
+    known = F.col("epsg").isin([r[0] for r in parameter_rows()])
+    return placed.groupBy("item").agg(*sides, F.min(F.when(~F.coalesce(known, F.lit(False)), "unsupported CRS")).alias("error"))
 
 
 def round_coords(rings: Column) -> Column:

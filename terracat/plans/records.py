@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terracat.functions import projections as J
 from terracat.operators import classify as C
 from terracat.operators import footprints as FP
 from terracat.operators import grids as G
@@ -50,7 +51,48 @@ def _keys():
 
 add("extension_declare", "ITEMS", lambda i: i.select("item", F.array_join(R.extension_declare(F.filter(_keys(), lambda k: k.isNotNull())), " ").alias("uris")), "select item, concat_ws(' ', case when x0 > 50 then 'https://stac-extensions.github.io/file/v2.1.0/schema.json' end, case when points > 100000 then 'https://stac-extensions.github.io/pointcloud/v2.0.0/schema.json' end, 'https://stac-extensions.github.io/projection/v2.0.0/schema.json') as uris from v_items")
 add("native_bbox", "ITEMS", lambda i: R.native_bbox(i.selectExpr("item", "x0 as gt0", "25e0 as gt1", "3e0 as gt2", "y0 as gt3", "-2e0 as gt4", "-25e0 as gt5", "x1 as width", "y1 as height")).select("item", "xmin", "ymin", "xmax", "ymax"), "select item, x0 as xmin, x0 + 25 * x1 + 3 * y1 as xmax, y0 - 2 * x1 - 25 * y1 as ymin, y0 as ymax from v_items")
-add("reproject_bbox", "ITEMS", lambda i: R.reproject_bbox(i.selectExpr("item", "x0 * 1000 as x0", "y0 * 1000 as y0", "x1 * 1000 as x1", "y1 * 1000 as y1")), "select item, round(degrees(x0 * 1000 / 6378137), 6) as west, round(degrees(2 * atan(exp(y0 * 1000 / 6378137)) - pi() / 2), 6) as south, round(degrees(x1 * 1000 / 6378137), 6) as east, round(degrees(2 * atan(exp(y1 * 1000 / 6378137)) - pi() / 2), 6) as north from v_items")
+_BOXES = """select item, cast(case item % 5 when 0 then 31256 when 1 then 3857 when 2 then 25833 when 3 then 31467 else 31287 end as int) as epsg,
+  case item % 5 when 0 then x0 * 50 - 60000 when 1 then x0 * 1000 when 2 then 450000 + x0 * 100 else 3480000 + x0 * 50 end as x0,
+  case item % 5 when 0 then 330000 + y0 * 20 when 1 then y0 * 1000 when 2 then 5300000 + y0 * 100 else 5400000 + y0 * 50 end as y0, x1 - x0 as w, y1 - y0 as h
+  from (select cast(item as bigint) as item, x0, y0, x1, y1 from {items})"""
+
+
+def _boxes(items: DataFrame) -> DataFrame:
+    """Boxes in the planes of five codes, one of them not supported."""
+    return items.sparkSession.sql(_BOXES, items=items).selectExpr("cast(item as string) as item", "epsg", "x0", "y0", "x0 + w * 200 as x1", "y0 + h * 300 as y1")
+
+
+def _projected_sql() -> str:
+    """The same way in SQL: parameters by code, the series back to the ellipsoid, the shift, the other ellipsoid."""
+    codes = (31256, 3857, 25833, 31467)
+    real = lambda v: f"{v:.17e}"  # a double, not a decimal
+    rows = ", ".join(f"({r[0]}, '{r[1]}', {', '.join(map(real, r[2:]))})" for r in J.parameter_rows() if r[0] in codes)
+    poly = lambda c: f"(n * ({real(c[0])} + n * ({real(c[1])} + n * ({real(c[2])} + n * {real(c[3])}))))"
+    xi = "xi" + "".join(f" - {poly(c)} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(J.BETA, 1))
+    eta = "eta" + "".join(f" - {poly(c)} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(J.BETA, 1))
+    lat = "chi" + "".join(f" + {poly(c)} * sin({2 * j} * chi)" for j, c in enumerate(J.DELTA, 1))
+    a2, inverse = J.ELLIPSOIDS["WGS84"]
+    e2, b2 = (1 / inverse) * (2 - 1 / inverse), a2 * (1 - 1 / inverse)
+    return f"""par(epsg, kind, a, n, e2, meridian, scale, east, north, tx, ty, tz, rx, ry, rz, ds) as (select * from (values {rows})),
+      boxes as ({_BOXES.format(items='v_items')}),
+      pts as (select b.item, b.epsg, x0 + w * 200 * u as x, y0 + h * 300 * v as y from boxes b, (select case e when 0 then t when 1 then t when 2 then 0e0 else 1e0 end as u, case e when 0 then 0e0 when 1 then 1e0 else t end as v
+        from (select unnest(range(22)) / 21e0 as t), (select unnest(range(4)) as e))),
+      p1 as (select *, (y - north) / r as xi, (x - east) / r as eta from (select *, scale * a / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) as r from pts left join par using (epsg))),
+      p2 as (select *, {xi} as xi2, {eta} as eta2 from p1),
+      p3 as (select *, asin(sin(xi2) / cosh(eta2)) as chi, atan2(sinh(eta2), cos(xi2)) as turn from p2),
+      p4 as (select *, case kind when 'transverse' then {lat} when 'mercator' then 2 * atan(exp(y / a)) - pi() / 2 end as la, case kind when 'transverse' then radians(meridian) + turn when 'mercator' then x / a end as lo from p3),
+      p5 as (select *, rr * cos(la) * cos(lo) as u, rr * cos(la) * sin(lo) as v, rr * (1 - e2) * sin(la) as w from (select *, a / sqrt(1 - e2 * sin(la) * sin(la)) as rr from p4)),
+      p6 as (select *, tx + (1 + ds) * (u - rz * v + ry * w) as u2, ty + (1 + ds) * (rz * u + v - rx * w) as v2, tz + (1 + ds) * (-ry * u + rx * v + w) as w2 from p5),
+      p7 as (select *, sqrt(u2 * u2 + v2 * v2) as p, atan2(w2 * {real(a2)}, sqrt(u2 * u2 + v2 * v2) * {real(b2)}) as th from p6),
+      p8 as (select item, degrees(case when tx <> 0 then atan2(w2 + {real(e2 / (1 - e2) * b2)} * pow(sin(th), 3), p - {real(e2 * a2)} * pow(cos(th), 3)) else la end) as lat, degrees(case when tx <> 0 then atan2(v2, u2) else lo end) as lon from p7)"""
+
+
+add(
+    "reproject_bbox",
+    "ITEMS",
+    lambda i: R.reproject_bbox(_boxes(i)),
+    f"select * from (with {_projected_sql()} select cast(item as varchar) as item, round(min(lon), 6) as west, round(min(lat), 6) as south, round(max(lon), 6) as east, round(max(lat), 6) as north, case when min(lon) is null then 'unsupported CRS' end as error from p8 group by 1)",
+)
 add("crs_fallback", "ITEMS", lambda i: i.select("item", F.coalesce(F.when(F.col("x0") % 3 != 0, "EPSG:31256"), F.when(F.col("collection") != "NATION_7", "EPSG:3857")).alias("crs")).withColumn("failed", F.col("crs").isNull()), "select item, crs, crs is null as failed from (select item, case when x0 % 3 <> 0 then 'EPSG:31256' when collection <> 'NATION_7' then 'EPSG:3857' end as crs from v_items)")
 add("round_coords", "ITEMS", lambda i: i.select("item", R.round_coords(F.array(F.array(F.col("x0") / 3, F.col("y0") / 7), F.array(F.col("x1") / 3, F.col("y1") / 7))).alias("r")).selectExpr("item", "r[0][0] as a", "r[0][1] as b", "r[1][0] as c", "r[1][1] as d"), "select item, round(x0 / 3, 7) as a, round(y0 / 7, 7) as b, round(x1 / 3, 7) as c, round(y1 / 7, 7) as d from v_items")
 _SPAN = """select item, case when ok then s end as start_us, case when ok then e end as end_us from (select *, coalesce(abs(s // 86400000000 - (campaign - date '1970-01-01')) <= 14 and abs(e // 86400000000 - (campaign - date '1970-01-01')) <= 14, false) as ok from (select *, cast(round((o + gps_min) * 1e6) as bigint) as s, cast(round((o + b) * 1e6) as bigint) as e from (select *, case when gps_max > 604800 then 1315964800 else ((a - date '1970-01-01') - case when b >= 86400 then dayofweek(a) else 0 end) * 86400 end as o
