@@ -77,14 +77,14 @@ def _projected_sql() -> str:
       boxes as ({_BOXES.format(items='v_items')}),
       pts as (select b.item, b.epsg, x0 + w * 200 * u as x, y0 + h * 300 * v as y from boxes b, (select case e when 0 then t when 1 then t when 2 then 0e0 else 1e0 end as u, case e when 0 then 0e0 when 1 then 1e0 else t end as v
         from (select unnest(range(22)) / 21e0 as t), (select unnest(range(4)) as e))),
-      p1 as (select *, (y - north) / r as xi, (x - east) / r as eta from (select *, scale * a / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) as r from pts left join par using (epsg))),
-      p2 as (select *, {xi} as xi2, {eta} as eta2 from p1),
-      p3 as (select *, asin(sin(xi2) / cosh(eta2)) as chi, atan2(sinh(eta2), cos(xi2)) as turn from p2),
-      p4 as (select *, case kind when 'transverse' then {lat} when 'mercator' then 2 * atan(exp(y / a)) - pi() / 2 end as la, case kind when 'transverse' then radians(meridian) + turn when 'mercator' then x / a end as lo from p3),
-      p5 as (select *, rr * cos(la) * cos(lo) as u, rr * cos(la) * sin(lo) as v, rr * (1 - e2) * sin(la) as w from (select *, a / sqrt(1 - e2 * sin(la) * sin(la)) as rr from p4)),
-      p6 as (select *, tx + (1 + ds) * (u - rz * v + ry * w) as u2, ty + (1 + ds) * (rz * u + v - rx * w) as v2, tz + (1 + ds) * (-ry * u + rx * v + w) as w2 from p5),
-      p7 as (select *, sqrt(u2 * u2 + v2 * v2) as p, atan2(w2 * {real(a2)}, sqrt(u2 * u2 + v2 * v2) * {real(b2)}) as th from p6),
-      p8 as (select item, degrees(case when tx <> 0 then atan2(w2 + {real(e2 / (1 - e2) * b2)} * pow(sin(th), 3), p - {real(e2 * a2)} * pow(cos(th), 3)) else la end) as lat, degrees(case when tx <> 0 then atan2(v2, u2) else lo end) as lon from p7)"""
+      p1 as materialized (select *, (y - north) / r as xi, (x - east) / r as eta from (select *, scale * a / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) as r from pts left join par using (epsg))),
+      p2 as materialized (select *, {xi} as xi2, {eta} as eta2 from p1),
+      p3 as materialized (select *, asin(sin(xi2) / cosh(eta2)) as chi, atan2(sinh(eta2), cos(xi2)) as turn from p2),
+      p4 as materialized (select *, case kind when 'transverse' then {lat} when 'mercator' then 2 * atan(exp(y / a)) - pi() / 2 end as la, case kind when 'transverse' then radians(meridian) + turn when 'mercator' then x / a end as lo from p3),
+      p5 as materialized (select *, rr * cos(la) * cos(lo) as u, rr * cos(la) * sin(lo) as v, rr * (1 - e2) * sin(la) as w from (select *, a / sqrt(1 - e2 * sin(la) * sin(la)) as rr from p4)),
+      p6 as materialized (select *, tx + (1 + ds) * (u - rz * v + ry * w) as u2, ty + (1 + ds) * (rz * u + v - rx * w) as v2, tz + (1 + ds) * (-ry * u + rx * v + w) as w2 from p5),
+      p7 as materialized (select *, sqrt(u2 * u2 + v2 * v2) as p, atan2(w2 * {real(a2)}, sqrt(u2 * u2 + v2 * v2) * {real(b2)}) as th from p6),
+      p8 as materialized (select item, degrees(case when tx <> 0 then atan2(w2 + {real(e2 / (1 - e2) * b2)} * pow(sin(th), 3), p - {real(e2 * a2)} * pow(cos(th), 3)) else la end) as lat, degrees(case when tx <> 0 then atan2(v2, u2) else lo end) as lon from p7)"""
 
 
 add(
