@@ -14,7 +14,7 @@ from terracat.operators import snapshot as S
 from terracat.operators import upkeep as U
 from terracat.plans.catalog import ORACLES, QUERIES, add, view
 from terracat.plans.records import _SPAN, _campaign
-from terracat.plans.views import ITEMS
+from terracat.plans.views import DIMS, ITEMS
 from terracat.sources import folders, headers
 
 DATE = r"regexp_extract(parent, '\d{4}-\d{2}-\d{2}')"
@@ -108,24 +108,32 @@ add(
 
 
 # Headers, written from items and read back
+_CLOUDS = """select item, cast(substr(item, 2) as int) as k, point_format, name, code % 11 as code, vmin, vmax from {dims} where name not in ('X', 'Y', 'Z')"""
+
+
 def _heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = view(spark, sf_dir, "ITEMS").selectExpr(
-        "item as path", "cast(x0 % 11 as int) as point_format", "cast(points as bigint) as n_points", "x0 as xmin", "y0 as ymin", "0e0 as zmin", "x1 as xmax", "y1 as ymax", "100e0 as zmax",
-        "concat('d', substr(grp, 1, 1)) as name", "cast(y0 % 10 + 1 as int) as code", "case when x0 % 2 = 0 then 7e0 end as nodata", "0.01e0 as scale", "x0 / 4 as offset",
+    """Files with a header for each point cloud of the parts, some cut off, some none of these, some of the old layout, read back."""
+    dims = spark.sql(_CLOUDS, dims=view(spark, sf_dir, "DIMS"))
+    dim = F.struct("name", "code", F.when(F.col("code") % 2 == 0, F.lit(7.0)).alias("nodata"), F.lit(0.01).alias("scale"), (F.col("k") / 4).alias("offset"))
+    clouds = dims.groupBy("item", "k", "point_format").agg(F.sort_array(F.collect_list(dim)).alias("dims"), F.min("vmin").alias("zmin"), F.max("vmax").alias("zmax"))
+    items = clouds.selectExpr(
+        "concat('c', k % 7, '/', item, case k % 3 when 0 then '.LAZ' else '.las' end) as path", "point_format", "k * 1000 as n_points", "k * 10e0 as xmin", "k * 20e0 as ymin", "zmin", "k * 10e0 + 5 as xmax", "k * 20e0 + 5 as ymax", "zmax",
+        "dims", "case when k % 13 = 0 then 300 when k % 17 = 0 then 2 end as keep", "k % 5 = 0 as old",
     )
-    cut = F.when(F.col("xmin") % 13 == 0, F.substring("content", 1, 300)).when(F.col("xmin") % 17 == 0, F.encode(F.lit("none of ours"), "UTF-8")).otherwise(F.col("content"))
-    written = headers.write_headers(items).join(items.select("path", "xmin"), "path").select("path", cut.alias("content"))
-    return headers.read_headers(written)
+    folder = folders.shared_path(spark, "clouds")
+    headers.write_headers(items, folder, padding=10_000)
+    return headers.scan_headers(spark, folder)
 
 
-_READ = f"(select *, case when x0 % 13 = 0 then 'cut off' when x0 % 17 = 0 then 'no point cloud header' end as error from ({ITEMS}))"
-QUERIES["scan_binary_header"] = lambda spark, sf_dir: _heads(spark, sf_dir).select("path", "point_format", "n_points", "xmin", "ymin", "xmax", "ymax", "zmax", "error")
-ORACLES["scan_binary_header"] = f"""select item as path, case when error is null then cast(x0 % 11 as int) end as point_format, case when error is null then cast(floor(points) as bigint) end as n_points,
-  case when error is null then x0 end as xmin, case when error is null then y0 end as ymin, case when error is null then x1 end as xmax, case when error is null then y1 end as ymax,
-  case when error is null then 100::double end as zmax, error from {_READ}"""
+_READ = f"""(select *, 'c' || k % 7 || '/' || item || case k % 3 when 0 then '.LAZ' else '.las' end as path, case when k % 13 = 0 then 'cut off' when k % 17 = 0 then 'cut off' end as error
+  from ({_CLOUDS.format(dims='v_dims')}))"""
+QUERIES["scan_binary_header"] = lambda spark, sf_dir: _heads(spark, sf_dir).select("path", "point_format", "n_points", "xmin", "ymin", "zmin", "xmax", "ymax", "zmax", "error", (F.col("bytes_read") <= 2 * headers.BLOCK).alias("small"))
+ORACLES["scan_binary_header"] = f"""with v_dims as ({DIMS}) select path, case when error is null then point_format end as point_format, case when error is null then cast(k * 1000 as bigint) end as n_points,
+  case when error is null then k * 10e0 end as xmin, case when error is null then k * 20e0 end as ymin, case when error is null then min(vmin) end as zmin, case when error is null then k * 10e0 + 5 end as xmax,
+  case when error is null then k * 20e0 + 5 end as ymax, case when error is null then max(vmax) end as zmax, error, true as small from {_READ} group by path, k, point_format, error"""
 QUERIES["scan_header_extra_dims"] = lambda spark, sf_dir: _heads(spark, sf_dir).select("path", F.explode("dims").alias("d")).select("path", "d.*")
-ORACLES["scan_header_extra_dims"] = f"""select item as path, 'd' || grp[1] as name, ['uint8', 'int8', 'uint16', 'int16', 'uint32', 'int32', 'uint64', 'int64', 'float32', 'float64'][cast(y0 % 10 + 1 as int)] as type,
-  case when x0 % 2 = 0 then 7::double end as nodata, 0.01::double as scale, x0 / 4 as "offset" from {_READ} where error is null"""
+ORACLES["scan_header_extra_dims"] = f"""with v_dims as ({DIMS}) select path, name, ['undefined', 'uint8', 'int8', 'uint16', 'int16', 'uint32', 'int32', 'uint64', 'int64', 'float32', 'float64'][code + 1] as type,
+  case when code % 2 = 0 and code > 0 then 7e0 end as nodata, 0.01e0 as scale, k / 4e0 as "offset" from {_READ} where error is null"""
 
 
 def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
