@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,22 +16,83 @@ from terracat.operators.snapshot import collection_extent
 from terracat.sources.folders import shared_path
 
 
-def gate_status(now: DataFrame, before: DataFrame, digests: DataFrame, forced: bool = False) -> DataFrame:
-    """path, gate: reuse only what was known, unchanged, and of a campaign whose digest holds (digests: campaign, same)."""
-    a = now.select("path", "campaign", F.col("checksum").alias("is"))
-    b = before.select("path", F.col("checksum").alias("was"))
-    both = a.join(b, "path", "full_outer").join(digests, "campaign", "left")
-    gate = F.when(F.col("is").isNull(), "stale").when(F.lit(forced) | F.col("was").isNull() | ~F.coalesce("same", F.lit(False)) | (F.col("is") != F.col("was")), "rebuild").otherwise("reuse")
+def config_digest(settings: DataFrame) -> DataFrame:
+    """campaign, digest of settings (campaign, crs, labels map<string, ...>): of the keys alone that leave no trace on items.
+
+    Labels are in order of their names, so the order they were written in does not matter; null and empty are alike.
+    """
+    labels = F.array_sort(F.map_entries("labels"))
+    labels = F.when(F.size(labels) > 0, labels)
+    return settings.select("campaign", F.sha2(F.to_json(F.struct("crs", labels.alias("labels"))), 256).alias("digest"))
+
+
+def gate_digest_change(settings: DataFrame, stored: DataFrame) -> DataFrame:
+    """campaign, digest, same: whether a campaign's digest (config_digest) is the one that was stored (campaign, digest) with its last run."""
+    old = stored.select("campaign", F.col("digest").alias("was"))
+    return config_digest(settings).join(old, "campaign", "left").select("campaign", "digest", F.col("digest").eqNullSafe(F.col("was")).alias("same"))
+
+
+def shape_ok(kind: Column, roles: Column, media: Column, properties: Column) -> Column:
+    """Whether a stored item has what its kind needs: the data role, a media type and the kind's own properties."""
+    own = F.when(kind == "pcl", F.map_contains_key(properties, F.lit("pc:count"))).when(kind == "raster", F.map_contains_key(properties, F.lit("proj:shape"))).otherwise(True)
+    return F.coalesce(F.array_contains(roles, "data"), F.lit(False)) & media.isNotNull() & F.coalesce(own, F.lit(False))
+
+
+def gate_status(now: DataFrame, before: DataFrame, digests: DataFrame | None = None, forced: bool = False) -> DataFrame:
+    """path, gate: reuse only what was known, unchanged, of the shape it should have, and under the settings it was built with.
+
+    now and before: path, checksum. digests (campaign, same) with a campaign in now says which settings hold; without it,
+    digests of both sides are compared where both have one. before may have shape_ok (null: not). Paths of before
+    that now has not are stale.
+    """
+    has = lambda df, c: F.col(c) if c in df.columns else F.lit(None)
+    a = now.select("path", F.lit(True).alias("here"), F.col("checksum").alias("is"), has(now, "campaign").cast("string").alias("campaign"), has(now, "digest").cast("string").alias("d_is"))
+    shape = F.coalesce(F.col("shape_ok"), F.lit(False)) if "shape_ok" in before.columns else F.lit(True)
+    b = before.select("path", F.lit(True).alias("known"), F.col("checksum").alias("was"), shape.alias("shape"), has(before, "digest").cast("string").alias("d_was"))
+    both = a.join(b, "path", "full_outer")
+    if digests is None:
+        both = both.withColumn("same", F.col("d_is").eqNullSafe(F.col("d_was")))
+    else:
+        both = both.join(digests.select("campaign", "same"), "campaign", "left")
+    reuse = F.col("known") & F.col("shape") & F.coalesce("same", F.lit(False)) & F.col("is").eqNullSafe(F.col("was")) & ~F.lit(forced)
+    gate = F.when(F.col("here").isNull(), "stale").when(F.coalesce(reuse, F.lit(False)), "reuse").otherwise("rebuild")
     return both.select("path", gate.alias("gate"))
 
 
-def gate_two_stage_hash(now: DataFrame, before: DataFrame) -> DataFrame:
-    """path, gate: sizes first; contents are hashed only where sizes agree."""
-    sizes = now.select("path", F.octet_length("content").alias("size")).join(before.select("path", F.octet_length("content").alias("old")), "path")
-    alike = sizes.where("size = old").select("path")
-    digest = lambda df, name: df.join(alike, "path", "left_semi").select("path", F.sha2(F.encode("content", "UTF-8"), 256).alias(name))
-    hashed = digest(now, "h").join(digest(before, "g"), "path").select("path", F.when(F.col("h") == F.col("g"), "same").otherwise("content").alias("gate"))
-    return hashed.unionByName(sizes.where("size <> old").select("path", F.lit("size").alias("gate")))
+def gate_two_stage_hash(listed: DataFrame, stored: DataFrame, contents: DataFrame) -> DataFrame:
+    """path, gate of files in both: `size` where sizes differ, else `same` or `content` by the hash.
+
+    listed (path, length) is a listing, stored (path, length, checksum) what the last run kept; contents (path, content)
+    is read for the paths of equal sizes alone, which come to its scan as a filter.
+    """
+    sizes = listed.select("path", "length").join(stored.select("path", F.col("length").alias("old"), "checksum"), "path")
+    alike = sizes.where("length = old").select("path", "checksum")
+    digest = F.concat(F.lit("1220"), F.sha2(F.col("content").cast("binary"), 256))
+    hashed = contents.join(alike, "path").select("path", F.when(digest == F.col("checksum"), "same").otherwise("content").alias("gate"))
+    return hashed.unionByName(sizes.where("length <> old").select("path", F.lit("size").alias("gate")))
+
+
+def hash_files(listed: DataFrame, stored: DataFrame, folder: str) -> DataFrame:
+    """gate_two_stage_hash of files below a folder: those of equal sizes are opened in tasks, a block at a time, and no others.
+
+    listed (path relative to the folder, length), stored (path, length, checksum).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, at = fs.FileSystem.from_uri(folder)
+        for b in batches:
+            gates = []
+            for path, checksum in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                digest = hashlib.sha256()
+                with store.open_input_stream(f"{at.rstrip('/')}/{path}") as f:
+                    while block := f.read(1 << 20):
+                        digest.update(block)
+                gates.append("same" if "1220" + digest.hexdigest() == checksum else "content")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(gates, pa.string())], names=["path", "gate"])
+
+    sizes = listed.select("path", "length").join(stored.select("path", F.col("length").alias("old"), "checksum"), "path")
+    opened = sizes.where("length = old").select("path", "checksum").mapInArrow(run, "path string, gate string")
+    return opened.unionByName(sizes.where("length <> old").select("path", F.lit("size").alias("gate")))
 
 
 def gate_refresh_properties(overlay: Column, props: Column) -> Column:
@@ -43,16 +108,24 @@ def set_member_change(now: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def set_stale_keep(now: DataFrame, before: DataFrame) -> DataFrame:
-    """Current rows, and stale ones under their old parent."""
-    gone = before.join(now, "path", "left_anti")
-    return now.select("path", F.lit(False).alias("stale")).unionByName(gone.select("path", F.lit(True).alias("stale")))
+    """path, parent, stale: current rows under their parent, stale ones under their old one (parent: the collection or
+    group an item belongs to; without that column the way to the file)."""
+    way = lambda df: F.col("parent") if "parent" in df.columns else F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    gone = before.select("path", way(before).alias("parent")).join(now.select("path"), "path", "left_anti")
+    return now.select("path", way(now).alias("parent"), F.lit(False).alias("stale")).unionByName(gone.select("path", "parent", F.lit(True).alias("stale")))
+
+
+def orphan_parents(kept: DataFrame) -> DataFrame:
+    """Parents that hold stale rows alone (kept: set_stale_keep's rows): they are made again for them, with how many."""
+    return kept.groupBy("parent").agg(F.count("*").alias("n"), F.min("stale").alias("alone")).where("alone").select("parent", "n")
 
 
 def stale_policy(now: DataFrame, before: DataFrame, policy: str = "warn") -> DataFrame:
     """warn keeps stale rows, remove drops them, raise fails if there are any."""
     if policy == "raise" and not before.join(now, "path", "left_anti").isEmpty():
         raise ValueError("stale items")
-    return set_stale_keep(now, before) if policy == "warn" else now.select("path", F.lit(False).alias("stale"))
+    kept = set_stale_keep(now, before)
+    return kept if policy == "warn" else kept.where("not stale")
 
 
 def provenance_stamp(now: DataFrame, before: DataFrame, moment: str) -> DataFrame:
@@ -69,10 +142,14 @@ def set_extent_children(items: DataFrame) -> DataFrame:
     return collection_extent(items.unionByName(groups))
 
 
-def failure_isolation(rows: DataFrame) -> DataFrame:
-    """rows (campaign, error) -> counts; a campaign without any good row stays untouched."""
-    out = rows.groupBy("campaign").agg(F.count_if(F.col("error").isNull()).alias("n_ok"), F.count("error").alias("n_failed"))
-    return out.withColumn("touched", F.col("n_ok") > 0)
+def failure_isolation(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """rows (campaign, error, ...) -> good rows, bad rows and counts (campaign, n_ok, n_failed, touched).
+
+    A bad row takes nothing else with it. A campaign without any good row stays untouched: it has no good rows, so
+    nothing of what was known of it changes. Good rows lose the column error.
+    """
+    counts = rows.groupBy("campaign").agg(F.count_if(F.col("error").isNull()).alias("n_ok"), F.count("error").alias("n_failed")).withColumn("touched", F.col("n_ok") > 0)
+    return rows.where("error is null").drop("error"), rows.where("error is not null"), counts
 
 
 def rules_check(items: DataFrame, required: list[str]) -> DataFrame:
@@ -94,10 +171,31 @@ def group_title(prods: DataFrame) -> DataFrame:
     return out.select("group", F.when(F.col("a") == F.col("b"), F.concat(F.col("a"), F.lit(" tiles"))).otherwise(F.col("group")).alias("title"))
 
 
-def id_collision_global(register: DataFrame) -> DataFrame:
-    """register (id, owner) -> id, owner, first_owner of all but the first owner of an id."""
+def id_collision_global(register: DataFrame, policy: str = "warn") -> DataFrame:
+    """register (id, owner) -> id, owner, first_owner of all but the first owner of an id.
+
+    The register holds the ids of the root, of collections, groups and items alike (id_register); with policy raise the
+    least collision is an error.
+    """
     first = register.groupBy("id").agg(F.min("owner").alias("first_owner"))
-    return register.distinct().join(first, "id").where("owner <> first_owner").select("id", "owner", "first_owner")
+    out = register.distinct().join(first, "id").where("owner <> first_owner").select("id", "owner", "first_owner")
+    if policy == "raise":
+        least = out.orderBy("id", "owner").first()
+        if least is not None:
+            raise ValueError(f"id {least['id']} of {least['owner']} is taken by {least['first_owner']}")
+    return out
+
+
+def id_register(root: str, items: DataFrame) -> DataFrame:
+    """id, owner of all that has an id in the catalog: the root, collections, groups and items (collection, grp or null, item).
+
+    An owner tells what it is and where: `root`, `collection C`, `group C/G`, `item C/G/I`.
+    """
+    one = items.sparkSession.createDataFrame([(root, "root")], "id string, owner string")
+    collections = items.select(F.col("collection").alias("id"), F.concat(F.lit("collection "), "collection").alias("owner")).distinct()
+    groups = items.where("grp is not null").select(F.concat_ws("_", "collection", "grp").alias("id"), F.concat(F.lit("group "), "collection", F.lit("/"), "grp").alias("owner")).distinct()
+    own = items.select(F.col("item").alias("id"), F.concat(F.lit("item "), F.concat_ws("/", "collection", "grp", "item")).alias("owner"))
+    return one.unionByName(collections).unionByName(groups).unionByName(own)
 
 
 def dir_ext_share(own: DataFrame) -> DataFrame:
