@@ -16,7 +16,6 @@ from terracat.operators import upkeep as U
 from terracat.plans import catalog as base
 from terracat.plans.catalog import ORACLES, QUERIES, TABLES, _prods, add, view
 from terracat.sources import folders
-from terracat.streaming import arrivals
 
 TABLES |= {"BANDS": ["part"], "SPANS": ["orders"], "ARRIVALS": ["events"]}
 _CAMPAIGN = "regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}')"
@@ -131,7 +130,6 @@ _recorded = lambda c: P.band_stats(c).select("item", (F.col("vmax") * (1 + F.col
 add("join_recorded_vs_actual", "CELLS", lambda c: R.join_recorded_vs_actual(_recorded(c), P.band_stats(c).select("item", F.col("vmax").alias("actual")), ["item"]).select("item", "agrees"), "select item, abs(m * (1 + item * 4e-5) - m) <= greatest(1e-4 * abs(m * (1 + item * 4e-5)), 5e-5) as agrees from (select item, round(max(value), 4) as m from v_cells where valid group by 1)")
 add("map_dim_names", "BANDS", lambda b: b.select(F.col("description").alias("a")).where("a is not null").distinct().select("a", R.dim_key(F.concat(F.lit("__"), F.upper("a"))).alias("dim")), "select distinct description as a, replace(lower(description), ' ', '') as dim from v_bands where description is not null")
 add("flag_bits_compose", "POINTS", lambda p: p.select("item", *[(F.col("x").cast("long") % k == 0).cast("int").alias(f"f{k}") for k in (2, 3, 5, 7)]).groupBy("item", F.col("f2").bitwiseOR(F.shiftleft("f3", 1)).bitwiseOR(F.shiftleft("f5", 2)).bitwiseOR(F.shiftleft("f7", 3)).alias("flags")).agg(F.count("*").alias("n")), "select item, cast((x % 2 = 0)::int + 2 * (x % 3 = 0)::int + 4 * (x % 5 = 0)::int + 8 * (x % 7 = 0)::int as int) as flags, count(*) as n from v_points group by 1, 2")
-add("config_digest", "ITEMS", lambda i: i.groupBy("collection").agg(F.sort_array(F.collect_set("grp")).alias("labels")).select("collection", F.sha2(F.to_json(F.struct(F.lit("EPSG:31256").alias("crs"), "labels")), 256).alias("digest")), "select collection, sha256('{\"crs\":\"EPSG:31256\",\"labels\":[' || string_agg(distinct '\"' || grp || '\"', ',' order by '\"' || grp || '\"') || ']}') as digest from v_items group by 1")
 
 # Grids
 _bands = "select item, row, cast(floor(col / 2) as bigint) as col, cast(col % 2 as int) as band, value from"
@@ -158,18 +156,10 @@ _print = S.file_fingerprint
 _group = lambda d: _print(d).withColumn("group", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
 add("sink_orphan_files", ("PREV", "CONTENT"), lambda a, b: b.select("path").exceptAll(a.select("path")), "select path from v_content except all select path from v_prev")
 add("sink_run_report", ("CONTENT", "PREV"), lambda a, b: S.run_counts(S.join_snapshot_diff(_print(a), _print(b))).select(F.to_json(F.struct("campaign", "n_new", "n_stale")).alias("report")), "select '{\"campaign\":\"' || split_part(coalesce(a.path, b.path), '/', 2) || '\",\"n_new\":' || count(*) filter (b.path is null) || ',\"n_stale\":' || count(*) filter (a.path is null) || '}' as report from v_content a full join v_prev b on a.path = b.path group by split_part(coalesce(a.path, b.path), '/', 2)")
-add("set_stale_keep", ("PREV", "CONTENT"), U.set_stale_keep, "select path, path not in (select path from v_prev) as stale from v_content")
-add("stale_policy", ("PREV", "CONTENT"), lambda a, b: U.stale_policy(a, b, "remove"), "select path, false as stale from v_prev")
 add("set_member_change", ("CONTENT", "PREV"), lambda a, b: U.set_member_change(_group(a), _group(b)), "select regexp_extract(coalesce(a.path, b.path), '^(.*)/[^/]*$', 1) as \"group\", bool_or(a.content is distinct from b.content or a.path is null or b.path is null) as changed from v_content a full join v_prev b on a.path = b.path group by 1")
 add("set_extent_children", "ITEMS", U.set_extent_children, "select collection, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, min(start) as t0, max(start) as t1, count(*) as n_items from (select * from v_items union all select * replace (collection || '/' || grp as collection) from v_items) group by 1")
-_digests = lambda a: a.select(F.split("path", "/")[1].alias("campaign")).distinct().select("campaign", (F.sha2("campaign", 256) < "8").alias("same"))
-_camp = lambda d: _print(d).withColumn("campaign", F.split("path", "/")[1])
-add("gate_status", ("CONTENT", "PREV"), lambda a, b: U.gate_status(_camp(a), _camp(b), _digests(a)), "select coalesce(a.path, b.path) as path, case when a.path is null then 'stale' when b.path is null or sha256(split_part(a.path, '/', 2)) >= '8' or a.content is distinct from b.content then 'rebuild' else 'reuse' end as gate from v_content a full join v_prev b on a.path = b.path")
-add("gate_digest_change", "CONTENT", lambda a: _digests(a).where("not same").select("campaign"), "select distinct split_part(path, '/', 2) as campaign from v_content where sha256(split_part(path, '/', 2)) >= '8'")
-add("gate_two_stage_hash", ("CONTENT", "PREV"), U.gate_two_stage_hash, "select path, case when strlen(a.content) <> strlen(b.content) then 'size' when a.content = b.content then 'same' else 'content' end as gate from v_content a join v_prev b using (path) where a.content is not null and b.content is not null")
 _stamped = lambda b: _print(b).withColumns({"created": F.lit("2020-01-01").cast("date"), "updated": F.lit("2021-01-01").cast("date")})
 add("provenance_stamp", ("CONTENT", "PREV"), lambda a, b: U.provenance_stamp(_print(a), _stamped(b), "2025-06-01").select("path", F.col("created").cast("string").alias("created"), F.col("updated").cast("string").alias("updated")), "select a.path, case when b.path is null then '2025-06-01' else '2020-01-01' end as created, case when b.path is not null and a.content is not distinct from b.content then '2021-01-01' else '2025-06-01' end as updated from v_content a left join v_prev b on a.path = b.path")
-add("failure_isolation", "ITEMS", lambda i: U.failure_isolation(i.select(F.col("collection").alias("campaign"), F.when(F.expr("try_cast(case when x0 % 7 = 0 or collection = 'NATION_3' then concat('x', item) else item end as bigint) is null"), "not a number").alias("error"))), "select collection as campaign, count(*) filter (not (x0 % 7 = 0 or collection = 'NATION_3')) as n_ok, count(*) filter (x0 % 7 = 0 or collection = 'NATION_3') as n_failed, n_ok > 0 as touched from v_items group by 1")
 add("rules_check", "ITEMS", lambda i: U.rules_check(i.withColumn("item", F.floor(F.col("points")).cast("string")).withColumn("grp", F.when(F.col("x0") % 50 != 0, F.col("grp"))), ["grp", "collection"]), "select cast(cast(floor(points) as bigint) as varchar) as item, 'missing grp' as rule from v_items where x0 % 50 = 0 union all select cast(cast(floor(points) as bigint) as varchar), 'duplicate id' from v_items group by 1 having count(*) > 1")
 def _moments():
     return U.restate_masked_moments(F.col("vmean"), F.col("vstd"), F.col("valid_percent") / 100)
@@ -177,7 +167,6 @@ def _moments():
 
 add("restate_masked_moments", "CELLS", lambda c: P.band_stats(c).join(P.valid_percent(c), "item").select("item", F.round(_moments()[0], 3).alias("mean"), F.round(_moments()[1], 3).alias("sd")), "select item, round(m / p, 3) as mean, round(sqrt(greatest((s * s + m * m) / p - m / p * (m / p), 0)), 3) as sd from (select item, round(avg(value) filter (valid), 4) as m, round(stddev_pop(value) filter (valid), 4) as s, round(100.0 * count(*) filter (valid) / count(*), 4) / 100 as p from v_cells group by 1)")
 add("restate_time", "ITEMS", lambda i: S.collection_extent(i.withColumn("start", F.when(F.col("points") > 2e5, F.date_add("start", 7)).otherwise(F.col("start")))).select("collection", "t0", "t1"), "select collection, min(s) as t0, max(s) as t1 from (select collection, case when points > 200000 then start + 7 else start end as s from v_items) group by 1")
-add("id_collision_global", "FILES", lambda f: U.id_collision_global(_prods(f).select(F.lower("item").alias("id"), _campaign().alias("owner"))), f"select id, owner, f as first_owner from (select *, min(owner) over (partition by id) as f from (select distinct lower(item) as id, {_CAMPAIGN} as owner from prods)) where owner <> f")
 _tiles = lambda p: P.tile_assign_points(p, 25.0)
 _TILES = "select cast(floor((x - ox) / 25) as bigint) as tile_col, cast(floor((y - oy) / 25) as bigint) as tile_row, count(*) as n from v_points cross join (select min(x) - 0.0005 as ox, min(y) - 0.0005 as oy from v_points) group by 1, 2"
 add("skip_existing_outputs", "POINTS", lambda p: _tiles(p).join(_tiles(p).where("n % 2 = 0").select("tile_col", "tile_row"), ["tile_col", "tile_row"], "left_anti"), f"select * from ({_TILES}) where n % 2 = 1")
@@ -211,18 +200,8 @@ def _json_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("collection", "item", "x0", "y0")
 
 
-def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrivals.incremental(spark, f"{sf_dir}/events.parquet", lambda e: e.where("value is not null").selectExpr("event_id", "event_type as campaign", "value"))
-
-
-def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrivals.running_summary(spark, f"{sf_dir}/events.parquet", "event_type", "value").withColumnRenamed("event_type", "campaign")
-
-
-QUERIES |= {"sink_tile_partitions": _tile_files, "sink_catalog_json": _json_tree, "stream_incremental_catalog": _incremental, "stream_running_summary": _summary}
+QUERIES |= {"sink_tile_partitions": _tile_files, "sink_catalog_json": _json_tree}
 ORACLES |= {
     "sink_tile_partitions": f"with v_points as ({base.V.POINTS}) select cast(floor(x / 50) as bigint) as tile_col, cast(floor(y / 5) as bigint) as tile_row, count(*) as n, max(z) as top from v_points group by 1, 2",
     "sink_catalog_json": f"with v_items as ({base.V.ITEMS}) select collection, item, x0, y0 from v_items",
-    "stream_incremental_catalog": "select event_id, event_type as campaign, value from events where value is not null",
-    "stream_running_summary": "select event_type as campaign, count(*) as n, min(value) as vmin, max(value) as vmax from events group by 1",
 }
