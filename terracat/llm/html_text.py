@@ -4,7 +4,9 @@ Each paragraph gives points (one, one for each comma, one for each 100 character
 of them to its grandparent; a container's points are discounted by its link density. An article element (main, where a
 page has none) has the points of all paragraphs within, or one for each 100 characters if that is more, and passes none
 on. The best of all containers is kept with those siblings that score or read like it. What is never text (scripts, styles, menus, headers and footers of the
-page, sidebars, forms, notices, adverts, reader comments) is taken out of the tree before scoring.
+page, sidebars, forms, notices, adverts, reader comments) is taken out of the tree before scoring; articles, paragraphs
+and inline elements go by their class or id too. The title of an article belongs to its text where it stands within the
+article, in a header of it or not; a heading before the marked element is the page's and stays out.
 """
 
 from __future__ import annotations
@@ -30,8 +32,23 @@ NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|pro
 NOISY_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dd", "dt", "figcaption"}
 SPACE = re.compile(r"\s+")
-#: Classes of paragraphs that are readers' comments; other names are not looked at in paragraphs, where they style text.
-COMMENT = re.compile(r"(^|\s)(user-|reader-)?comments?(-\w+)?(\s|$)", re.I)
+#: Parts of a class or id by which articles, paragraphs and inline elements are noise too: readers' comments, adverts,
+#: notices and what stands beside an article. Names that only tell what else a page has (has-sidebar, no-comments,
+#: comments-open, category-ads) don't count, nor does anything within pre and code, where names style source text.
+MARKED_NOISE = re.compile(r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|newsletter|subscri\w*|sidebar|comments?|disqus|replies|related|teaser", re.I)
+MERELY_TOLD = {"has", "no", "with", "without", "category", "tag", "type", "format", "hide", "show"}
+STATES = {"open", "closed", "count", "off", "on", "free", "link"}
+#: Header of an article, in divs of one: its title and byline belong to the text.
+OWN_HEADER = re.compile(r"(?:^|\s)(?:entry|post|article|story|content|page)[_-]header(?=\s|$)", re.I)
+
+
+def marked_noise(names: str) -> bool:
+    """Whether one of the names (class and id) of an article, paragraph or inline element tells noise."""
+    for name in names.split():
+        parts = re.split("[-_]+", name.lower())
+        if parts[0] not in MERELY_TOLD and parts[-1] not in STATES and any(MARKED_NOISE.fullmatch(p) for p in parts):
+            return True
+    return False
 
 
 class Node:
@@ -67,10 +84,13 @@ class Tree(HTMLParser):
             return
         given = {k: v or "" for k, v in attrs}
         noise = tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in NOISY_ROLES or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I))
-        if not noise and tag not in ("article", "main", "p", *INLINE):
-            noise = bool(NOISE.search(f"{given.get('class', '')} {given.get('id', '')}"))
-        if tag == "p":
-            noise = noise or bool(COMMENT.search(given.get("class", "")))
+        names = f"{given.get('class', '')} {given.get('id', '')}"
+        if noise or tag == "main" or not names.strip():
+            pass
+        elif tag in ("article", "p") or tag in INLINE:
+            noise = not self.inside("pre") and not self.inside("code") and marked_noise(names)
+        else:
+            noise = bool(NOISE.search(OWN_HEADER.sub(" ", names) if self.inside("article") or self.inside("main") else names))
         if tag == "header" and not self.inside("article"):
             noise = True
         node = Node(tag, self.at, noise)

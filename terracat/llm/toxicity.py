@@ -1,9 +1,11 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the bag of itself and its character n-grams, hashed into rows of an embedding table, so an unseen spelling
-shares most of its vectors with known ones. Averages over a whole long text would drown a few words, so a text is a
-bag of short runs of words: each run's average goes through the softmax, and the text is toxic if any run is (the odds
-of the runs add up, and the gradient is shared in proportion). Embeddings and softmax weights are trained together by Adagrad.
+shares most of its vectors with known ones. An average over a whole long text would drown a few words, and a sum would
+grow with its length. So a text is read in short runs of words, each run's average goes through the softmax's linear
+map, and the text's gap between the labels is the average over the strongest hundredth of its runs (LEAST at least), so
+it means the same at every length. Embeddings and softmax weights are trained together through that average, in
+batches, by Adagrad; training begins with the average of all runs, and halves their share every round.
 
 TRAIN_ROWS bounds the labelled rows that the model is fitted on: that many by smallest hash of the id, half of each
 label. Everything else covers all rows.
@@ -24,8 +26,10 @@ from terracat.llm.common import WORD_CACHE, staged
 
 TRAIN_ROWS = 3_000
 BUCKETS, DIM, GRAMS, RUN = 1 << 17, 8, (3, 4, 5), 2
-#: Texts seen in training, repeats included, and the bounds of the rounds that makes.
-STEPS, EPOCHS, RATE = 9_000, (3, 40), 0.5
+#: Texts of a batch, texts seen in training (repeats included), the bounds of the rounds that makes, and the rate of steps.
+BATCH, SEEN, EPOCHS, RATE = 4, 24_000, (8, 40), 0.5
+#: The share of a text's runs that count, and the least number of them.
+SHARE, LEAST = 0.01, 2
 TRIM = " \t\r\n\v\f.,;:!?\"'()[]{}<>-–—…«»„“”‚‘’*#$%&|"
 
 
@@ -40,9 +44,26 @@ def words_of(text: str | None) -> list[str]:
     return [w for x in (text or "").lower().split() if (w := x.strip(TRIM))]
 
 
-def runs_of(n: int) -> list[tuple[int, int]]:
-    """Places of the runs of a text of n words: RUN words each, half a run apart."""
-    return [(i, min(n, i + RUN)) for i in range(0, max(1, n - RUN // 2), max(1, RUN // 2))]
+def pooled(shares: np.ndarray, first: np.ndarray, sizes: np.ndarray, bias: float, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """The gap of each text from the shares of its words, and what a word's share counts in it.
+
+    Texts follow each other: sizes words from first on, at least one. Runs are of RUN = 2 words, one word apart; a text
+    of one word is a run.
+    """
+    starts = np.ones(len(shares), dtype=bool)
+    starts[(first + sizes - 1)[sizes > 1]] = False  # a run starts at each word but the last one
+    at = np.flatnonzero(starts)
+    to = np.where(np.repeat(sizes == 1, sizes)[at], at, at + 1)
+    gap = (shares[at] + shares[to]) / 2 + bias
+    n_runs = np.maximum(sizes - 1, 1)
+    edge = np.cumsum(n_runs) - n_runs
+    most = np.minimum(n_runs, np.maximum(LEAST, np.ceil(n_runs * share).astype(np.int64)))
+    of = np.repeat(np.arange(len(sizes)), n_runs)
+    by = np.lexsort((-gap, of))
+    strong = by[np.arange(len(gap)) - edge[of] < most[of]]
+    part = 1 / most[of[strong]]
+    counts = np.bincount(at[strong], weights=part / 2, minlength=len(shares)) + np.bincount(to[strong], weights=part / 2, minlength=len(shares))
+    return np.bincount(of[strong], weights=part * gap[strong]), counts
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> dict[str, np.ndarray]:
@@ -53,103 +74,70 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> dict[str, np.nd
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     weight, bias = np.zeros((2, DIM)), np.array([2.0, -2.0])
     weight[1] = rng.uniform(-0.5, 0.5, DIM)
-    g_table, g_weight, g_bias = np.full(BUCKETS, 1e-2), np.full((2, DIM), 1e-1), np.full(2, 1.0)
-    known: dict[str, tuple[int, np.ndarray]] = {}
-    rows_of: list[np.ndarray] = []
-    bags = []
-    for t in texts:
-        ids = []
-        for w in words_of(t):
-            if w not in known:
-                known[w] = (len(rows_of), rows := grams(w))
-                rows_of.append(rows)
-            ids.append(known[w][0])
-        bags.append(np.array(ids, dtype=np.int64))
-    order = np.arange(len(texts))
-    epochs = min(EPOCHS[1], max(EPOCHS[0], STEPS // max(1, len(texts))))
+    g_table, g_weight, g_bias = np.full(BUCKETS, 1e-2), np.full(DIM, 1e-1), 1.0
+    known: dict[str, int] = {}
+    bags = [np.array([known.setdefault(w, len(known)) for w in words_of(t)], dtype=np.int64) for t in texts]
+    rows_of = [grams(w) for w in known]  # in the order of their numbers
+    y = np.array(labels, dtype=np.float64)
+    use = np.array([k for k, b in enumerate(bags) if len(b)], dtype=np.int64)
+    if not len(use):
+        return {"table": table.astype(np.float32), "weight": weight, "bias": bias}
+    epochs = min(EPOCHS[1], max(EPOCHS[0], SEEN // len(use)))
     for epoch in range(epochs):
-        rng.shuffle(order)
+        rng.shuffle(use)
         rate = RATE * (1 - epoch / epochs)
-        for k in order:
-            ids = bags[k]
-            if not len(ids):
-                continue
-            types, back = np.unique(ids, return_inverse=True)
+        for k in range(0, len(use), BATCH):
+            part = use[k : k + BATCH]
+            sizes = np.array([len(bags[i]) for i in part])
+            types, back = np.unique(np.concatenate([bags[i] for i in part]), return_inverse=True)
+            n_rows = np.array([len(rows_of[i]) for i in types])
             flat = np.concatenate([rows_of[i] for i in types])
-            size = np.array([len(rows_of[i]) for i in types])
-            edge = np.cumsum(size) - size
-            vectors = np.add.reduceat(table[flat], edge) / size[:, None]
-            places = runs_of(len(ids))
-            lo, hi = np.array([p[0] for p in places]), np.array([p[1] for p in places])
-            sums = np.concatenate((np.zeros((1, DIM)), np.cumsum(vectors[back], axis=0)))
-            x = (sums[hi] - sums[lo]) / (hi - lo)[:, None]
-            gap = x @ (weight[1] - weight[0]) + bias[1] - bias[0]
-            top = gap.max()
-            share = np.exp(gap - top)
-            total = share.sum()
-            share /= total
-            p = 1 / (1 + np.exp(-np.clip(top + np.log(total), -30, 30)))
-            d = p - labels[k]  # gradient of the pooled gap
-            if abs(d) < 1e-3:
-                continue
-            step = d * (weight[1] - weight[0])
-            grad_w = d * (share @ x)
-            for c, sign in ((0, -1.0), (1, 1.0)):
-                g_weight[c] += grad_w**2
-                weight[c] -= rate * sign * grad_w / np.sqrt(g_weight[c])
-                g_bias[c] += d * d
-                bias[c] -= rate * sign * d / np.sqrt(g_bias[c])
-            part = share / (hi - lo)  # of each word of a run
-            at = np.zeros(len(ids) + 1)
-            np.add.at(at, lo, part)
-            np.add.at(at, hi, -part)
-            by_type = np.bincount(back, weights=np.cumsum(at)[:-1], minlength=len(types))
-            strong = by_type > 1e-4
-            if not strong.any():
-                continue
-            reach = np.repeat(strong, size)
-            rows = flat[reach]
-            much = np.repeat(by_type / size, size)[reach]
-            np.add.at(g_table, rows, much**2 * (step**2).mean())
-            np.add.at(table, rows, -rate * much[:, None] * step / np.sqrt(g_table[rows])[:, None])
+            vectors = np.add.reduceat(table[flat], np.cumsum(n_rows) - n_rows) / n_rows[:, None]
+            apart = weight[1] - weight[0]
+            gap, counts = pooled((vectors @ apart)[back], np.cumsum(sizes) - sizes, sizes, bias[1] - bias[0], max(SHARE, 0.5**epoch))
+            d = 1 / (1 + np.exp(-np.clip(gap, -30, 30))) - y[part]
+            by_type = np.bincount(back, weights=counts * np.repeat(d, sizes), minlength=len(types))
+            grad_w, grad_b = by_type @ vectors, d.sum()
+            rows, place = np.unique(flat, return_inverse=True)
+            by_row = np.bincount(place, weights=np.repeat(by_type / n_rows, n_rows))
+            g_table[rows] += by_row**2 * (apart**2).mean()
+            table[rows] -= rate * by_row[:, None] * apart / np.sqrt(g_table[rows])[:, None]
+            g_weight += grad_w**2
+            g_bias += grad_b**2
+            move, shift = rate * grad_w / np.sqrt(g_weight), rate * grad_b / np.sqrt(g_bias)
+            weight += np.stack((move, -move)) / 2
+            bias += np.array([shift, -shift]) / 2
     return {"table": table.astype(np.float32), "weight": weight, "bias": bias}
 
 
-class Scorer:
-    """The model as a scorer: each word's share of the logit gap is computed once per task."""
+class Scorer(dict):
+    """The model as a scorer; as a dict, what it remembers: each word's share of the logit gap, by its raw spelling (nan: no letters)."""
 
     def __init__(self, model: dict[str, np.ndarray]):
+        super().__init__()
         self.rows = (model["table"] @ (model["weight"][1] - model["weight"][0])).astype(np.float64)
         self.bias = float(model["bias"][1] - model["bias"][0])
         self.trained = bool(model["weight"].any() or model["bias"].any())
-        self.known: dict[str, float] = {}
-
-    def word(self, raw: str) -> float:
-        """Share of a word, nan for one of no letters, by its raw spelling."""
-        value = self.known.get(raw)
-        if value is None:
-            if len(self.known) >= WORD_CACHE:
-                self.known.clear()
-            w = raw.strip(TRIM)
-            value = self.known[raw] = float(self.rows[grams(w)].mean()) if w else float("nan")
+
+    def __missing__(self, raw: str) -> float:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        w = raw.strip(TRIM)
+        value = self[raw] = float(self.rows[grams(w)].mean()) if w else float("nan")
         return value
 
     def score(self, text: str | None) -> float:
         if not self.trained:
             return 0.5
         raw = (text or "").lower().split()
-        shares = np.array([self.word(w) for w in raw])
-        if len(shares):
-            shares = shares[~np.isnan(shares)]
-        if not len(shares):
-            return float(1 / (1 + np.exp(-np.clip(self.bias, -30, 30))))
-        n = len(shares)
-        sums = np.concatenate(([0.0], np.cumsum(shares)))
-        start = np.arange(0, max(1, n - RUN // 2), max(1, RUN // 2))
-        stop = np.minimum(n, start + RUN)
-        gap = (sums[stop] - sums[start]) / (stop - start) + self.bias
-        top = gap.max()
-        return float(1 / (1 + np.exp(-np.clip(top + np.log(np.exp(gap - top).sum()), -30, 30))))
+        shares = np.fromiter(map(self.__getitem__, raw), dtype=np.float64, count=len(raw))
+        shares = shares[~np.isnan(shares)]
+        gap = self.bias
+        if len(shares):  # as pooled() does, for one text
+            runs = (shares[:-1] + shares[1:]) / 2 if len(shares) > 1 else shares
+            most = min(len(runs), max(LEAST, int(np.ceil(len(runs) * SHARE))))
+            gap += np.partition(runs, len(runs) - most)[len(runs) - most :].mean()
+        return float(1 / (1 + np.exp(-np.clip(gap, -30, 30))))
 
 
 def held_out(doc_id) -> F.Column:
