@@ -56,7 +56,7 @@ def summary_rollup(items: DataFrame) -> DataFrame:
 
 
 def search_spatiotemporal(items: DataFrame, collections: DataFrame, box: tuple[float, float, float, float], since: str, until: str, least: float, rings: str | None = None) -> DataFrame:
-    """Items that touch the box, start within the dates and have so many points; item, collection.
+    """Items that touch the box, start within the dates and have so many points; item, collection, by item.
 
     collections (collection, x0, y0, x1, y1, t0, t1) is the stored table of extents: those that miss the box or the dates
     are skipped. rings: a column of polygons, which are then tested themselves after their boxes.
@@ -67,7 +67,7 @@ def search_spatiotemporal(items: DataFrame, collections: DataFrame, box: tuple[f
     hit = items.where(near & F.col("start").between(lo, hi) & (F.col("points") >= least))
     if rings:
         hit = hit.where(polygon_intersects_box(F.col(rings), box))
-    return hit.join(open_ones, "collection", "left_semi").select("item", "collection")
+    return hit.join(open_ones, "collection", "left_semi").select("item", "collection").orderBy("item", "collection")
 
 
 def dir_own_stats(paths: DataFrame) -> DataFrame:

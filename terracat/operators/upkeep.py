@@ -152,13 +152,6 @@ def failure_isolation(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     return rows.where("error is null").drop("error"), rows.where("error is not null"), counts
 
 
-def rules_check(items: DataFrame, required: list[str]) -> DataFrame:
-    """Violations: item, rule. Required fields must be there, ids must be unique."""
-    missing = items.select("item", F.explode(F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in required]), lambda r: r.isNotNull())).alias("rule"))
-    twice = items.groupBy("item").count().where("count > 1").select("item", F.lit("duplicate id").alias("rule"))
-    return missing.unionByName(twice)
-
-
 def restate_masked_moments(mean: Column, sd: Column, share: Column) -> tuple[Column, Column]:
     """Moments over valid cells from moments in which invalid cells counted as zero."""
     new = mean / share

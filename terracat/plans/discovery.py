@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terracat.operators import classify as C
 from terracat.operators import collections as K
 from terracat.operators import discovery as D
+from terracat.operators import links as L
 from terracat.operators import profile as P
 from terracat.operators import records as R
 from terracat.operators import snapshot as S
@@ -16,6 +17,7 @@ from terracat.plans.catalog import ORACLES, QUERIES, add, view
 from terracat.plans.records import _SPAN, _campaign
 from terracat.plans.views import DIMS, ITEMS
 from terracat.sources import folders, headers
+from terracat.sources import items as store
 
 DATE = r"regexp_extract(parent, '\d{4}-\d{2}-\d{2}')"
 
@@ -216,12 +218,49 @@ add(
     lambda i: i.where(R.polygon_intersects_box(_ring(F.col("x0"), F.col("y0"), F.lit(64.0), F.lit(128.0)), _BOX)).select("item"),
     f"select item from v_items where {_MEETS.format(w=64, h=128)}",
 )
-add(
-    "search_spatiotemporal",
-    "ITEMS",
-    lambda i: S.search_spatiotemporal(i.withColumn("rings", _ring(F.col("x0"), F.col("y0"), F.lit(5.0), F.lit(5.0))), S.collection_extent(i), _BOX, "1995-01-01", "1996-06-30", 1000.0, "rings"),
-    f"select item, collection from v_items where {_MEETS.format(w=5, h=5)} and start between date '1995-01-01' and date '1996-06-30' and points >= 1000",
-)
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items are stored by collection, then searched."""
+    items, folder = view(spark, sf_dir, "ITEMS"), folders.shared_path(spark, "items")
+    store.store_items(items, folder)
+    return store.search_stored(spark, folder, items.schema, _BOX, "1995-01-01", "1996-06-30", 1000.0, _ring(F.col("x0"), F.col("y0"), F.lit(5.0), F.lit(5.0)))
+
+
+QUERIES["search_spatiotemporal"] = _search
+ORACLES["search_spatiotemporal"] = f"with v_items as ({ITEMS}) select item, collection from v_items where {_MEETS.format(w=5, h=5)} and start between date '1995-01-01' and date '1996-06-30' and points >= 1000"
+
+
+# The tree of root, collections, groups and items, written and checked
+def _tree(spark: SparkSession, sf_dir: str, spoilt: bool) -> tuple[DataFrame, DataFrame]:
+    """Documents and links of all items, written and read back; spoilt: some items share ids, some links lead nowhere, twice or one way."""
+    items = view(spark, sf_dir, "ITEMS").withColumn("grp", F.when(F.col("x0") % 4 != 0, F.col("grp")))
+    documents, links = L.catalog_tree(items, "all")
+    if spoilt:
+        n = F.try_to_number(F.regexp_extract("href", "([0-9]+)[.]json$", 1), F.lit("999999999999")).cast("long")
+        down = (F.col("rel") == "item") & n.isNotNull()
+        href = F.when(down & (n % 11 == 0), F.concat(F.lit("./x/"), "href")).otherwise(F.concat(F.when(down & (n % 3 == 0), "./").otherwise(""), "href"))
+        copies = F.when(down & (n % 13 == 0), 2).when(down & (n % 17 == 0), 0).otherwise(1)
+        links = links.select("source", "rel", href.alias("href"), F.explode(F.array_repeat(F.lit(1), copies)).alias("k")).drop("k")
+        documents = documents.withColumns({"title": F.when((F.col("kind") != "item") | (F.try_to_number("id", F.lit("999999999999")) % 19 != 0), F.col("title")), "id": F.when((F.col("kind") == "item") & (F.try_to_number("id", F.lit("999999999999")) % 23 == 0), F.lit("all")).otherwise(F.col("id"))})
+    path = folders.shared_path(spark, "tree")
+    folders.tree_json(documents, links, path)
+    return folders.read_tree(spark, path)
+
+
+_TREE = f"""v_items as (select * replace (case when x0 % 4 <> 0 then grp end as grp) from ({ITEMS})),
+  own as (select cast(item as bigint) as n, '/' || collection || coalesce('/' || grp, '') as home, collection, grp, item from v_items),
+  docs as (select home || '/' || item || '/' || item || '.json' as path, 'item' as kind, n, home || '/collection.json' as up from own
+    union all select distinct home || '/collection.json', 'group', null, '/' || collection || '/collection.json' from own where grp is not null
+    union all select distinct '/' || collection || '/collection.json', 'collection', null, '/catalog.json' from own union all select '/catalog.json', 'root', null, null)"""
+QUERIES["sink_catalog_json"] = lambda spark, sf_dir: (lambda d, k: k.select("source", "rel", L.resolve(F.col("source"), F.col("href")).alias("target")).join(d.select(F.col("path").alias("source"), "kind"), "source"))(*_tree(spark, sf_dir, spoilt=False))
+ORACLES["sink_catalog_json"] = f"""with {_TREE} select path as source, 'root' as rel, '/catalog.json' as target, kind from docs where up is not null union all select path, 'parent', up, kind from docs where up is not null
+  union all select d.up, case d.kind when 'item' then 'item' else 'child' end, d.path, u.kind from docs d join docs u on d.up = u.path"""
+QUERIES["rules_check"] = lambda spark, sf_dir: L.rules_check(*_tree(spark, sf_dir, spoilt=True), ["title"])
+ORACLES["rules_check"] = f"""with {_TREE}, items as (select *, n % 17 = 0 and n % 13 <> 0 as none, n % 11 = 0 as lost, regexp_extract(up, '^(.*)/[^/]*$', 1) as dir from docs where kind = 'item')
+  , named as (select path from items where n % 23 = 0 union all select '/catalog.json')
+  select path, 'missing' as rule, 'title' as detail from items where n % 19 = 0 union all select path, 'duplicate id', 'all' from named where path <> (select min(path) from named)
+  union all select up, 'broken', 'item ./x/' || path[length(dir) + 2:] from items, unnest(range(case when n % 13 = 0 then 2 else 1 end)) where lost and not none
+  union all select up, 'doubled', 'item ' || case when lost then dir || '/x/' || path[length(dir) + 2:] else path end from items where n % 13 = 0
+  union all select path, 'dangling', 'item' from items where lost or none union all select path, 'one-way', up from items where lost or none"""
 
 
 # Collections

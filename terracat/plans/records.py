@@ -160,7 +160,6 @@ add("set_member_change", ("CONTENT", "PREV"), lambda a, b: U.set_member_change(_
 add("set_extent_children", "ITEMS", U.set_extent_children, "select collection, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, min(start) as t0, max(start) as t1, count(*) as n_items from (select * from v_items union all select * replace (collection || '/' || grp as collection) from v_items) group by 1")
 _stamped = lambda b: _print(b).withColumns({"created": F.lit("2020-01-01").cast("date"), "updated": F.lit("2021-01-01").cast("date")})
 add("provenance_stamp", ("CONTENT", "PREV"), lambda a, b: U.provenance_stamp(_print(a), _stamped(b), "2025-06-01").select("path", F.col("created").cast("string").alias("created"), F.col("updated").cast("string").alias("updated")), "select a.path, case when b.path is null then '2025-06-01' else '2020-01-01' end as created, case when b.path is not null and a.content is not distinct from b.content then '2021-01-01' else '2025-06-01' end as updated from v_content a left join v_prev b on a.path = b.path")
-add("rules_check", "ITEMS", lambda i: U.rules_check(i.withColumn("item", F.floor(F.col("points")).cast("string")).withColumn("grp", F.when(F.col("x0") % 50 != 0, F.col("grp"))), ["grp", "collection"]), "select cast(cast(floor(points) as bigint) as varchar) as item, 'missing grp' as rule from v_items where x0 % 50 = 0 union all select cast(cast(floor(points) as bigint) as varchar), 'duplicate id' from v_items group by 1 having count(*) > 1")
 def _moments():
     return U.restate_masked_moments(F.col("vmean"), F.col("vstd"), F.col("valid_percent") / 100)
 
@@ -195,13 +194,7 @@ def _tile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders.tile_partitions(points).groupBy("tile_col", "tile_row").agg(F.count("*").alias("n"), F.max("z").alias("top"))
 
 
-def _json_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = folders.catalog_json(view(spark, sf_dir, "ITEMS").select("collection", "item", "x0", "y0"), "item string, x0 double, y0 double")
-    return back.select("collection", "item", "x0", "y0")
-
-
-QUERIES |= {"sink_tile_partitions": _tile_files, "sink_catalog_json": _json_tree}
+QUERIES |= {"sink_tile_partitions": _tile_files}
 ORACLES |= {
     "sink_tile_partitions": f"with v_points as ({base.V.POINTS}) select cast(floor(x / 50) as bigint) as tile_col, cast(floor(y / 5) as bigint) as tile_row, count(*) as n, max(z) as top from v_points group by 1, 2",
-    "sink_catalog_json": f"with v_items as ({base.V.ITEMS}) select collection, item, x0, y0 from v_items",
 }

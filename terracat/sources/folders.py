@@ -37,3 +37,15 @@ def catalog_json(items: DataFrame, fields: str) -> DataFrame:
     path = shared_path(items.sparkSession, "catalog")
     items.write.partitionBy("collection").json(path)
     return items.sparkSession.read.schema(f"{fields}, collection string").json(path)
+
+
+def tree_json(documents: DataFrame, links: DataFrame, path: str) -> None:
+    """Write a catalog's documents and links (links.catalog_tree) as JSON lines, in one folder for each kind of document and of link."""
+    documents.write.mode("overwrite").partitionBy("kind").json(f"{path}/documents")
+    links.write.mode("overwrite").partitionBy("rel").json(f"{path}/links")
+
+
+def read_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """documents (path, id, title, kind) and links (source, href, rel) of a written catalog."""
+    documents = spark.read.schema("path string, id string, title string, kind string").json(f"{path}/documents")
+    return documents, spark.read.schema("source string, href string, rel string").json(f"{path}/links")
