@@ -135,7 +135,10 @@ def _across(apart: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -
         close = close & (enough if "key" in on else ~enough)
         return x.join(y, [*same, close]).select("a", "b")
 
-    by_key = sides(apart.join(seen.select("rep", "major", "common"), ["rep", "major"]), "key")
+    # Of a pair with enough in common each side alone has percent of its own elements in the reference: m is at least
+    # percent of n, so (100 + percent) * common >= percent * (n + m) gives 100 * common >= percent * n. Others stay out of the join.
+    can = seen.where(100 * F.col("common") >= percent * F.col("n")).select("rep", "major", "common")
+    by_key = sides(apart.join(can, ["rep", "major"]), "key")
     by_extra = sides(seen.select("rep", "n", "comp", "major", "common", F.explode("extra").alias("s")), "major", "s")
     return by_key.unionByName(by_extra).distinct()
 

@@ -31,6 +31,8 @@ from terracat.llm.repeats import mask_of, sha
 
 #: Different strips of one seed that may meet in one text, bytes of such a text, and bytes of documents for each bucket.
 HEAVY, TEXT_BYTES, BUCKET_BYTES = 10_000, 1_000_000, 12 << 20
+#: Shuffle partitions at most: with more buckets than that, a partition holds several, one after the other.
+PARTITIONS = 20_000
 #: Strips that a block of documents holds, about.
 BLOCK_STRIPS = 800_000
 #: Levels of the expansion after which intervals of one suffix are set aside.
@@ -405,7 +407,7 @@ def _with_docs(rows: DataFrame, packed: DataFrame, groups: int) -> DataFrame:
     none = F.lit(None).cast("binary")
     name = F.unhex(F.lpad(F.hex("uid"), 16, "0"))  # big end first
     docs = rows.select(to.alias("to"), F.lit(DOC).alias("kind"), name.alias("uid"), *[none.alias(c) for c in ("count", "lo", "size", "key", "more")], "body")
-    return packed.unionByName(docs).repartition(groups, "to").sortWithinPartitions("to", "kind")
+    return packed.unionByName(docs).repartition(min(groups, PARTITIONS), "to").sortWithinPartitions("to", "kind")
 
 
 def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple[list[DataFrame], int]:
@@ -414,10 +416,10 @@ def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(12, -(-total // BUCKET_BYTES)) | 1  # odd, so that ids of any step spread over all
     docs = rows.select("uid", "body")
-    dealt = docs.mapInArrow(_scan(window, buckets, bits), SCHEMA).repartition(buckets, "to").sortWithinPartitions("to", "kind")
+    dealt = docs.mapInArrow(_scan(window, buckets, bits), SCHEMA).repartition(min(buckets, PARTITIONS), "to").sortWithinPartitions("to", "kind")
     judged = staged(dealt.mapInArrow(_judge(buckets, bits, heavy), SCHEMA), "judged")
     wanted = judged.where(F.col("kind").isin(COPY, HEAVY_COPY))
-    cut = _with_docs(docs, wanted, buckets).mapInArrow(_cut(window, buckets, bits), SCHEMA).repartition(buckets, "to").sortWithinPartitions("to", "kind")
+    cut = _with_docs(docs, wanted, buckets).mapInArrow(_cut(window, buckets, bits), SCHEMA).repartition(min(buckets, PARTITIONS), "to").sortWithinPartitions("to", "kind")
     found = staged(cut.mapInArrow(_expand(window, buckets, bits), SCHEMA), "found")
     return [judged, found], buckets
 
