@@ -1,23 +1,28 @@
 """Footprints of masks: connected regions, specks, parts and holes, outlines.
 
 A mask has (item, gx, gy, valid), one row for each cell of an item's grid, with 0 <= gx < 2**20. Cells of a null item
-or place are left out; a null valid is false; of repeated cells a valid one counts. Regions are labelled by runs along
-rows that meet across rows, contracted in rounds of written tables: no task holds an item's mask.
+or place are left out; a null valid is false; of repeated cells a valid one counts. Regions are labelled block by block and
+joined across the blocks' borders, contracted in rounds of written tables: no task holds more than a block of a mask.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terracat.functions.projections import to_degrees
 from terracat.operators.upkeep import _written
 
 #: Square metres of the smallest part and the smallest hole.
 PART_M2, HOLE_M2 = 4000.0, 1000.0
+#: Cells on a side of the blocks that are labelled in one go.
+BLOCK = 512
 
 
 def _row():
@@ -63,22 +68,68 @@ def _beside(along, at: str, value: str) -> Column:
     return F.when(F.lag(at).over(along) == F.col(at) - 1, F.lag(value).over(along))
 
 
-def regions(mask: DataFrame) -> DataFrame:
-    """item, gx, gy, valid, region: four-connected cells of equal valid share a region, the smallest of their keys gy * 2**20 + gx."""
+def labels(valid: np.ndarray) -> np.ndarray:
+    """Of a grid (1 valid, 0 not, -1 no cell) each cell's four-connected region of equal values, as its smallest place in row order.
+
+    Every round hooks the labels of neighbours to the smaller one and follows the hooks until nothing moves.
+    """
+    n, width = valid.size, valid.shape[1]
+    place = np.arange(n).reshape(valid.shape)
+    across, down = (valid[:, 1:] == valid[:, :-1]) & (valid[:, 1:] >= 0), (valid[1:] == valid[:-1]) & (valid[1:] >= 0)
+    a = np.concatenate((place[:, :-1][across], place[:-1][down]))
+    b = np.concatenate((a[: across.sum()] + 1, a[across.sum() :] + width))
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root.reshape(valid.shape)
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while not np.array_equal(up := root[root], root):
+            root = up
+
+
+def _block(frame: pd.DataFrame) -> pd.DataFrame:
+    """Cells of one block with their region within it, named by its smallest cell."""
+    x0, y0 = int(frame["gx"].min()), int(frame["gy"].min())
+    x, y = frame["gx"].to_numpy() - x0, frame["gy"].to_numpy() - y0
+    grid = np.full((int(y.max()) + 1, int(x.max()) + 1), -1, dtype=np.int8)
+    np.maximum.at(grid, (y, x), frame["valid"].to_numpy().astype(np.int8))  # of repeated cells a valid one counts
+    y, x = np.nonzero(grid >= 0)
+    root = labels(grid)[y, x]
+    key = (root // grid.shape[1] + y0) * (1 << 20) + root % grid.shape[1] + x0
+    return pd.DataFrame({"item": frame["item"].iloc[0], "gx": x + x0, "gy": y + y0, "valid": grid[y, x] == 1, "region": key})
+
+
+def regions(mask: DataFrame, block: int = BLOCK) -> DataFrame:
+    """item, gx, gy, valid, region: four-connected cells of equal valid share a region, the smallest of their keys gy * 2**20 + gx.
+
+    Square blocks of so many cells a side are labelled each in one go; regions that meet across blocks' borders are
+    then joined by their labels. A task holds one block; grids of one block need no joins of borders. The result is a written table.
+    """
     cells = mask.where("item is not null and gx is not null and gy is not null")
-    cells = cells.groupBy("item", F.col("gx").cast("long").alias("gx"), F.col("gy").cast("long").alias("gy")).agg(F.max(F.coalesce("valid", F.lit(False))).alias("valid"))
-    goes_on = F.coalesce(_beside(_row(), "gx", "valid") == F.col("valid"), F.lit(False))
-    runs = cells.withColumn("start", F.when(~goes_on, _key())).withColumn("run", F.max("start").over(_row())).drop("start")
-    meets = F.coalesce(_beside(_column(), "gy", "valid") == F.col("valid"), F.lit(False))
-    runs = _written(runs.withColumn("above", F.when(meets, _beside(_column(), "gy", "run"))), "runs")
-    root = roots(runs.where("above is not null").select("item", F.col("above").alias("a"), F.col("run").alias("b")))
-    labelled = runs.join(root.withColumnRenamed("node", "run"), ["item", "run"], "left")
-    return labelled.select("item", "gx", "gy", "valid", F.coalesce("root", "run").alias("region"))
+    cells = cells.select(F.col("item"), F.col("gx").cast("long").alias("gx"), F.col("gy").cast("long").alias("gy"), F.coalesce("valid", F.lit(False)).alias("valid"))
+    kind = cells.schema["item"].dataType.simpleString()
+    at = cells.withColumns({"bx": F.floor(F.col("gx") / block), "by": F.floor(F.col("gy") / block)})
+    made = at.groupBy("item", "bx", "by").applyInPandas(lambda f: _block(f), f"item {kind}, gx long, gy long, valid boolean, region long")
+    blocks = _written(made, "blocks")
+    edge = blocks.where((F.col("gx") % block == 0) | (F.col("gx") % block == block - 1) | (F.col("gy") % block == 0) | (F.col("gy") % block == block - 1))
+    before = edge.select("item", "gx", "gy", "valid", F.col("region").alias("b"))
+    over = []
+    for c, d in (("gx", "gy"), ("gy", "gx")):
+        after = edge.where((F.col(c) % block == 0) & (F.col(c) > 0)).select("item", (F.col(c) - 1).alias(c), d, "valid", F.col("region").alias("a"))
+        over.append(after.join(before, ["item", "gx", "gy", "valid"]).select("item", "a", "b"))
+    links = _written(over[0].unionByName(over[1]).distinct(), "borders")
+    if links.isEmpty():
+        return blocks
+    root = roots(links).select("item", F.col("node").alias("region"), "root")
+    return _written(blocks.join(root, ["item", "region"], "left").select("item", "gx", "gy", "valid", F.coalesce("root", "region").alias("region")), "regions")
 
 
 def footprint_components(mask: DataFrame, least: int) -> DataFrame:
     """mask (item, gx, gy) -> item, gx, gy, part, cells: four-connected parts of at least so many cells; part is the smallest cell's key gy * 2**20 + gx."""
-    cells = _written(regions(mask.select("item", "gx", "gy", F.lit(True).alias("valid"))), "regions")
+    cells = regions(mask.select("item", "gx", "gy", F.lit(True).alias("valid")))
     large = cells.groupBy("item", "region").agg(F.count("*").alias("cells")).where(F.col("cells") >= least)
     return cells.join(large, ["item", "region"]).select("item", "gx", "gy", F.col("region").alias("part"), "cells")
 
@@ -89,7 +140,7 @@ def absorb_specks(mask: DataFrame, least: int) -> DataFrame:
     Where that is a speck itself, its own largest neighbour is asked, and so on; two specks that are each other's
     largest neighbours stay as they are.
     """
-    cells = _written(regions(mask), "regions")
+    cells = regions(mask)
     size = _written(cells.groupBy("item", "region").agg(F.count("*").alias("cells"), F.first("valid").alias("valid")), "sizes")
     specks = size.where(F.col("cells") < least).select("item", "region")
     met = [cells.select("item", F.col("region").alias("a"), _beside(w, at, "region").alias("b")) for w, at in ((_row(), "gx"), (_column(), "gy"))]
@@ -117,7 +168,7 @@ def footprint_regions(mask: DataFrame, cell_m2: float, part_m2: float = PART_M2,
     smallest cell.
     """
     least = max(1, int(min(part_m2, hole_m2) / cell_m2))
-    cells = _written(regions(absorb_specks(mask, least)), "regions")
+    cells = regions(absorb_specks(mask, least))
     edge = cells.groupBy("item").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("gx", "gy")])
     outside = F.col("gx").isin(F.col("min_gx"), F.col("max_gx")) | F.col("gy").isin(F.col("min_gy"), F.col("max_gy"))
     size = _written(cells.join(edge, "item").groupBy("item", "region", "valid").agg(F.count("*").alias("cells"), F.max(outside).alias("open")), "sizes")
@@ -178,3 +229,98 @@ def footprint_rings(parts: DataFrame, edge: int = 2048) -> DataFrame:
     ends = [F.when(F.col(f"free{k}"), F.struct(*[e.alias(n) for e, n in zip(to, ("x0", "y0", "x1", "y1"), strict=True)])) for k, (_, to) in enumerate(sides)]
     edges = marked.select("item", "part", F.explode(F.array_compact(F.array(*ends))).alias("e")).select(F.col("item").cast("string").alias("item"), "part", "e.*")
     return edges.groupBy("item", "part").applyInPandas(_rings, "item string, part long, ring long, hole boolean, cells long, corners string")
+
+
+def simplified(rings: list[list[tuple[int, int]]], least: float) -> list[list[tuple[int, int]]]:
+    """Rings of one grid without the corners whose triangle with their neighbours is smaller than least cells, smallest first.
+
+    A corner stays where its triangle holds any other corner of any ring, so no edges come to cross and no ring leaves
+    its place; where it is one of several rings' corners, so neighbours keep touching there; and in rings of four.
+    """
+    seen: dict[tuple[int, int], int] = defaultdict(int)
+    near: dict[tuple[int, int], set] = defaultdict(set)
+    for ring in rings:
+        for p in ring:
+            seen[p] += 1
+            near[p[0] >> 3, p[1] >> 3].add(p)
+    before = [[(k - 1) % len(r) for k in range(len(r))] for r in rings]
+    after = [[(k + 1) % len(r) for k in range(len(r))] for r in rings]
+    left, gone = [len(r) for r in rings], [[False] * len(r) for r in rings]
+    turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    def corner(r: int, k: int) -> tuple:
+        return rings[r][before[r][k]], rings[r][k], rings[r][after[r][k]]
+
+    def empty(a, b, c) -> bool:
+        xs, ys = sorted((a[0], b[0], c[0])), sorted((a[1], b[1], c[1]))
+        for gx in range(xs[0] >> 3, (xs[2] >> 3) + 1):
+            for gy in range(ys[0] >> 3, (ys[2] >> 3) + 1):
+                for p in near.get((gx, gy), ()):
+                    if p not in (a, b, c) and xs[0] <= p[0] <= xs[2] and ys[0] <= p[1] <= ys[2]:
+                        sides = (turn(a, b, p), turn(b, c, p), turn(c, a, p))
+                        if min(sides) >= 0 or max(sides) <= 0:
+                            return False
+        return True
+
+    heap = [(abs(turn(*corner(r, k))) / 2, r, k) for r, ring in enumerate(rings) for k in range(len(ring))]
+    heapq.heapify(heap)
+    while heap and heap[0][0] < least:
+        area, r, k = heapq.heappop(heap)
+        if gone[r][k] or left[r] <= 4 or seen[rings[r][k]] > 1 or area != abs(turn(*corner(r, k))) / 2 or not empty(*corner(r, k)):
+            continue
+        gone[r][k] = True
+        left[r] -= 1
+        p = rings[r][k]
+        near[p[0] >> 3, p[1] >> 3].discard(p)
+        a, b = before[r][k], after[r][k]
+        after[r][a], before[r][b] = b, a
+        for n in (a, b):
+            heapq.heappush(heap, (abs(turn(*corner(r, n))) / 2, r, n))
+    return [[p for p, out in zip(ring, gone[r], strict=True) if not out] for r, ring in enumerate(rings)]
+
+
+def _simpler(least: float):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["part", "ring"])
+        rings = simplified([[tuple(map(int, p.split(","))) for p in c.split()] for c in frame["corners"]], least)
+        area = [abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1], strict=True))) / 2 for r in rings]
+        return frame.assign(cells=area, corners=[" ".join(f"{x},{y}" for x, y in r) for r in rings])[["item", "part", "ring", "hole", "cells", "corners"]]
+
+    return run
+
+
+def simplify_rings(rings: DataFrame, least: float = 1.0) -> DataFrame:
+    """rings (footprint_rings' rows) with fewer corners: item, part, ring, hole, cells double (the area now), corners.
+
+    See simplified: nothing crosses, nothing that touched parts, and each corner that goes changes the area by less than
+    `least` cells. The rings of one grid, which footprint_rings bounds, are in one task, as they must not cross.
+    """
+    return rings.groupBy("item").applyInPandas(_simpler(least), "item string, part long, ring long, hole boolean, cells double, corners string")
+
+
+def footprint_areas(rings: DataFrame) -> DataFrame:
+    """item, area in cells of all its rings, holes taken off."""
+    return rings.groupBy("item").agg(F.sum(F.when(F.col("hole"), -F.col("cells")).otherwise(F.col("cells"))).cast("double").alias("area"))
+
+
+def footprint_accept(counts: DataFrame, rings: DataFrame, ratio: float = 0.5) -> DataFrame:
+    """item, shape: `rings`, or `bbox` where all cells are valid or none, or the rings hold less than ratio of the valid area.
+
+    counts: item, n_valid, n_cells; rings in the same cells. Items without rings keep their box.
+    """
+    area = F.coalesce("area", F.lit(0.0))
+    box = (F.col("n_valid") == 0) | (F.col("n_valid") == F.col("n_cells")) | (area < ratio * F.col("n_valid"))
+    return counts.join(footprint_areas(rings), "item", "left").select("item", F.when(box, "bbox").otherwise("rings").alias("shape"))
+
+
+def rings_to_degrees(rings: DataFrame, grids: DataFrame) -> DataFrame:
+    """rings with corners in degrees: item, part, ring, hole, points array<struct<lon, lat>> in order; null for unsupported codes.
+
+    grids: item, epsg and the geotransform gt0..gt5 of the cells.
+    """
+    at = rings.select("item", "part", "ring", "hole", F.posexplode(F.split("corners", " ")).alias("k", "p")).join(grids, "item")
+    c, r = F.split_part("p", F.lit(","), F.lit(1)).cast("double"), F.split_part("p", F.lit(","), F.lit(2)).cast("double")
+    plane = at.withColumns({"x": F.col("gt0") + c * F.col("gt1") + r * F.col("gt2"), "y": F.col("gt3") + c * F.col("gt4") + r * F.col("gt5")})
+    placed = to_degrees(plane.select("item", "part", "ring", "hole", "k", "x", "y", "epsg"))
+    ordered = F.array_sort(F.collect_list(F.struct("k", "lon", "lat")))
+    return placed.groupBy("item", "part", "ring", "hole").agg(F.transform(ordered, lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("points"))

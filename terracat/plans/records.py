@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from terracat.functions import projections as J
 from terracat.operators import classify as C
-from terracat.operators import footprints as FP
 from terracat.operators import grids as G
 from terracat.operators import profile as P
 from terracat.operators import records as R
@@ -145,12 +144,6 @@ add("raster_hillshade", "CELLS", lambda c: G.raster_hillshade(c.withColumn("item
 add("sample_every_nth", "POINTS", lambda p: G.sample_every_nth(p, 500, "cast(floor(gps_time / 1000) as bigint)", ["gps_time", "x", "y", "z", "price"]).select("item", "x", "y", "z"), "select item, x, y, z from (select *, greatest(count(*) over (partition by item) // 500, 1) as step, row_number() over (partition by item, floor(gps_time / 1000) order by gps_time, x, y, z, price) as rn from v_points) where rn % step = 0")
 add("sample_grid_thin", "POINTS", lambda p: G.sample_grid_thin(p, 25.0), "select item, m.z as z, m.x as x, m.y as y from (select item, min(struct_pack(z := z, x := x, y := y)) as m from v_points group by item, floor(x / 25), floor(y / 25))")
 add("sample_stratified_seeded", "FILES", lambda f: _prods(f).groupBy(_campaign().alias("campaign"), "category").agg(F.min(F.struct(F.md5(F.concat_ws("|", F.lit("17"), "parent", "name")).alias("h"), "parent", "name")).alias("m")).select("campaign", "category", "m.parent", "m.name"), f"select {_CAMPAIGN} as campaign, category, arg_min(parent, md5('17|' || parent || '|' || name)) as parent, arg_min(name, md5('17|' || parent || '|' || name)) as name from prods group by 1, 2")
-_mask = lambda c: c.select(F.floor(F.col("row") / 64).cast("string").alias("item"), F.col("col").alias("gx"), F.col("row").alias("gy"), "valid")
-add("footprint_components", "CELLS", lambda c: FP.footprint_components(_mask(c.where("valid")), 3))
-add("footprint_rings", "CELLS", lambda c: FP.footprint_rings(FP.footprint_regions(_mask(c), cell_m2=500.0)))
-_kept = lambda c: P.mask_majority_coarsen(c).groupBy("item").agg((16 * F.count_if("valid")).alias("area"))
-add("footprint_accept", "CELLS", lambda c: P.valid_percent(c).join(_kept(c), "item").select("item", F.when((F.col("valid_count") == 0) | (F.col("valid_percent") == 100) | (F.col("area") < F.col("valid_count") * 0.5), "bbox").otherwise("rings").alias("shape")), "select item, case when n = 0 or n = m or a < 0.5 * n then 'bbox' else 'rings' end as shape from (select item, count(*) filter (valid) as n, count(*) as m from v_cells group by 1) join (select item, 16 * count(*) filter (ok) as a from (select item, row // 4, col // 4, count(*) filter (valid) >= 8 as ok from v_cells group by 1, 2, 3) group by 1) using (item)")
-
 # Upkeep
 _print = S.file_fingerprint
 _group = lambda d: _print(d).withColumn("group", F.regexp_extract("path", "^(.*)/[^/]*$", 1))

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from terracat.plans import catalog, discovery, records, upkeep  # noqa: F401
+from terracat.plans import catalog, discovery, footprints, records, upkeep  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

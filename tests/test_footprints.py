@@ -93,3 +93,51 @@ def test_edges(spark):
     wide = spark.createDataFrame([("a", 0, 0, 1), ("a", 3000, 0, 1)], "item string, gx long, gy long, part long")
     with pytest.raises(Exception, match="cells on a side"):
         P.footprint_rings(wide).collect()
+
+
+def test_blocks_meet(spark):
+    """Regions over many small blocks are those of the whole grid."""
+    rng = random.Random(8)
+    at = {(x, y): rng.random() < 0.6 for x in range(40) for y in range(33)}
+    mask = spark.createDataFrame([("a", x, y, v) for (x, y), v in at.items()], SCHEMA)
+    assert {(r.gx, r.gy): r.region for r in P.regions(mask, block=8).collect()} == plain_regions(at)
+
+
+def crossing(a, b, c, d):
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    return turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0
+
+
+def test_simplified(spark):
+    """Fewer corners; nothing crosses; parts that touch still do; areas move by less than a cell a corner."""
+    rng = random.Random(11)
+    noisy = lambda x, y: (x - 20) ** 2 + (y - 20) ** 2 < (14 + rng.random() * 2) ** 2 and (x - 20) ** 2 + (y - 20) ** 2 > 16
+    mask = spark.createDataFrame([("a", x, y, noisy(x, y) or (x > 34 and y > 34)) for x in range(41) for y in range(41)] + [("b", x, y, rng.random() < 0.6) for x in range(25) for y in range(25)], SCHEMA)
+    parts = P.regions(mask).where("valid").selectExpr("item", "gx", "gy", "region as part")
+    before, after = P.footprint_rings(parts).collect(), P.simplify_rings(P.footprint_rings(parts), 1.5).collect()
+    points = lambda r: [tuple(map(int, p.split(","))) for p in r.corners.split()]
+    old, new = ({(r.item, r.part, r.ring): points(r) for r in rows} for rows in (before, after))
+    assert old.keys() == new.keys() and sum(map(len, new.values())) < 0.8 * sum(map(len, old.values()))
+    area = {(r.item, r.part, r.ring): r.cells for r in before}
+    for r in after:
+        k = (r.item, r.part, r.ring)
+        assert set(new[k]) <= set(old[k]) and abs(r.cells - area[k]) <= 1.5 * (len(old[k]) - len(new[k])) and r.cells > 0
+    for item in "ab":
+        edges = [e for k, ring in new.items() if k[0] == item for e in zip(ring, ring[1:] + ring[:1], strict=True)]
+        assert not any(crossing(*e, *f) for n, e in enumerate(edges) for f in edges[:n])
+        times = lambda rings: {p for k, ring in rings.items() if k[0] == item for p in ring if sum(q == p for o, s in rings.items() if o[0] == item for q in s) > 1}  # noqa: B023, E731
+        assert times(old) == times(new)
+
+
+def test_accept(spark):
+    counts = spark.createDataFrame([("all", 4, 4), ("none", 0, 4), ("few", 100, 400), ("good", 100, 400), ("lost", 9, 400)], "item string, n_valid long, n_cells long")
+    rings = spark.createDataFrame([("all", 1, 0, False, 4.0, ""), ("few", 1, 0, False, 60.0, ""), ("few", 1, 1, True, 11.0, ""), ("good", 1, 0, False, 50.0, "")], "item string, part long, ring long, hole boolean, cells double, corners string")
+    assert {r.item: r["shape"] for r in P.footprint_accept(counts, rings).collect()} == {"all": "bbox", "none": "bbox", "few": "bbox", "good": "rings", "lost": "bbox"}
+
+
+def test_degrees(spark):
+    rings = spark.createDataFrame([("a", 1, 0, False, 16.0, "0,0 4,0 4,4 0,4"), ("u", 1, 0, False, 1.0, "0,0 1,0 1,1 0,1")], "item string, part long, ring long, hole boolean, cells double, corners string")
+    grids = spark.createDataFrame([(i, e, -53000.0, 25.0, 0.0, 340000.0, 0.0, -25.0) for i, e in (("a", 31256), ("u", 1))], "item string, epsg int, gt0 double, gt1 double, gt2 double, gt3 double, gt4 double, gt5 double")
+    got = {r["item"]: r.points for r in P.rings_to_degrees(rings, grids).collect()}
+    assert len(got["a"]) == 4 and all(15.6 < p.lon < 15.7 and 48.1 < p.lat < 48.3 for p in got["a"]) and got["a"][0].lon < got["a"][1].lon and got["a"][1].lat > got["a"][2].lat
+    assert got["u"][0].lon is None
