@@ -36,11 +36,17 @@ def _accepted(cells: DataFrame) -> DataFrame:
 
 
 def _labelled(name: str, cells: str) -> str:
-    """CTEs {name}_e (links of neighbours of one kind) and {name} (item, k, valid, region) of cells (item, k, valid)."""
-    steps = " union all ".join(f"select a.item, a.k as a, b.k as b from {cells} a join {cells} b on b.item = a.item and b.k = a.k + {d} and b.valid = a.valid" for d in (1, -1, 1048576, -1048576))
-    return f"""{name}_e as materialized ({steps}),
-      {name}_l(k, region) using key (k) as (select k, k from {cells} union select e.b, min(l.region) from {name}_l l join {name}_e e on e.a = l.k join recurring.{name}_l o on o.k = e.b where l.region < o.region group by e.b),
-      {name} as materialized (select c.item, c.k, c.valid, l.region from {cells} c join {name}_l l using (k))"""
+    """CTE {name} (item, k, valid, region) of whole grids of 64 columns in cells (item, k, valid).
+
+    Each item is a list of its cells. A step takes for each cell the least label of itself and its neighbours of its
+    kind, then the label of the cell that the label names, until none falls.
+    """
+    near = " ".join(f", case when {inside} and v[i + {d}] = v[i + 1] then l[i + {d}] else l[i + 1] end" for d, inside in ((0, "i % 64 > 0"), (2, "i % 64 < 63"), (-63, "i > 63"), (65, "true")))
+    return f"""{name} as materialized (with recursive g(item, base, step, v, l) as (
+        select item, min(k), 0, list(valid order by k), range(count(*)) from {cells} group by item
+        union all select item, base, step + 1, v, n from (select *, list_transform(m, lambda t: m[t + 1]) as n from (select *, list_transform(range(len(l)), lambda i: least(l[i + 1]{near})) as m from g)) where n <> l),
+      done as (select item, any_value(base) as base, any_value(v) as v, arg_max(l, step) as l from g group by item)
+      select item, base + i // 64 * 1048576 + i % 64 as k, v[i + 1] as valid, base + l[i + 1] // 64 * 1048576 + l[i + 1] % 64 as region from (select *, unnest(range(len(l))) as i from done))"""
 
 
 _VALID = "valid"
@@ -49,13 +55,13 @@ _THIN = "valid and (row // 64 % 3 <> 1 or (row + col) % 3 = 0)"
 
 def _parts(valid: str) -> str:
     """CTEs up to kept (item, k, part): specks absorbed, small parts dropped, small holes filled."""
-    return f"""recursive m0 as materialized (select cast(row // 64 as varchar) as item, row * 1048576 + col as k, {valid} as valid from v_cells),
+    return f"""m0 as materialized (select cast(row // 64 as varchar) as item, row * 1048576 + col as k, {valid} as valid from v_cells),
       {_labelled('r0', 'm0')},
       s0 as materialized (select item, region, count(*) as n, any_value(valid) as valid from r0 group by 1, 2),
-      met as (select distinct a.item, a.region as a, b.region as b from r0 a join r0 b on b.item = a.item and b.k in (a.k + 1, a.k - 1, a.k + 1048576, a.k - 1048576) and b.region <> a.region),
+      met as (select distinct a.item, a.region as a, b.region as b from (select item, region, unnest([k + 1, k - 1, k + 1048576, k - 1048576]) as k from r0) a join r0 b on b.item = a.item and b.k = a.k and b.region <> a.region),
       asks as (select m.item, m.a as region, arg_max(m.b, struct_pack(n := t.n, k := -m.b)) as goes from met m join s0 s on s.item = m.item and s.region = m.a and s.n < 2 join s0 t on t.item = m.item and t.region = m.b group by 1, 2),
       clear as materialized (select * from asks a where not exists (select 1 from asks b where b.item = a.item and b.region = a.goes and b.goes = a.region)),
-      chain(item, region, goes) as (select * from clear union select c.item, c.region, n.goes from chain c join clear n on n.item = c.item and n.region = c.goes),
+      chain as materialized (with recursive c(item, region, goes) as (select * from clear union select c.item, c.region, n.goes from c join clear n on n.item = c.item and n.region = c.goes) select * from c),
       told as (select c.item, c.region, s.valid from chain c join s0 s on s.item = c.item and s.region = c.goes where not exists (select 1 from clear n where n.item = c.item and n.region = c.goes)),
       m1 as materialized (select r.item, r.k, coalesce(t.valid, r.valid) as valid from r0 r left join told t on t.item = r.item and t.region = r.region),
       {_labelled('r1', 'm1')},
