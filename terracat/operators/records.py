@@ -18,6 +18,7 @@ TIFF, COG = "image/tiff; application=geotiff", "image/tiff; application=geotiff;
 EXTENSIONS = {
     "proj": "https://stac-extensions.github.io/projection/v2.0.0/schema.json", "pc": "https://stac-extensions.github.io/pointcloud/v2.0.0/schema.json",
     "raster": "https://stac-extensions.github.io/raster/v2.0.0/schema.json", "file": "https://stac-extensions.github.io/file/v2.1.0/schema.json",
+    "eo": "https://stac-extensions.github.io/eo/v2.0.0/schema.json",
 }
 #: Seconds: GPS epoch on the Unix clock, the offset of adjusted GPS time, a week, a day. Days: how far a time may lie off its campaign.
 GPS_EPOCH, ADJUSTED, WEEK, DAY, DRIFT = 315_964_800, 1_000_000_000, 604_800, 86_400, 14

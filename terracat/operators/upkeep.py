@@ -95,11 +95,6 @@ def hash_files(listed: DataFrame, stored: DataFrame, folder: str) -> DataFrame:
     return opened.unionByName(sizes.where("length <> old").select("path", F.lit("size").alias("gate")))
 
 
-def gate_refresh_properties(overlay: Column, props: Column) -> Column:
-    """True if the overlay says something that the item does not."""
-    return F.exists(F.map_entries(overlay), lambda e: ~F.try_element_at(props, e["key"]).eqNullSafe(e["value"]))
-
-
 def set_member_change(now: DataFrame, before: DataFrame) -> DataFrame:
     """group, changed: whether members came, went or were altered. No group is gathered in one place."""
     a = now.select("group", "path", F.col("checksum").alias("is"))
@@ -222,7 +217,10 @@ def max_listed(names: DataFrame, most: int = 3) -> DataFrame:
     """names (dir, name): the first names of each directory and how many more there are, without gathering the rest."""
     from pyspark.sql.window import Window
 
-    ranked = names.withColumn("rn", F.row_number().over(Window.partitionBy("dir").orderBy("name"))).where(F.col("rn") <= most)
+    # The first names of parts of a directory, then of those: a large directory is dealt over many tasks.
+    first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("name"))
+    few = names.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(64))).withColumn("rn", first("dir", "part")).where(F.col("rn") <= most)
+    ranked = few.withColumn("rn", first("dir")).where(F.col("rn") <= most)
     shown = ranked.groupBy("dir").agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("shown"))
     total = names.groupBy("dir").agg(F.count("*").alias("n"))
     more = F.when(F.col("n") > most, F.concat(F.col("shown"), F.lit(" ("), (F.col("n") - most).cast("string"), F.lit(" more)"))).otherwise(F.col("shown"))

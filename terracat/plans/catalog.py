@@ -113,6 +113,5 @@ add("root_extent_union", "ITEMS", S.root_extent_union, "select min(x0) as x0, mi
 add("collection_summary_sets", "ITEMS", lambda i: S.collection_summary_sets(i, "grp"), "select collection, array_to_string(list_sort(array_agg(distinct grp)), ',') as distinct_values from v_items group by 1")
 add("collection_summary_ranges", "ITEMS", lambda i: S.collection_summary_ranges(i, "points"), "select collection, min(points) as vmin, max(points) as vmax from v_items group by 1")
 add("summary_rollup", "ITEMS", lambda i: S.summary_rollup(i.withColumn("points", F.floor("points"))), "select collection, grp, cast(grouping(collection, grp) as int) as level, count(*) as n, cast(sum(floor(points)) as bigint) as points from v_items group by rollup(collection, grp)")
-add("filter_min_points", "ITEMS", lambda i: i.where("points is null or points >= 1000").select("item"), "select item from v_items where points is null or points >= 1000")
 add("dir_own_stats", "PATHS", S.dir_own_stats, "select regexp_extract(path, '^(.*)/[^/]*$', 1) as dir, case when regexp_extract(regexp_extract(path, '([^/]*)$', 1), '(\\.[^.]+)$', 1) = '' then '(no ext)' else lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '(\\.[^.]+)$', 1)) end as ext, count(*) as files, cast(sum(size) as bigint) as bytes from v_paths group by 1, 2")
 add("dir_subtree_size", "PATHS", S.dir_subtree_size, "select array_to_string(p[1:k], '/') as dir, cast(sum(size) as bigint) as bytes, count(*) as files from (select string_split(path, '/') as p, size, unnest(range(1, len(string_split(path, '/')))) as k from v_paths) group by 1")

@@ -28,12 +28,6 @@ add(
     lambda f: D.campaigns(f.select(F.split("parent", "/")[1].alias("dir")).distinct(), output="1993-01-01").select("dir", F.col("date").cast("string").alias("date")),
     "select distinct string_split(parent, '/')[2] as dir, string_split(parent, '/')[2] as date from v_files where string_split(parent, '/')[2] <> '1993-01-01'",
 )
-add(
-    "scan_only_glob",
-    "FILES",
-    lambda f: D.only_campaigns(f, F.split("parent", "/")[1], "199[5-7]-*").select("parent", "name"),
-    "select parent, name from v_files where string_split(parent, '/')[2] between '1995' and '1998'",
-)
 add(
     "filter_exclude_globs",
     "FILES",

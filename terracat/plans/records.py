@@ -29,10 +29,8 @@ def _native():
 
 
 _NATIVE = "case when kind = 'pcl' then ext = '.copc.laz' else regexp_matches(lower(name), '_cog[._]') end"
-add("flag_cloud_native", "FILES", lambda f: _prods(f).select("parent", "name", _native().alias("native")), f"select parent, name, {_NATIVE} as native from prods")
 _MEDIA = f"case label when 'pointcloud_copc' then 'application/vnd.laszip+copc' when 'pointcloud' then 'application/vnd.laszip' when 'pointcloud_las' then 'application/vnd.las' else case when {_NATIVE} then 'image/tiff; application=geotiff; profile=cloud-optimized' else 'image/tiff; application=geotiff' end end"
 add("media_type_select", "FILES", lambda f: _prods(f).select("parent", "name", R.media_type(F.col("label"), _native()).alias("media")), f"select parent, name, {_MEDIA} as media from prods")
-add("join_shape_check", "FILES", lambda f: _prods(f).select("parent", "name", F.when(F.col("length") % 13 != 0, R.media_type(F.col("label"), _native())).alias("stored"), R.media_type(F.col("label"), _native()).alias("listed")).where(~F.col("stored").eqNullSafe(F.col("listed"))).select("parent", "name"), "select parent, name from prods where length % 13 = 0")
 def _long():
     return F.concat_ws("_", "item", F.when(F.col("length") % 2 == 0, F.col("length").cast("string")))
 
@@ -40,14 +38,13 @@ def _long():
 add("item_title", "FILES", lambda f: C.tile_group_assign(C.twin_dedupe(_prods(f))).select("parent", "name", R.item_title(F.col("group"), _long(), F.col("category"), F.col("label"), _campaign()).alias("title")), f"select parent, name, case when grp is not null and length % 2 = 0 and regexp_matches(item, '_\\d+$') then category || ' tile ' || regexp_extract(item, '_(\\d+)$', 1) || '_' || length else replace(label, '_', ' ') || ' ' || {_CAMPAIGN} end as title from grouped")
 add("group_title", "FILES", lambda f: U.group_title(C.tile_group_assign(C.twin_dedupe(_prods(f))).where("group is not null")), "select grp as \"group\", case when count(distinct category) = 1 then min(category) || ' tiles' else grp end as title from grouped where grp is not null group by 1")
 add("band_name", "BANDS", lambda b: R.band_name(b).select("item", "band", "name", "common_name"), "select item, band, coalesce(description, case when color <> 'undefined' and not (color = 'gray' and n = 1) then color end, case when n > 1 then 'band' || band end) as name, case when color in ('red', 'green', 'blue', 'nir') then color end as common_name from (select *, count(*) over (partition by item) as n from v_bands)")
-add("band_field_prune", "BANDS", lambda b: b.select("item", "band", F.to_json(F.struct(F.nullif("scale", F.lit(1.0)).alias("scale"), F.nullif("off", F.lit(0.0)).alias("offset"))).alias("fields")), "select item, band, case when scale <> 1 and off <> 0 then '{\"scale\":' || scale || ',\"offset\":' || off || '}' when scale <> 1 then '{\"scale\":' || scale || '}' when off <> 0 then '{\"offset\":' || off || '}' else '{}' end as fields from v_bands")
 add("json_safe_numbers", "BANDS", lambda b: b.select("item", "band", R.finite(F.col("nodata")).alias("number"), R.nodata_text(F.col("nodata")).alias("nodata")), "select item, band, case when isfinite(nodata) then round(nodata, 4) end as number, case when isnan(nodata) then 'nan' when nodata = 'Infinity'::double then 'inf' when nodata = '-Infinity'::double then '-inf' else cast(round(nodata, 4) as varchar) end as nodata from v_bands")
 add("band_hoist_shared", "BANDS", lambda b: R.band_hoist_shared(b, ["data_type", "color"]), "select item, key, min(value) as value from (select item, unnest(['data_type', 'color']) as key, unnest([data_type, color]) as value, count(*) over (partition by item) as n from v_bands) group by 1, 2 having count(distinct value) = 1")
 def _keys():
-    return F.array(F.lit("proj:code"), F.when(F.col("points") > 1e5, "pc:count"), F.when(F.col("x0") > 50, "file:size"), F.lit("title"))
+    return F.array(F.lit("proj:code"), F.when(F.col("points") > 1e5, "pc:count"), F.when(F.col("x0") > 50, "file:size"), F.when(F.col("y0") > 500, "eo:common_name"), F.lit("title"))
 
 
-add("extension_declare", "ITEMS", lambda i: i.select("item", F.array_join(R.extension_declare(F.filter(_keys(), lambda k: k.isNotNull())), " ").alias("uris")), "select item, concat_ws(' ', case when x0 > 50 then 'https://stac-extensions.github.io/file/v2.1.0/schema.json' end, case when points > 100000 then 'https://stac-extensions.github.io/pointcloud/v2.0.0/schema.json' end, 'https://stac-extensions.github.io/projection/v2.0.0/schema.json') as uris from v_items")
+add("extension_declare", "ITEMS", lambda i: i.select("item", F.array_join(R.extension_declare(F.filter(_keys(), lambda k: k.isNotNull())), " ").alias("uris")), "select item, concat_ws(' ', case when y0 > 500 then 'https://stac-extensions.github.io/eo/v2.0.0/schema.json' end, case when x0 > 50 then 'https://stac-extensions.github.io/file/v2.1.0/schema.json' end, case when points > 100000 then 'https://stac-extensions.github.io/pointcloud/v2.0.0/schema.json' end, 'https://stac-extensions.github.io/projection/v2.0.0/schema.json') as uris from v_items")
 add("native_bbox", "ITEMS", lambda i: R.native_bbox(i.selectExpr("item", "x0 as gt0", "25e0 as gt1", "3e0 as gt2", "y0 as gt3", "-2e0 as gt4", "-25e0 as gt5", "x1 as width", "y1 as height")).select("item", "xmin", "ymin", "xmax", "ymax"), "select item, x0 as xmin, x0 + 25 * x1 + 3 * y1 as xmax, y0 - 2 * x1 - 25 * y1 as ymin, y0 as ymax from v_items")
 _BOXES = """select item, cast(case item % 5 when 0 then 31256 when 1 then 3857 when 2 then 25833 when 3 then 31467 else 31287 end as int) as epsg,
   case item % 5 when 0 then x0 * 50 - 60000 when 1 then x0 * 1000 when 2 then 450000 + x0 * 100 else 3480000 + x0 * 50 end as x0,
@@ -107,7 +104,6 @@ def _overlay():
 
 _props = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
 add("properties_overlay", "ITEMS", lambda i: i.select("item", _props(_overlay()).alias("props")), "select item, concat_ws(';', case when y0 % 3 <> 0 then 'a=' || grp end, 'b=' || case when x0 % 2 = 0 then 'L' else collection end, case when y0 % 3 = 0 then 'c=I' when x0 % 2 = 0 then 'c=C' end) as props from v_items")
-add("gate_refresh_properties", "ITEMS", lambda i: i.select("item", U.gate_refresh_properties(_overlay(), _map(("a", F.col("grp")), ("b", F.col("collection")), ("c", F.lit("I")))).alias("refresh")), "select item, x0 % 2 = 0 as refresh from v_items")
 
 
 add("ext_new_product_types", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession).unionByName(f.sparkSession.createDataFrame([(99, "report", [], [], [".txt"])], "ord int, label string, require array<string>, forbid array<string>, extensions array<string>"))).where("label = 'report'").select("parent", "name"), "select parent, name from v_files where ends_with(lower(name), '.txt')")
@@ -127,7 +123,6 @@ add("overlap_patterns", "FILES", lambda f: R.overlap_patterns(_ids(f), _placemen
 add("anti_unused_keys", "FILES", lambda f: R.anti_unused_keys(_ids(f), _placement(f)), f"select key from (values ('*_DTM_1?'), ('*dsm*'), ('*_1*'), ('zzz*'), ('p_dtm_5'), ('p_dtm_15'), ('p_none')) t(key) where not case key when '*_DTM_1?' then (select bool_or(a) from {_MET}) when '*dsm*' then (select bool_or(b) from {_MET}) when '*_1*' then (select bool_or(c) from {_MET}) else key in (select item from prods) end")
 _recorded = lambda c: P.band_stats(c).select("item", (F.col("vmax") * (1 + F.col("item") * 4e-5)).alias("recorded"))
 add("join_recorded_vs_actual", "CELLS", lambda c: R.join_recorded_vs_actual(_recorded(c), P.band_stats(c).select("item", F.col("vmax").alias("actual")), ["item"]).select("item", "agrees"), "select item, abs(m * (1 + item * 4e-5) - m) <= greatest(1e-4 * abs(m * (1 + item * 4e-5)), 5e-5) as agrees from (select item, round(max(value), 4) as m from v_cells where valid group by 1)")
-add("map_dim_names", "BANDS", lambda b: b.select(F.col("description").alias("a")).where("a is not null").distinct().select("a", R.dim_key(F.concat(F.lit("__"), F.upper("a"))).alias("dim")), "select distinct description as a, replace(lower(description), ' ', '') as dim from v_bands where description is not null")
 add("flag_bits_compose", "POINTS", lambda p: p.select("item", *[(F.col("x").cast("long") % k == 0).cast("int").alias(f"f{k}") for k in (2, 3, 5, 7)]).groupBy("item", F.col("f2").bitwiseOR(F.shiftleft("f3", 1)).bitwiseOR(F.shiftleft("f5", 2)).bitwiseOR(F.shiftleft("f7", 3)).alias("flags")).agg(F.count("*").alias("n")), "select item, cast((x % 2 = 0)::int + 2 * (x % 3 = 0)::int + 4 * (x % 5 = 0)::int + 8 * (x % 7 = 0)::int as int) as flags, count(*) as n from v_points group by 1, 2")
 
 # Grids
@@ -143,12 +138,10 @@ _SHADE = """with recursive c as (select cast(floor(row / 64) as bigint) as item,
 add("raster_hillshade", "CELLS", lambda c: G.raster_hillshade(c.withColumn("item", F.floor(F.col("row") / 64))), f"select * from ({_SHADE})")
 add("sample_every_nth", "POINTS", lambda p: G.sample_every_nth(p, 500, "cast(floor(gps_time / 1000) as bigint)", ["gps_time", "x", "y", "z", "price"]).select("item", "x", "y", "z"), "select item, x, y, z from (select *, greatest(count(*) over (partition by item) // 500, 1) as step, row_number() over (partition by item, floor(gps_time / 1000) order by gps_time, x, y, z, price) as rn from v_points) where rn % step = 0")
 add("sample_grid_thin", "POINTS", lambda p: G.sample_grid_thin(p, 25.0), "select item, m.z as z, m.x as x, m.y as y from (select item, min(struct_pack(z := z, x := x, y := y)) as m from v_points group by item, floor(x / 25), floor(y / 25))")
-add("sample_stratified_seeded", "FILES", lambda f: _prods(f).groupBy(_campaign().alias("campaign"), "category").agg(F.min(F.struct(F.md5(F.concat_ws("|", F.lit("17"), "parent", "name")).alias("h"), "parent", "name")).alias("m")).select("campaign", "category", "m.parent", "m.name"), f"select {_CAMPAIGN} as campaign, category, arg_min(parent, md5('17|' || parent || '|' || name)) as parent, arg_min(name, md5('17|' || parent || '|' || name)) as name from prods group by 1, 2")
 # Upkeep
 _print = S.file_fingerprint
 _group = lambda d: _print(d).withColumn("group", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
 add("sink_orphan_files", ("PREV", "CONTENT"), lambda a, b: b.select("path").exceptAll(a.select("path")), "select path from v_content except all select path from v_prev")
-add("sink_run_report", ("CONTENT", "PREV"), lambda a, b: S.run_counts(S.join_snapshot_diff(_print(a), _print(b))).select(F.to_json(F.struct("campaign", "n_new", "n_stale")).alias("report")), "select '{\"campaign\":\"' || split_part(coalesce(a.path, b.path), '/', 2) || '\",\"n_new\":' || count(*) filter (b.path is null) || ',\"n_stale\":' || count(*) filter (a.path is null) || '}' as report from v_content a full join v_prev b on a.path = b.path group by split_part(coalesce(a.path, b.path), '/', 2)")
 add("set_member_change", ("CONTENT", "PREV"), lambda a, b: U.set_member_change(_group(a), _group(b)), "select regexp_extract(coalesce(a.path, b.path), '^(.*)/[^/]*$', 1) as \"group\", bool_or(a.content is distinct from b.content or a.path is null or b.path is null) as changed from v_content a full join v_prev b on a.path = b.path group by 1")
 add("set_extent_children", "ITEMS", U.set_extent_children, "select collection, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, min(start) as t0, max(start) as t1, count(*) as n_items from (select * from v_items union all select * replace (collection || '/' || grp as collection) from v_items) group by 1")
 _stamped = lambda b: _print(b).withColumns({"created": F.lit("2020-01-01").cast("date"), "updated": F.lit("2021-01-01").cast("date")})
@@ -158,11 +151,9 @@ def _moments():
 
 
 add("restate_masked_moments", "CELLS", lambda c: P.band_stats(c).join(P.valid_percent(c), "item").select("item", F.round(_moments()[0], 3).alias("mean"), F.round(_moments()[1], 3).alias("sd")), "select item, round(m / p, 3) as mean, round(sqrt(greatest((s * s + m * m) / p - m / p * (m / p), 0)), 3) as sd from (select item, round(avg(value) filter (valid), 4) as m, round(stddev_pop(value) filter (valid), 4) as s, round(100.0 * count(*) filter (valid) / count(*), 4) / 100 as p from v_cells group by 1)")
-add("restate_time", "ITEMS", lambda i: S.collection_extent(i.withColumn("start", F.when(F.col("points") > 2e5, F.date_add("start", 7)).otherwise(F.col("start")))).select("collection", "t0", "t1"), "select collection, min(s) as t0, max(s) as t1 from (select collection, case when points > 200000 then start + 7 else start end as s from v_items) group by 1")
 _tiles = lambda p: P.tile_assign_points(p, 25.0)
 _TILES = "select cast(floor((x - ox) / 25) as bigint) as tile_col, cast(floor((y - oy) / 25) as bigint) as tile_row, count(*) as n from v_points cross join (select min(x) - 0.0005 as ox, min(y) - 0.0005 as oy from v_points) group by 1, 2"
 add("skip_existing_outputs", "POINTS", lambda p: _tiles(p).join(_tiles(p).where("n % 2 = 0").select("tile_col", "tile_row"), ["tile_col", "tile_row"], "left_anti"), f"select * from ({_TILES}) where n % 2 = 1")
-add("anti_stale_outputs", "POINTS", lambda p: P.tile_assign_points(p, 2.0).select("tile_col", "tile_row").join(P.tile_assign_points(p, 2.0).where("n > 12"), ["tile_col", "tile_row"], "left_anti"), f"select tile_col, tile_row from ({_TILES.replace('/ 25)', '/ 2)')}) where n <= 12")
 add("tile_runt_merge", "POINTS", lambda p: U.tile_runt_merge(_tiles(p).selectExpr("'all' as dataset", "format_string('t_%03d_%03d', tile_col, tile_row) as name", "n as size", "tile_col as col", "tile_row as row"), 50))
 _OWN = ORACLES["dir_own_stats"].replace("with ", "", 1)
 _dirs = lambda p: S.dir_own_stats(p)

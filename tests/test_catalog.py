@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from terracat.plans import catalog, discovery, footprints, records, settings, upkeep  # noqa: F401
+from terracat.plans import catalog, discovery, footprints, records, rules, settings, upkeep  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
