@@ -72,6 +72,16 @@ def match_pattern(files: DataFrame, patterns: DataFrame) -> DataFrame:
     return files.withColumns(tokens).select(*own, F.inline(F.array(best)).alias("order_", "label", "matched_ext")).drop("order_")
 
 
+def match_label_join(matched: DataFrame, labels: DataFrame) -> DataFrame:
+    """matched (label, ...) + category, kind of labels (a few rows); files of no label or of one in no registry are `unknown`."""
+    return matched.join(F.broadcast(labels), "label", "left").withColumn("category", F.coalesce("category", F.lit("unknown")))
+
+
+def point_encoding(ext: Column) -> Column:
+    """How a point cloud is stored: `copc`, or its last extension."""
+    return F.when(ext == ".copc.laz", "copc").otherwise(F.substring_index(ext, ".", -1))
+
+
 def item_id(stem: Column) -> Column:
     """Tokens of the stem without the marker `cog` of any case; order and case stay."""
     return F.array_join(F.filter(F.split(stem, "_"), lambda t: F.lower(t) != "cog"), "_")
@@ -115,6 +125,12 @@ def twin_superseded(prods: DataFrame) -> DataFrame:
     return prods.withColumn("rn", F.row_number().over(w)).withColumn("winner", F.first("name").over(w)).where("rn > 1").select("parent", "name", "winner")
 
 
+def twin_ext_mix(prods: DataFrame) -> DataFrame:
+    """Items whose files in one directory have several extensions that are not cloud native: parent, category, item, n_ext."""
+    plain = F.countDistinct(F.when(F.col("ext") != ".copc.laz", F.col("ext")))
+    return prods.groupBy("parent", "category", F.lower("item").alias("item")).agg(plain.alias("n_ext")).where("n_ext > 1")
+
+
 def tile_group_assign(winners: DataFrame, root: Column | None = None) -> DataFrame:
     """Several products of one category in one directory below the campaign's root form a group, named after the way
     from the root. root: that of each row; by default the path up to the first directory with a date."""

@@ -83,16 +83,21 @@ def occupancy_grid(points: DataFrame, cells: int = 2048, least: float = 6.0) ->
     return points.join(ext, "item").select("item", g("x", "x0").alias("gx"), g("y", "y0").alias("gy")).distinct()
 
 
+def tile_origin(points: DataFrame, beside: float = 0.0005) -> DataFrame:
+    """ox, oy: a little beside the least coordinates, so that no point lies on a tile's edge there."""
+    return points.agg((F.min("x") - beside).alias("ox"), (F.min("y") - beside).alias("oy"))
+
+
 def tile_assign_points(points: DataFrame, size: float = 500.0) -> DataFrame:
     """Points of each tile; the origin lies 0.0005 below the least coordinates, so that no value lies on an edge."""
-    origin = points.agg((F.min("x") - 0.0005).alias("ox"), (F.min("y") - 0.0005).alias("oy"))
+    origin = tile_origin(points)
     at = points.crossJoin(F.broadcast(origin))  # one row
     return at.groupBy(F.floor((F.col("x") - F.col("ox")) / size).alias("tile_col"), F.floor((F.col("y") - F.col("oy")) / size).alias("tile_row")).agg(F.count("*").alias("n"))
 
 
 def tile_assign_buffer(points: DataFrame, size: float = 500.0, buffer: float = 20.0) -> DataFrame:
     """As above, but points within the buffer of a neighbour also belong to it."""
-    origin = points.agg((F.min("x") - 0.0005).alias("ox"), (F.min("y") - 0.0005).alias("oy"))
+    origin = tile_origin(points)
     at = points.crossJoin(F.broadcast(origin))
     span = lambda v, o: F.sequence(F.floor((F.col(v) - buffer - F.col(o)) / size), F.floor((F.col(v) + buffer - F.col(o)) / size))
     cols = at.select("x", "y", "oy", F.explode(span("x", "ox")).alias("tile_col"))

@@ -94,6 +94,12 @@ def reproject_bbox(items: DataFrame, steps: int = 21) -> DataFrame:
     return placed.groupBy("item").agg(*sides, F.min(F.when(~F.coalesce(known, F.lit(False)), "unsupported CRS")).alias("error"))
 
 
+def crs_fallback(items: DataFrame) -> DataFrame:
+    """items (own_crs, fallback) + crs: that of the file, else the campaign's; failed where neither is known."""
+    out = items.withColumn("crs", F.coalesce("own_crs", "fallback"))
+    return out.withColumn("failed", F.col("crs").isNull())
+
+
 def round_coords(rings: Column) -> Column:
     return F.transform(rings, lambda ring: F.transform(ring, lambda v: F.round(v, 7)))
 
@@ -204,6 +210,14 @@ def dim_key(name: Column) -> Column:
     return F.lower(F.replace(F.regexp_replace(name, "^_+", ""), F.lit(" "), F.lit("")))
 
 
+def flag_bits_compose(flags: list[Column]) -> Column:
+    """One integer of flags (0 or 1, null: 0), the first in the lowest bit."""
+    out = F.lit(0)
+    for k, flag in enumerate(flags):
+        out = out.bitwiseOR(F.shiftleft(F.coalesce(flag.cast("int"), F.lit(0)), k))
+    return out
+
+
 def nodata_exclude_scale(values: DataFrame) -> DataFrame:
     """values (raw, nodata or null, scale, off) without rows of exactly the nodata value, + value = raw * scale + off."""
     return values.where("nodata is null or raw <> nodata").withColumn("value", F.col("raw") * F.col("scale") + F.col("off"))

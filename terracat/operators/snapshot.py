@@ -77,6 +77,11 @@ def dir_own_stats(paths: DataFrame) -> DataFrame:
     return paths.groupBy(parent.alias("dir"), F.when(ext == "", "(no ext)").otherwise(ext).alias("ext")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
 
+def dir_depth_prune(dirs: DataFrame, depth: int) -> DataFrame:
+    """Directories at most so many levels deep; what lies below is in their sizes already."""
+    return dirs.where(F.size(F.split("dir", "/")) <= depth)
+
+
 def dir_subtree_size(paths: DataFrame) -> DataFrame:
     """Bytes of each directory with all below it, from every path's ancestors."""
     parts = F.split("path", "/")

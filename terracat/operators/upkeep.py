@@ -186,6 +186,16 @@ def id_register(root: str, items: DataFrame) -> DataFrame:
     return one.unionByName(collections).unionByName(groups).unionByName(own)
 
 
+def orphan_files(listed: DataFrame, referenced: DataFrame) -> DataFrame:
+    """path of listed files that nothing refers to, once each."""
+    return listed.select("path").distinct().join(referenced.select("path"), "path", "left_anti")
+
+
+def skip_existing_outputs(wanted: DataFrame, existing: DataFrame, on: list[str]) -> DataFrame:
+    """wanted outputs that are not there yet, by their names or places."""
+    return wanted.join(existing.select(on).distinct(), on, "left_anti")
+
+
 def dir_ext_share(own: DataFrame) -> DataFrame:
     """own (dir, ext, files) -> dir, shares: extensions by falling share."""
     total = own.groupBy("dir").agg(F.sum("files").alias("total"))

@@ -75,14 +75,14 @@ ORACLES["campaign_contents"] = f"with v_files as ({V.FILES}), {_CHAINS} select r
 add("match_longest_ext", "FILES", lambda f: C.match_longest_ext(f, C.pattern_table(f.sparkSession)).select("parent", "name", "ext"), "select parent, name, case when ends_with(lower(name), '.copc.laz') then '.copc.laz' when ends_with(lower(name), '.laz') then '.laz' when ends_with(lower(name), '.las') then '.las' when ends_with(lower(name), '.tif') then '.tif' end as ext from v_files")
 add("name_tokens", "FILES", lambda f: C.name_tokens(C.match_longest_ext(f, C.pattern_table(f.sparkSession))).select("parent", "name", F.array_join("tokens", "|").alias("tokens")), "select parent, name, replace(lower(regexp_replace(name, '(\\.copc\\.laz|\\.laz|\\.las|\\.tif)$', '')), '_', '|') as tokens from v_files")
 add("match_pattern", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession)).select("parent", "name", "label"), "select f.parent, f.name, best.label from v_files f left join best on f.parent = best.parent and f.name = best.name")
-add("match_label_join", "FILES", lambda f: C.match_pattern(f, C.pattern_table(f.sparkSession)).join(F.broadcast(C.label_table(f.sparkSession)), "label", "left").select("parent", "name", F.coalesce("category", F.lit("unknown")).alias("category")), "select f.parent, f.name, coalesce(category, 'unknown') as category from v_files f left join best on f.parent = best.parent and f.name = best.name left join labs on best.label = labs.label")
+add("match_label_join", "FILES", lambda f: C.match_label_join(C.match_pattern(f, C.pattern_table(f.sparkSession)), C.label_table(f.sparkSession)).select("parent", "name", "category"), "select f.parent, f.name, coalesce(category, 'unknown') as category from v_files f left join best on f.parent = best.parent and f.name = best.name left join labs on best.label = labs.label")
 add("filter_ignore", "FILES", lambda f: _prods(f).select("parent", "name", "category"), "select parent, name, category from prods")
 add("item_id", "FILES", lambda f: _prods(f).select("parent", "name", "item"), "select parent, name, item from prods")
 add("qualify_id", "FILES", lambda f: _prods(f).select("parent", "name", C.qualify_id(F.col("item"), F.regexp_extract("parent", C.DATE, 0)).alias("qualified")), "select parent, name, case when regexp_matches(item, '\\d{4}-\\d{2}-\\d{2}') then item else regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}') || '_' || item end as qualified from prods")
-add("point_encoding", "FILES", lambda f: _prods(f).where("kind = 'pcl'").select("parent", "name", F.when(F.col("ext") == ".copc.laz", "copc").otherwise(F.expr("substr(ext, 2)")).alias("encoding")), "select parent, name, case ext when '.copc.laz' then 'copc' else ext[2:] end as encoding from prods where kind = 'pcl'")
+add("point_encoding", "FILES", lambda f: _prods(f).where("kind = 'pcl'").select("parent", "name", C.point_encoding(F.col("ext")).alias("encoding")), "select parent, name, case ext when '.copc.laz' then 'copc' else ext[2:] end as encoding from prods where kind = 'pcl'")
 add("twin_dedupe", "FILES", lambda f: C.twin_dedupe(_prods(f)).select("parent", "name", "category", "item"), "select parent, name, category, item from twins where rn = 1")
 add("twin_superseded", "FILES", lambda f: C.twin_superseded(_prods(f)), "select parent, name, winner from twins where rn > 1")
-add("twin_ext_mix", "FILES", lambda f: _prods(f).groupBy("parent", "category", F.lower("item").alias("item")).agg(F.countDistinct(F.when(F.col("ext") != ".copc.laz", F.col("ext"))).alias("n_ext")).where("n_ext > 1"), "select parent, category, lower(item) as item, count(distinct ext) filter (ext <> '.copc.laz') as n_ext from prods group by 1, 2, 3 having n_ext > 1")
+add("twin_ext_mix", "FILES", lambda f: C.twin_ext_mix(_prods(f)), "select parent, category, lower(item) as item, count(distinct ext) filter (ext <> '.copc.laz') as n_ext from prods group by 1, 2, 3 having n_ext > 1")
 add("tile_group_assign", "FILES", lambda f: C.tile_group_assign(C.twin_dedupe(_prods(f))).select("parent", "name", F.col("group").alias("grp")), "select parent, name, grp from grouped")
 add("id_collision_local", "FILES", lambda f: C.id_collision_local(C.twin_dedupe(_prods(f))), "select regexp_extract(parent, '\\d{4}-\\d{2}-\\d{2}') as campaign, item, count(*) as n from grouped group by 1, 2 having n > 1")
 add("file_fingerprint", "CONTENT", S.file_fingerprint, "select path, cast(strlen(content) as bigint) as size, '1220' || sha256(content) as checksum from v_content")
@@ -105,7 +105,7 @@ _EXT = "(select item as i, min(x) as ox, min(y) as oy, greatest(max(x) - min(x),
 add("cell_maxz_grid", "POINTS", P.cell_maxz_grid, f"select item, cast(least(floor((x - ox) / (span / 512)), 511) as bigint) as gx, cast(least(floor((y - oy) / (span / 512)), 511) as bigint) as gy, max(z) as z from v_points join {_EXT} on item = i group by 1, 2, 3")
 add("occupancy_grid", "POINTS", P.occupancy_grid, f"select distinct item, cast(least(floor((x - ox) / greatest(span / 2048, 6.0)), 2047) as bigint) as gx, cast(least(floor((y - oy) / greatest(span / 2048, 6.0)), 2047) as bigint) as gy from v_points join {_EXT} on item = i")
 _ORG = "(select min(x) - 0.0005 as ox, min(y) - 0.0005 as oy from v_points)"
-add("tile_origin", "POINTS", lambda p: p.agg((F.min("x") - 0.0005).alias("ox"), (F.min("y") - 0.0005).alias("oy")), f"select * from {_ORG}")
+add("tile_origin", "POINTS", P.tile_origin, f"select * from {_ORG}")
 add("tile_assign_points", "POINTS", P.tile_assign_points, f"select cast(floor((x - ox) / 500) as bigint) as tile_col, cast(floor((y - oy) / 500) as bigint) as tile_row, count(*) as n from v_points cross join {_ORG} group by 1, 2")
 add("tile_assign_buffer", "POINTS", P.tile_assign_buffer, f"select c as tile_col, r as tile_row, count(*) as n from (select c, unnest(range(cast(floor((y - 20 - oy) / 500) as bigint), cast(floor((y + 20 - oy) / 500) as bigint) + 1)) as r from (select y, oy, unnest(range(cast(floor((x - 20 - ox) / 500) as bigint), cast(floor((x + 20 - ox) / 500) as bigint) + 1)) as c from v_points cross join {_ORG})) group by 1, 2")
 add("collection_extent", "ITEMS", S.collection_extent, "select collection, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, min(start) as t0, max(start) as t1, count(*) as n_items from v_items group by 1")

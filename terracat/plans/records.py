@@ -88,7 +88,7 @@ add(
     lambda i: R.reproject_bbox(_boxes(i)),
     f"select * from (with {_projected_sql()} select cast(item as varchar) as item, round(min(lon), 6) as west, round(min(lat), 6) as south, round(max(lon), 6) as east, round(max(lat), 6) as north, case when min(lon) is null then 'unsupported CRS' end as error from p8 group by 1)",
 )
-add("crs_fallback", "ITEMS", lambda i: i.select("item", F.coalesce(F.when(F.col("x0") % 3 != 0, "EPSG:31256"), F.when(F.col("collection") != "NATION_7", "EPSG:3857")).alias("crs")).withColumn("failed", F.col("crs").isNull()), "select item, crs, crs is null as failed from (select item, case when x0 % 3 <> 0 then 'EPSG:31256' when collection <> 'NATION_7' then 'EPSG:3857' end as crs from v_items)")
+add("crs_fallback", "ITEMS", lambda i: R.crs_fallback(i.select("item", F.when(F.col("x0") % 3 != 0, "EPSG:31256").alias("own_crs"), F.when(F.col("collection") != "NATION_7", "EPSG:3857").alias("fallback"))).select("item", "crs", "failed"), "select item, crs, crs is null as failed from (select item, case when x0 % 3 <> 0 then 'EPSG:31256' when collection <> 'NATION_7' then 'EPSG:3857' end as crs from v_items)")
 add("round_coords", "ITEMS", lambda i: i.select("item", R.round_coords(F.array(F.array(F.col("x0") / 3, F.col("y0") / 7), F.array(F.col("x1") / 3, F.col("y1") / 7))).alias("r")).selectExpr("item", "r[0][0] as a", "r[0][1] as b", "r[1][0] as c", "r[1][1] as d"), "select item, round(x0 / 3, 7) as a, round(y0 / 7, 7) as b, round(x1 / 3, 7) as c, round(y1 / 7, 7) as d from v_items")
 _SPAN = """select item, case when ok then s end as start_us, case when ok then e end as end_us from (select *, coalesce(abs(s // 86400000000 - (campaign - date '1970-01-01')) <= 14 and abs(e // 86400000000 - (campaign - date '1970-01-01')) <= 14, false) as ok from (select *, cast(round((o + gps_min) * 1e6) as bigint) as s, cast(round((o + b) * 1e6) as bigint) as e from (select *, case when gps_max > 604800 then 1315964800 else ((a - date '1970-01-01') - case when b >= 86400 then dayofweek(a) else 0 end) * 86400 end as o
  from (select *, coalesce(anchor, campaign) as a, case when gps_max <= 604800 and gps_max < gps_min then gps_max + 604800 else gps_max end as b from v_spans where gps_min >= 0 and gps_min <> gps_max)))) where ok"""
@@ -123,7 +123,7 @@ add("overlap_patterns", "FILES", lambda f: R.overlap_patterns(_ids(f), _placemen
 add("anti_unused_keys", "FILES", lambda f: R.anti_unused_keys(_ids(f), _placement(f)), f"select key from (values ('*_DTM_1?'), ('*dsm*'), ('*_1*'), ('zzz*'), ('p_dtm_5'), ('p_dtm_15'), ('p_none')) t(key) where not case key when '*_DTM_1?' then (select bool_or(a) from {_MET}) when '*dsm*' then (select bool_or(b) from {_MET}) when '*_1*' then (select bool_or(c) from {_MET}) else key in (select item from prods) end")
 _recorded = lambda c: P.band_stats(c).select("item", (F.col("vmax") * (1 + F.col("item") * 4e-5)).alias("recorded"))
 add("join_recorded_vs_actual", "CELLS", lambda c: R.join_recorded_vs_actual(_recorded(c), P.band_stats(c).select("item", F.col("vmax").alias("actual")), ["item"]).select("item", "agrees"), "select item, abs(m * (1 + item * 4e-5) - m) <= greatest(1e-4 * abs(m * (1 + item * 4e-5)), 5e-5) as agrees from (select item, round(max(value), 4) as m from v_cells where valid group by 1)")
-add("flag_bits_compose", "POINTS", lambda p: p.select("item", *[(F.col("x").cast("long") % k == 0).cast("int").alias(f"f{k}") for k in (2, 3, 5, 7)]).groupBy("item", F.col("f2").bitwiseOR(F.shiftleft("f3", 1)).bitwiseOR(F.shiftleft("f5", 2)).bitwiseOR(F.shiftleft("f7", 3)).alias("flags")).agg(F.count("*").alias("n")), "select item, cast((x % 2 = 0)::int + 2 * (x % 3 = 0)::int + 4 * (x % 5 = 0)::int + 8 * (x % 7 = 0)::int as int) as flags, count(*) as n from v_points group by 1, 2")
+add("flag_bits_compose", "POINTS", lambda p: p.groupBy("item", R.flag_bits_compose([F.col("x").cast("long") % k == 0 for k in (2, 3, 5, 7)]).alias("flags")).agg(F.count("*").alias("n")), "select item, cast((x % 2 = 0)::int + 2 * (x % 3 = 0)::int + 4 * (x % 5 = 0)::int + 8 * (x % 7 = 0)::int as int) as flags, count(*) as n from v_points group by 1, 2")
 
 # Grids
 _bands = "select item, row, cast(floor(col / 2) as bigint) as col, cast(col % 2 as int) as band, value from"
@@ -141,7 +141,7 @@ add("sample_grid_thin", "POINTS", lambda p: G.sample_grid_thin(p, 25.0), "select
 # Upkeep
 _print = S.file_fingerprint
 _group = lambda d: _print(d).withColumn("group", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
-add("sink_orphan_files", ("PREV", "CONTENT"), lambda a, b: b.select("path").exceptAll(a.select("path")), "select path from v_content except all select path from v_prev")
+add("sink_orphan_files", ("PREV", "CONTENT"), lambda a, b: U.orphan_files(b, a), "select path from v_content except select path from v_prev")
 add("set_member_change", ("CONTENT", "PREV"), lambda a, b: U.set_member_change(_group(a), _group(b)), "select regexp_extract(coalesce(a.path, b.path), '^(.*)/[^/]*$', 1) as \"group\", bool_or(a.content is distinct from b.content or a.path is null or b.path is null) as changed from v_content a full join v_prev b on a.path = b.path group by 1")
 add("set_extent_children", "ITEMS", U.set_extent_children, "select collection, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, min(start) as t0, max(start) as t1, count(*) as n_items from (select * from v_items union all select * replace (collection || '/' || grp as collection) from v_items) group by 1")
 _stamped = lambda b: _print(b).withColumns({"created": F.lit("2020-01-01").cast("date"), "updated": F.lit("2021-01-01").cast("date")})
@@ -153,13 +153,13 @@ def _moments():
 add("restate_masked_moments", "CELLS", lambda c: P.band_stats(c).join(P.valid_percent(c), "item").select("item", F.round(_moments()[0], 3).alias("mean"), F.round(_moments()[1], 3).alias("sd")), "select item, round(m / p, 3) as mean, round(sqrt(greatest((s * s + m * m) / p - m / p * (m / p), 0)), 3) as sd from (select item, round(avg(value) filter (valid), 4) as m, round(stddev_pop(value) filter (valid), 4) as s, round(100.0 * count(*) filter (valid) / count(*), 4) / 100 as p from v_cells group by 1)")
 _tiles = lambda p: P.tile_assign_points(p, 25.0)
 _TILES = "select cast(floor((x - ox) / 25) as bigint) as tile_col, cast(floor((y - oy) / 25) as bigint) as tile_row, count(*) as n from v_points cross join (select min(x) - 0.0005 as ox, min(y) - 0.0005 as oy from v_points) group by 1, 2"
-add("skip_existing_outputs", "POINTS", lambda p: _tiles(p).join(_tiles(p).where("n % 2 = 0").select("tile_col", "tile_row"), ["tile_col", "tile_row"], "left_anti"), f"select * from ({_TILES}) where n % 2 = 1")
+add("skip_existing_outputs", "POINTS", lambda p: U.skip_existing_outputs(_tiles(p), _tiles(p).where("n % 2 = 0"), ["tile_col", "tile_row"]), f"select * from ({_TILES}) where n % 2 = 1")
 add("tile_runt_merge", "POINTS", lambda p: U.tile_runt_merge(_tiles(p).selectExpr("'all' as dataset", "format_string('t_%03d_%03d', tile_col, tile_row) as name", "n as size", "tile_col as col", "tile_row as row"), 50))
 _OWN = ORACLES["dir_own_stats"].replace("with ", "", 1)
 _dirs = lambda p: S.dir_own_stats(p)
 add("dir_ext_share", "PATHS", lambda p: U.dir_ext_share(_dirs(p)), f"select dir, string_agg(ext || ' ' || case when files * 100 < t then '<1%' else cast(round(files * 100.0 / t) as int) || '%' end, ', ' order by files desc, ext) as shares from (select *, sum(files) over (partition by dir) as t from (with {_OWN})) group by 1")
 _SUB = ORACLES["dir_subtree_size"].replace("with ", "", 1)
-add("dir_depth_prune", "PATHS", lambda p: S.dir_subtree_size(p).where(F.size(F.split("dir", "/")) <= 2), f"select * from (with {_SUB}) where len(string_split(dir, '/')) <= 2")
+add("dir_depth_prune", "PATHS", lambda p: S.dir_depth_prune(S.dir_subtree_size(p), 2), f"select * from (with {_SUB}) where len(string_split(dir, '/')) <= 2")
 def _name():
     return F.regexp_extract("path", "([^/]*)$", 1)
 
