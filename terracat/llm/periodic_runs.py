@@ -184,7 +184,7 @@ def run_digest(found: DataFrame) -> DataFrame:
     lines = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
     return found.withColumn("top", top).select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
-        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
     )
 
