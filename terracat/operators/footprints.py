@@ -112,7 +112,7 @@ def regions(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = cells.select(F.col("item"), F.col("gx").cast("long").alias("gx"), F.col("gy").cast("long").alias("gy"), F.coalesce("valid", F.lit(False)).alias("valid"))
     kind = cells.schema["item"].dataType.simpleString()
     at = cells.withColumns({"bx": F.floor(F.col("gx") / block), "by": F.floor(F.col("gy") / block)})
-    made = at.groupBy("item", "bx", "by").applyInPandas(lambda f: _block(f), f"item {kind}, gx long, gy long, valid boolean, region long")
+    made = at.groupBy("item", "bx", "by").applyInPandas(_block, f"item {kind}, gx long, gy long, valid boolean, region long")
     blocks = _written(made, "blocks")
     edge = blocks.where((F.col("gx") % block == 0) | (F.col("gx") % block == block - 1) | (F.col("gy") % block == 0) | (F.col("gy") % block == block - 1))
     before = edge.select("item", "gx", "gy", "valid", F.col("region").alias("b"))

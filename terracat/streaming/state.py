@@ -53,7 +53,7 @@ class KeyedTable:
         paths = [f"{self.path}/upto-{base}"] * (base >= 0) + [f"{self.path}/batch-{n}" for n in late]
         if not paths:
             return self.spark.createDataFrame([], self.fields).withColumn(GONE, F.lit(False))
-        number = F.coalesce(F.try_element_at(F.split(F.regexp_extract("_metadata.file_path", r"/(?:batch|upto)-(\d+)/", 1), ","), F.lit(1)).cast("long"), F.lit(-1))
+        number = F.regexp_extract("_metadata.file_path", r"/(?:batch|upto)-(\d+)/", 1).cast("long")
         every = self.spark.read.parquet(*paths).select("*", number.alias(BATCH))
         if len(paths) == 1:
             return every.drop(BATCH)
