@@ -22,6 +22,38 @@ def test_whole_tree_holds(spark, tmp_path):
     assert L.rules_check(documents, links, ["id", "title"]).collect() == []
 
 
+def test_items_are_made_once(spark):
+    """Items that come from a join are joined once, not for each level of the tree; names of two lines have their links too."""
+    items = spark.createDataFrame([("a", "g", "i\n1"), ("a", None, "i2"), ("b", "h/k", "i3")], ITEMS).join(spark.range(1), F.col("id") == 0)
+    documents, links = L.catalog_tree(items, "all")
+    assert "Join" not in documents._jdf.queryExecution().analyzed().toString() + links._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r) for r in L.rules_check(documents, links, ["title"]).collect()] == []
+
+
+def test_stored_documents_are_read_once(spark, tmp_path):
+    folders.tree_json(*L.catalog_tree(spark.createDataFrame([("a", None, "i1")], ITEMS), "all"), str(tmp_path))
+    found = L.rules_check(*folders.read_tree(spark, str(tmp_path)), ["title"])
+    assert "Relation" in (plan := found._jdf.queryExecution().analyzed().toString()) and " json" not in plan
+
+
+def test_resolve_as_by_parts(spark):
+    """The short way to a target gives what a walk by parts gives."""
+    sources = ["/a/b/c.json", "/c.json", "/a/./c.json", "/a//c.json", "a/c.json", "/a/../b/c.json", "c.json", "/a/b/"]
+    hrefs = ["x.json", "./x.json", "../x.json", "../../x.json", "../../../x", "x/../y", "", "..", "../", "./", "./../x", ".././x", "/x", "a..b/.c", "x/", "...", None]
+
+    def walk(source, href):
+        done = []
+        for part in href.split("/") if href.startswith("/") else source.split("/")[:-1] + href.split("/"):
+            if part == ".." and not done:
+                return None
+            done = done[:-1] if part == ".." else done if part in (".", "") else [*done, part]
+        return "/" + "/".join(done)
+
+    rows = [(s, h, None if h is None else walk(s, h)) for s in sources for h in hrefs]
+    got = spark.createDataFrame(rows, "source string, href string, want string").select("source", "href", "want", L.resolve(F.col("source"), F.col("href")).alias("got")).collect()
+    assert [tuple(r) for r in got if r.want != r.got] == []
+
+
 def test_resolve(spark):
     rows = [("/a/b/c.json", "../d.json", "/a/d.json"), ("/a/b/c.json", "./e/./f.json", "/a/b/e/f.json"), ("/a/b/c.json", "/x.json", "/x.json"), ("/a/c.json", "../../x", None), ("/c.json", "x//y", "/x/y"), ("/c.json", None, None)]
     got = spark.createDataFrame(rows, "source string, href string, want string").select(L.resolve(F.col("source"), F.col("href")).alias("got"), "want").collect()
