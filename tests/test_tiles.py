@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 
 from terracat.operators import upkeep as U
@@ -43,3 +44,15 @@ def test_blocks(spark, monkeypatch, side):
     got = {(r.dataset, r.name): r.merged_into for r in U.tile_runt_merge(df, 50).collect()}
     assert got == want
     assert seen.count("groups") > 1  # rounds over written tables
+
+
+def test_each_group_waits_once(monkeypatch):
+    """Within a block a group that waits is not put into the queue again at the same size."""
+    side, pushed, inner = 40, [], U.heapq.heappush
+    monkeypatch.setattr(U.heapq, "heappush", lambda heap, entry: pushed.append(entry) or inner(heap, entry))
+    at = [(c, r) for c in range(side) for r in range(side)]
+    near = lambda c, r: sorted(f"t_{x:03d}_{y:03d}" for x, y in ((c + 1, r), (c - 1, r), (c, r + 1), (c, r - 1)) if 0 <= x < side and 0 <= y < side)
+    frame = pd.DataFrame({"dataset": "d", "id": [f"t_{c:03d}_{r:03d}" for c, r in at], "size": [1 + (7 * c + 3 * r) % 19 for c, r in at], "col": [c for c, _ in at], "row": [r for _, r in at], "beside": [near(c, r) for c, r in at], "gone_to": None})
+    done = U._merge_block(50)(frame)
+    assert done[done["gone_to"].isna()]["size"].min() >= 50 and done[done["gone_to"].isna()]["size"].sum() == frame["size"].sum()
+    assert len(pushed) < 8 * len(frame)
