@@ -37,7 +37,7 @@ def campaign_rules(patterns: DataFrame, labels: DataFrame) -> tuple[DataFrame, D
 
 def best_rule(name: Column, rules: Column) -> Column:
     """Of an array of rules the one that fits a name: most required tokens, the longest extension, the first; null if none.
-    struct<label, category, kind, ext>."""
+    struct<n, long, first, label, category, kind, ext>, ordered by its first three."""
     low = F.lower(name)
 
     def under(rule: Column, ext: Column) -> Column:
@@ -47,15 +47,15 @@ def best_rule(name: Column, rules: Column) -> Column:
         return F.when(fits, own)
 
     every = F.flatten(F.transform(rules, lambda r: F.transform(F.filter(r["extensions"], lambda e: F.endswith(low, e)), lambda e: under(r, e))))
-    best = F.array_max(every)  # nulls don't count
-    return F.when(best.isNotNull(), F.struct(best["label"].alias("label"), best["category"].alias("category"), best["kind"].alias("kind"), best["ext"].alias("ext")))
+    return F.array_max(every)  # nulls don't count
 
 
 def match_registry(files: DataFrame, digests: DataFrame, rules: DataFrame) -> DataFrame:
     """files (campaign, name, ...) + label, category, kind, matched_ext by their own campaign's rules; null where none fits or the campaign has none."""
     own = [F.col(c) for c in files.columns]
-    matched = files.join(digests, "campaign", "left").join(rules, "digest", "left").select(*own, F.inline_outer(F.array(best_rule(F.col("name"), F.col("rules")))).alias("label", "category", "kind", "matched_ext"))
-    return matched
+    # The fields of one struct, as a generator gives them: were they picked one by one, the rules would be tried for each.
+    best = F.inline_outer(F.array(best_rule(F.col("name"), F.col("rules")))).alias("n_", "long_", "first_", "label", "category", "kind", "matched_ext")
+    return files.join(digests, "campaign", "left").join(rules, "digest", "left").select(*own, best).drop("n_", "long_", "first_")
 
 
 def campaign_products(files: DataFrame, patterns: DataFrame, labels: DataFrame) -> DataFrame:

@@ -72,3 +72,12 @@ def test_odd_rows(spark):
     rows = spark.createDataFrame([(None, "r", "x.laz", 1), ("a", "r", None, 1), ("a", "r", "x.laz", None), ("a", "r", "x.laz", None)], FILES)
     assert products(spark, rows, []) == [("a", "x.laz", "pointcloud", "pointcloud", "pcl", "x", ".laz")] * 2
     assert products(spark, spark.createDataFrame([], FILES), []) == []
+
+
+def test_rules_are_tried_once(spark):
+    """The fields of the best rule come from one trial of the rules, not one for each field."""
+    files = spark.createDataFrame([("a", "x", "p_dtm_1.tif", 5)], "campaign string, parent string, name string, length long")
+    settings = spark.createDataFrame([], "campaign string, patterns map<string, struct<require:array<string>, forbid:array<string>, extensions:array<string>>>, labels map<string, struct<category:string, kind:string>>")
+    found = G.products_by_settings(files, settings)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_max(") == 1
+    assert [(r.label, r.category, r.ext) for r in found.collect()] == [("dtm", "dtm", ".tif")]
