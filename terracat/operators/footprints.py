@@ -33,6 +33,11 @@ def _column():
     return Window.partitionBy("item", "gx").orderBy("gy")
 
 
+def _dealt(small: DataFrame) -> DataFrame:
+    """A table that grows with the masks, for a join: its file is small beside its rows, which would all go to the driver to be broadcast."""
+    return small.hint("merge")
+
+
 def _key() -> Column:
     return F.col("gy").cast("long") * (1 << 20) + F.col("gx").cast("long")
 
@@ -49,17 +54,17 @@ def roots(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select("item", F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy("item", "a").agg(F.least("a", F.min("b")).alias("to"))
         up = hook.select("item", F.col("a").alias("to"), F.col("to").alias("further"))
-        hook = _written(hook.join(up, ["item", "to"]).select("item", "a", F.col("further").alias("to")), "hooks")
+        hook = _written(hook.join(_dealt(up), ["item", "to"]).select("item", "a", F.col("further").alias("to")), "hooks")
         hooks.append(hook)
         for end in ("a", "b"):
-            edges = edges.join(hook.select("item", F.col("a").alias(end), "to"), ["item", end]).drop(end).withColumnRenamed("to", end)
+            edges = edges.join(_dealt(hook.select("item", F.col("a").alias(end), "to")), ["item", end]).drop(end).withColumnRenamed("to", end)
         edges = _written(edges.where("a <> b").select("item", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     if not hooks:
         return edges.select("item", F.col("a").alias("node"), F.col("b").alias("root"))
     found = hooks[0].select("item", F.col("a").alias("node"), F.col("to").alias("root"))
     for hook in hooks[1:]:  # as many as the logarithm of the largest region
         up = hook.select("item", F.col("a").alias("root"), "to")
-        found = found.join(up, ["item", "root"], "left").select("item", "node", F.coalesce("to", "root").alias("root"))
+        found = found.join(_dealt(up), ["item", "root"], "left").select("item", "node", F.coalesce("to", "root").alias("root"))
     return found
 
 
@@ -119,19 +124,19 @@ def regions(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     over = []
     for c, d in (("gx", "gy"), ("gy", "gx")):
         after = edge.where((F.col(c) % block == 0) & (F.col(c) > 0)).select("item", (F.col(c) - 1).alias(c), d, "valid", F.col("region").alias("a"))
-        over.append(after.join(before, ["item", "gx", "gy", "valid"]).select("item", "a", "b"))
+        over.append(after.join(_dealt(before), ["item", "gx", "gy", "valid"]).select("item", "a", "b"))
     links = _written(over[0].unionByName(over[1]).distinct(), "borders")
     if links.isEmpty():
         return blocks
     root = roots(links).select("item", F.col("node").alias("region"), "root")
-    return _written(blocks.join(root, ["item", "region"], "left").select("item", "gx", "gy", "valid", F.coalesce("root", "region").alias("region")), "regions")
+    return _written(blocks.join(_dealt(root), ["item", "region"], "left").select("item", "gx", "gy", "valid", F.coalesce("root", "region").alias("region")), "regions")
 
 
 def footprint_components(mask: DataFrame, least: int) -> DataFrame:
     """mask (item, gx, gy) -> item, gx, gy, part, cells: four-connected parts of at least so many cells; part is the smallest cell's key gy * 2**20 + gx."""
     cells = regions(mask.select("item", "gx", "gy", F.lit(True).alias("valid")))
     large = cells.groupBy("item", "region").agg(F.count("*").alias("cells")).where(F.col("cells") >= least)
-    return cells.join(large, ["item", "region"]).select("item", "gx", "gy", F.col("region").alias("part"), "cells")
+    return cells.join(_dealt(large), ["item", "region"]).select("item", "gx", "gy", F.col("region").alias("part"), "cells")
 
 
 def absorb_specks(mask: DataFrame, least: int) -> DataFrame:
@@ -146,18 +151,18 @@ def absorb_specks(mask: DataFrame, least: int) -> DataFrame:
     met = [cells.select("item", F.col("region").alias("a"), _beside(w, at, "region").alias("b")) for w, at in ((_row(), "gx"), (_column(), "gy"))]
     met = met[0].unionByName(met[1]).where("a <> b").distinct()
     met = met.unionByName(met.select("item", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    largest = met.join(size.select("item", F.col("region").alias("b"), "cells"), ["item", "b"]).groupBy("item", "a").agg(F.max(F.struct("cells", (-F.col("b")).alias("k"))).alias("m"))
-    asks = _written(specks.join(largest.select("item", F.col("a").alias("region"), (-F.col("m.k")).alias("to")), ["item", "region"]), "specks")
+    largest = met.join(_dealt(size.select("item", F.col("region").alias("b"), "cells")), ["item", "b"]).groupBy("item", "a").agg(F.max(F.struct("cells", (-F.col("b")).alias("k"))).alias("m"))
+    asks = _written(specks.join(_dealt(largest.select("item", F.col("a").alias("region"), (-F.col("m.k")).alias("to"))), ["item", "region"]), "specks")
     # Every step leads to a larger region or back to where it came from, so only pairs can be cycles.
     back = asks.select("item", F.col("region").alias("to"), F.col("to").alias("region"))
-    asks = _written(asks.join(back, ["item", "region", "to"], "left_anti"), "specks")
+    asks = _written(asks.join(_dealt(back), ["item", "region", "to"], "left_anti"), "specks")
     while True:
         up = asks.select("item", F.col("region").alias("to"), F.col("to").alias("further"))
-        if asks.join(up, ["item", "to"], "left_semi").isEmpty():
+        if asks.join(_dealt(up), ["item", "to"], "left_semi").isEmpty():
             break
-        asks = _written(asks.join(up, ["item", "to"], "left").select("item", "region", F.coalesce("further", "to").alias("to")), "specks")
-    given = asks.join(size.select("item", F.col("region").alias("to"), F.col("valid").alias("given")), ["item", "to"]).select("item", "region", "given")
-    return cells.join(given, ["item", "region"], "left").select("item", "gx", "gy", F.coalesce("given", "valid").alias("valid"))
+        asks = _written(asks.join(_dealt(up), ["item", "to"], "left").select("item", "region", F.coalesce("further", "to").alias("to")), "specks")
+    given = asks.join(_dealt(size.select("item", F.col("region").alias("to"), F.col("valid").alias("given"))), ["item", "to"]).select("item", "region", "given")
+    return cells.join(_dealt(given), ["item", "region"], "left").select("item", "gx", "gy", F.coalesce("given", "valid").alias("valid"))
 
 
 def footprint_regions(mask: DataFrame, cell_m2: float, part_m2: float = PART_M2, hole_m2: float = HOLE_M2) -> DataFrame:
@@ -171,14 +176,14 @@ def footprint_regions(mask: DataFrame, cell_m2: float, part_m2: float = PART_M2,
     cells = regions(absorb_specks(mask, least))
     edge = cells.groupBy("item").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("gx", "gy")])
     outside = F.col("gx").isin(F.col("min_gx"), F.col("max_gx")) | F.col("gy").isin(F.col("min_gy"), F.col("max_gy"))
-    size = _written(cells.join(edge, "item").groupBy("item", "region", "valid").agg(F.count("*").alias("cells"), F.max(outside).alias("open")), "sizes")
+    size = _written(cells.join(_dealt(edge), "item").groupBy("item", "region", "valid").agg(F.count("*").alias("cells"), F.max(outside).alias("open")), "sizes")
     area = F.col("cells") * cell_m2
     kept = size.where(F.col("valid") & (area >= part_m2)).select("item", "region", F.col("region").alias("part"))
     small = size.where(~F.col("valid") & ~F.col("open") & (area < hole_m2)).select("item", "region")
     # The cell above a hole's smallest cell lies in the part around it.
     around = cells.select("item", F.col("region").alias("part"), (_key() + (1 << 20)).alias("region"))
-    filled = small.join(around, ["item", "region"]).join(kept.select("item", "part"), ["item", "part"], "left_semi").select("item", "region", "part")
-    return cells.join(kept.unionByName(filled), ["item", "region"]).select("item", "gx", "gy", "part")
+    filled = _dealt(small).join(around, ["item", "region"]).join(_dealt(kept.select("item", "part")), ["item", "part"], "left_semi").select("item", "region", "part")
+    return cells.join(_dealt(kept.unionByName(filled)), ["item", "region"]).select("item", "gx", "gy", "part")
 
 
 def _rings(frame: pd.DataFrame) -> pd.DataFrame:
@@ -214,9 +219,10 @@ def footprint_rings(parts: DataFrame, edge: int = 2048) -> DataFrame:
     Grids may be of so many cells on a side at most, so a task holds the boundary of a part of that grid; larger ones
     raise an error.
     """
+    parts = _written(parts, "parts")  # read for the span too
     span = parts.groupBy("item").agg(F.greatest(F.max("gx") - F.min("gx"), F.max("gy") - F.min("gy")).alias("span"))
     checked = span.select("item", F.assert_true(F.col("span") < edge, F.lit(f"a grid of more than {edge} cells on a side")).isNull().alias("fits"))
-    cells = parts.join(checked, "item").where("fits")
+    cells = parts.join(_dealt(checked), "item").where("fits")
     side = lambda w, at, f, d: ~F.coalesce((f(at).over(w) == F.col(at) + d) & (f("part").over(w) == F.col("part")), F.lit(False))
     x, y = F.col("gx"), F.col("gy")
     sides = (
@@ -310,7 +316,7 @@ def footprint_accept(counts: DataFrame, rings: DataFrame, ratio: float = 0.5) ->
     """
     area = F.coalesce("area", F.lit(0.0))
     box = (F.col("n_valid") == 0) | (F.col("n_valid") == F.col("n_cells")) | (area < ratio * F.col("n_valid"))
-    return counts.join(footprint_areas(rings), "item", "left").select("item", F.when(box, "bbox").otherwise("rings").alias("shape"))
+    return counts.join(_dealt(footprint_areas(rings)), "item", "left").select("item", F.when(box, "bbox").otherwise("rings").alias("shape"))
 
 
 def rings_to_degrees(rings: DataFrame, grids: DataFrame) -> DataFrame:

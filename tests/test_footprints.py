@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from terracat.operators import footprints as P
 
@@ -141,3 +142,11 @@ def test_degrees(spark):
     got = {r["item"]: r.points for r in P.rings_to_degrees(rings, grids).collect()}
     assert len(got["a"]) == 4 and all(15.6 < p.lon < 15.7 and 48.1 < p.lat < 48.3 for p in got["a"]) and got["a"][0].lon < got["a"][1].lon and got["a"][1].lat > got["a"][2].lat
     assert got["u"][0].lon is None
+
+
+def test_no_mask_goes_to_the_driver(spark):
+    """Tables that grow with the masks are not broadcast, however small their files."""
+    mask = spark.range(400).selectExpr("cast(id div 100 as string) as item", "id % 10 as gx", "id div 10 % 10 as gy", "id % 7 <> 0 as valid")
+    rings = P.footprint_rings(P.footprint_regions(mask, cell_m2=500.0))
+    counts = mask.groupBy("item").agg(F.count_if("valid").alias("n_valid"), F.count("*").alias("n_cells"))
+    assert "Broadcast" not in P.footprint_accept(counts, rings)._jdf.queryExecution().executedPlan().toString()
