@@ -212,7 +212,7 @@ class Segments(dict):
         if not self.fresh:
             return
         segments, self.fresh = self.fresh, []
-        n, none = len(segments), np.zeros(0, dtype=np.int64)
+        n = len(segments)
         units = [u for at in range(0, n, TOGETHER) for u in self.tokens(segments[at : at + TOGETHER])]
         flat_a, flat_b = (np.concatenate([np.array(u[k], dtype=np.int64) for u in units]) for k in (0, 1))
         size = np.concatenate([u[2] for u in units])
@@ -225,8 +225,10 @@ class Segments(dict):
         ends = group_ends(len_a, len_b)  # the end of each segment is one
         group_a, group_b = groups_of(len_a, ends), groups_of(len_b, ends)
         in_group = Csr.of_rows(np.ones(len(group_b), dtype=np.int64), group_b, len(ends)).transpose()
-        # Of the product of A's tokens x groups and groups x B's tokens the rows' sizes: each row is its group's row.
-        shared = np.diff(in_group.indptr)[group_a] if len(group_a) else none
+        # A's tokens x groups times groups x B's tokens, a block at a time: the links of each token of A within its group.
+        shared = np.zeros(len(flat_a), dtype=np.int64)
+        for rows, _, _ in Csr.of_rows(np.ones(len(group_a), dtype=np.int64), group_a, len(ends)).blocks(in_group):
+            shared += np.bincount(rows, minlength=len(shared))
         per = lambda of, weights=None: np.bincount(of, weights=weights, minlength=n).astype(np.int64)
         found = (size > 0, per(of_a), per(of_b), per(np.searchsorted(until, ends)), per(of_a[row]), per(of_a, shared))
         # All tokens by segment, group and tokenizer, each before the separator that its successor asks for.

@@ -118,3 +118,16 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_a, r.count_sum) for r in align_tokens(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 chunk", "2 pairs"), Q.BYTE_BPE, Q.PIECE_BPE)[0].collect())
     assert got == [(0, 2, 6), (1, 0, 0), (1, 2, 6), (1, 2, 6)]
     assert align_tokens(spark.createDataFrame([], "doc_id long, text string"), Q.BYTE_BPE, Q.PIECE_BPE)[0].collect() == []
+
+
+def test_both_products_are_taken(monkeypatch):
+    """Overlap links and shared-group links both come from products of matrices."""
+    import public_tokenizers
+
+    from terracat.llm import token_alignment as T
+
+    taken, inner = [], T.Csr.blocks
+    monkeypatch.setattr(T.Csr, "blocks", lambda self, other: taken.append((self.height, other.width)) or inner(self, other))
+    known = T.Segments(T.ByteLevelTokens(public_tokenizers.path("byte_bpe_50k.json")), T.PieceTokens(public_tokenizers.path("piece_bpe_32k.model")))
+    rows = T.align_chunk(0, [1], ["unbelievable alignments of tokens"], known).to_pylist()
+    assert taken == [(rows[0]["n_a"], rows[0]["n_b"])] * 2
