@@ -400,6 +400,11 @@ def _expand(window: int, buckets: int, bits: int):
     return run
 
 
+def _dealt(packed: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows by bucket, a partition for each: dealt by a hash of the bucket's number, several would meet in one."""
+    return packed.repartitionById(min(buckets, PARTITIONS), "to").sortWithinPartitions("to", "kind")
+
+
 def _with_docs(rows: DataFrame, packed: DataFrame, groups: int) -> DataFrame:
     """Documents (uid, body) behind the packed rows of their group, dealt by group."""
     anywhere = F.pmod(F.monotonically_increasing_id(), F.lit(groups))  # rows with no id belong nowhere
@@ -407,7 +412,7 @@ def _with_docs(rows: DataFrame, packed: DataFrame, groups: int) -> DataFrame:
     none = F.lit(None).cast("binary")
     name = F.unhex(F.lpad(F.hex("uid"), 16, "0"))  # big end first
     docs = rows.select(to.alias("to"), F.lit(DOC).alias("kind"), name.alias("uid"), *[none.alias(c) for c in ("count", "lo", "size", "key", "more")], "body")
-    return packed.unionByName(docs).repartition(min(groups, PARTITIONS), "to").sortWithinPartitions("to", "kind")
+    return _dealt(packed.unionByName(docs), groups)
 
 
 def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple[list[DataFrame], int]:
@@ -416,10 +421,10 @@ def covered_places(rows: DataFrame, bits: int, window: int, heavy: int) -> tuple
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(12, -(-total // BUCKET_BYTES)) | 1  # odd, so that ids of any step spread over all
     docs = rows.select("uid", "body")
-    dealt = docs.mapInArrow(_scan(window, buckets, bits), SCHEMA).repartition(min(buckets, PARTITIONS), "to").sortWithinPartitions("to", "kind")
+    dealt = _dealt(docs.mapInArrow(_scan(window, buckets, bits), SCHEMA), buckets)
     judged = staged(dealt.mapInArrow(_judge(buckets, bits, heavy), SCHEMA), "judged")
     wanted = judged.where(F.col("kind").isin(COPY, HEAVY_COPY))
-    cut = _with_docs(docs, wanted, buckets).mapInArrow(_cut(window, buckets, bits), SCHEMA).repartition(min(buckets, PARTITIONS), "to").sortWithinPartitions("to", "kind")
+    cut = _dealt(_with_docs(docs, wanted, buckets).mapInArrow(_cut(window, buckets, bits), SCHEMA), buckets)
     found = staged(cut.mapInArrow(_expand(window, buckets, bits), SCHEMA), "found")
     return [judged, found], buckets
 
