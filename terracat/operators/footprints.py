@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +26,9 @@ from terracat.operators.upkeep import _written
 PART_M2, HOLE_M2 = 4000.0, 1000.0
 #: Cells on a side of the blocks that are labelled in one go.
 BLOCK = 512
+#: Sides of a cell as edges (x0, y0, x1, y1) from its place, the cell on their right: above, after, below, before.
+SIDES = np.array([(0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)])
+RINGS = pa.schema([("item", pa.string()), ("part", pa.int64()), ("ring", pa.int64()), ("hole", pa.bool_()), ("cells", pa.int64()), ("corners", pa.string())])
 
 
 def _row():
@@ -186,55 +192,104 @@ def footprint_regions(mask: DataFrame, cell_m2: float, part_m2: float = PART_M2,
     return cells.join(_dealt(kept.unionByName(filled)), ["item", "region"]).select("item", "gx", "gy", "part")
 
 
-def _rings(frame: pd.DataFrame) -> pd.DataFrame:
-    """Edges of one part, the part on their right, chained to rings; corners only."""
-    ahead = defaultdict(list)
-    for x0, y0, x1, y1 in zip(frame["x0"], frame["y0"], frame["x1"], frame["y1"], strict=True):
-        ahead[(x0, y0)].append((x1, y1))
-    out = []
-    for start in sorted(ahead):
-        while ahead[start]:
-            ring, at = [start], ahead[start].pop()
-            while at != start:
-                (px, py), (x, y) = ring[-1], at
-                dx, dy = x - px, y - py
-                ring.append(at)
-                right = (x - dy, y + dx)  # where parts touch at a corner each keeps to itself
-                to = right if right in ahead[at] else ahead[at][0]
-                ahead[at].remove(to)
-                at = to
-            n = len(ring)
-            straight = lambda k: (ring[k][0] == ring[k - 1][0] == ring[(k + 1) % n][0]) or (ring[k][1] == ring[k - 1][1] == ring[(k + 1) % n][1])  # noqa: B023, E731
-            corners = [p for k, p in enumerate(ring) if not straight(k)]
-            area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(corners, corners[1:] + corners[:1], strict=True)) // 2
-            out.append((frame["item"].iloc[0], frame["part"].iloc[0], area < 0, abs(area), " ".join(f"{x},{y}" for x, y in corners)))
-    rows = pd.DataFrame(out, columns=["item", "part", "hole", "cells", "corners"])
-    return rows.sort_values(["hole", "corners"]).assign(ring=range(len(rows)))[["item", "part", "ring", "hole", "cells", "corners"]]
-
-
-def footprint_rings(parts: DataFrame, edge: int = 2048) -> DataFrame:
+def _outlines(item: np.ndarray, part: np.ndarray, gx: np.ndarray, gy: np.ndarray, free: np.ndarray) -> list[tuple]:
+    """Rows of footprint_rings for the boundary cells of whole parts, part after part; bit k of free: side k of SIDES is open."""
+    starts = np.concatenate(([True], (item[1:] != item[:-1]) | (part[1:] != part[:-1])))
+    cell, side = np.nonzero((free[:, None] >> np.arange(4)) & 1)
+    own = np.cumsum(starts)[cell] - 1
+    x0, y0, x1, y1 = (v[cell] + SIDES[side, k] for k, v in enumerate((gx, gy, gx, gy)))
+    order = np.lexsort((y0, x0, own))
+    own, x0, y0, x1, y1 = own[order], x0[order], y0[order], x1[order], y1[order]
+    # Edges by the number of the place they start from; one edge leaves a place, or two where parts touch at a corner.
+    fresh = np.concatenate(([True], (own[1:] != own[:-1]) | (x0[1:] != x0[:-1]) | (y0[1:] != y0[:-1])))
+    ends = np.lexsort((y1, x1, own))  # as many edges end in each place as leave it
+    to = np.empty(len(own), dtype=np.int64)
+    to[ends] = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    dx, dy = x1 - x0, y1 - y0
+    second = np.minimum(to + 1, len(own) - 1)
+    two = ~fresh[second] & (second > to)
+    right = (x1[second] == x1 - dy) & (y1[second] == y1 + dx)  # where parts touch at a corner each keeps to itself
+    after = np.where(two & right, second, to).tolist()
+    seen, chain, heads = bytearray(len(after)), [], []
+    for edge in range(len(after)):
+        if not seen[edge]:
+            heads.append(len(chain))
+            while not seen[edge]:
+                seen[edge] = 1
+                chain.append(edge)
+                edge = after[edge]
+    chain, heads = np.array(chain), np.array(heads)
+    ring = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(chain))))
+    before = np.arange(len(chain)) - 1
+    before[heads] = np.append(heads[1:], len(chain)) - 1
+    turns = (dx[chain] != dx[chain][before]) | (dy[chain] != dy[chain][before])
+    chain, ring = chain[turns], ring[turns]
+    x, y = x0[chain], y0[chain]
+    heads = np.flatnonzero(np.concatenate(([True], ring[1:] != ring[:-1])))
+    bounds = np.append(heads, len(ring))
+    ahead = np.arange(len(ring)) + 1
+    ahead[bounds[1:] - 1] = heads
+    area = np.add.reduceat(x * y[ahead] - y * x[ahead], heads) // 2
+    corners = [f"{a},{b}" for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+    of = own[chain[heads]]
+    found = sorted((k, a < 0, " ".join(corners[i:j]), abs(a)) for k, a, i, j in zip(of.tolist(), area.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+    item, part = item[starts], part[starts]
+    out, number = [], 0
+    for n, (k, hole, text, cells) in enumerate(found):
+        number = number + 1 if n and found[n - 1][0] == k else 0
+        out.append((item[k], part[k], number, hole, cells, text))
+    return out
+
+
+def _rings(chunk: int):
+    """Boundary cells sorted by (item, part) to rings: parts are gathered to chunks of about so many cells; a task holds a chunk or a part."""
+
+    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        item, part = (np.array(table[c].to_pylist() + [None], dtype=object)[:-1] for c in ("item", "part"))
+        rows = _outlines(item, part, *(table[c].to_numpy() for c in ("gx", "gy", "free")))
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), RINGS, strict=True)], schema=RINGS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, last = [], 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            items, parts = batch.column("item").to_pylist(), batch.column("part").to_pylist()
+            cut = len(items) - 1  # where the last part of the batch begins
+            while cut and (items[cut - 1], parts[cut - 1]) == (items[-1], parts[-1]):
+                cut -= 1
+            if n + cut >= chunk and (cut or (items[0], parts[0]) != last):
+                yield made([*held, batch.slice(0, cut)])
+                held, n, batch = [], 0, batch.slice(cut)
+            held.append(batch)
+            n += batch.num_rows
+            last = items[-1], parts[-1]
+        if held:
+            yield made(held)
+
+    return run
+
+
+def footprint_rings(parts: DataFrame, edge: int = 2048, chunk: int = 100_000) -> DataFrame:
     """parts (item, gx, gy, part) -> item, part, ring, hole, cells, corners: the outline of each part (ring 0 and, where
     it touches itself at corners, others) and of its holes; cells is the area inside, corners 'x,y' in order.
 
     Grids may be of so many cells on a side at most, so a task holds the boundary of a part of that grid; larger ones
-    raise an error.
+    raise an error. chunk: boundary cells of several parts that are outlined at once; the result does not depend on it.
     """
     parts = _written(parts, "parts")  # read for the span too
     span = parts.groupBy("item").agg(F.greatest(F.max("gx") - F.min("gx"), F.max("gy") - F.min("gy")).alias("span"))
     checked = span.select("item", F.assert_true(F.col("span") < edge, F.lit(f"a grid of more than {edge} cells on a side")).isNull().alias("fits"))
     cells = parts.join(_dealt(checked), "item").where("fits")
     side = lambda w, at, f, d: ~F.coalesce((f(at).over(w) == F.col(at) + d) & (f("part").over(w) == F.col("part")), F.lit(False))
-    x, y = F.col("gx"), F.col("gy")
-    sides = (
-        (side(_column(), "gy", F.lag, -1), (x, y, x + 1, y)),
-        (side(_row(), "gx", F.lead, 1), (x + 1, y, x + 1, y + 1)),
-        (side(_column(), "gy", F.lead, 1), (x + 1, y + 1, x, y + 1)),
-        (side(_row(), "gx", F.lag, -1), (x, y + 1, x, y)),
-    )
-    marked = cells.select("item", "part", "gx", "gy", *[free.alias(f"free{k}") for k, (free, _) in enumerate(sides)])
-    ends = [F.when(F.col(f"free{k}"), F.struct(*[e.alias(n) for e, n in zip(to, ("x0", "y0", "x1", "y1"), strict=True)])) for k, (_, to) in enumerate(sides)]
-    edges = marked.select("item", "part", F.explode(F.array_compact(F.array(*ends))).alias("e")).select(F.col("item").cast("string").alias("item"), "part", "e.*")
-    return edges.groupBy("item", "part").applyInPandas(_rings, "item string, part long, ring long, hole boolean, cells long, corners string")
+    sides = (side(_column(), "gy", F.lag, -1), side(_row(), "gx", F.lead, 1), side(_column(), "gy", F.lead, 1), side(_row(), "gx", F.lag, -1))
+    free = reduce(Column.__add__, [F.when(open_, 1 << k).otherwise(0) for k, open_ in enumerate(sides)])
+    kept = F.col("item").cast("string").alias("item"), F.col("part").cast("long").alias("part"), F.col("gx").cast("long").alias("gx"), F.col("gy").cast("long").alias("gy")
+    rim = cells.select(*kept, free.cast("int").alias("free")).where("free > 0")
+    # By part, not by grid; parts are small beside what a group of its own costs in Python, so a task goes through its parts in order.
+    dealt = rim.repartition("item", "part").sortWithinPartitions("item", "part")
+    return dealt.mapInArrow(_rings(chunk), "item string, part long, ring long, hole boolean, cells long, corners string")
 
 
 def simplified(rings: list[list[tuple[int, int]]], least: float) -> list[list[tuple[int, int]]]:
